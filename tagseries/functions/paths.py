@@ -16,7 +16,7 @@ from ._columns import ColumnLike, col
 MEASUREMENTS = "Measurements"
 ASSETS = "Assets"
 DEFAULT_PROVIDER = "default"
-COMPONENT_PATTERN = r"(?s)(?:^|/){key}(.*?)(?::/|\z)"
+COMPONENT_PATTERN = r"(?s)(?:^|/)({key}.*?)(?::/|\z)"
 FOLDER_PATTERN = r"(?s)(?<![^/])folder:(?=(.*?)(?::/|\z))"
 CATEGORY_PATTERN = r"(?s)\A(Measurements|Assets)(?:/|\z)"
 
@@ -27,8 +27,8 @@ def extract_component(path: ColumnLike, key: str) -> Column:
     A key only counts at the start of the path or after a slash, so ``prov:`` is not found
     inside ``histprov:``.
     """
-    pattern = COMPONENT_PATTERN.format(key=key)
-    return F.when(col(path).rlike(pattern), F.regexp_extract(col(path), pattern, 1))
+    hit = F.regexp_extract(col(path), COMPONENT_PATTERN.format(key=key), 1)
+    return F.when(hit != "", F.substring(hit, len(key) + 1, 1 << 30))
 
 
 def build_stored_path(collector: ColumnLike, provider: ColumnLike, tag: ColumnLike) -> Column:

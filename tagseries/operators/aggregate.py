@@ -181,9 +181,10 @@ def percentile(
     )
     counts = rows.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("n"))
     steps = [i / cells for i in range(1, cells)]
+    sketch = F.percentile_approx("v", steps) if steps else F.array().cast("array<double>")
     cuts = (
         rows.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("total"), F.percentile_approx("v", steps).alias("cuts"))
+        .agg(F.count(F.lit(1)).alias("total"), sketch.alias("cuts"))
         .withColumn("at", F.lit(float(p)) * (F.col("total") - 1))
         .withColumn("lo", F.floor("at"))
         .withColumn("hi", F.ceil("at"))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import bucket_start
+from ..functions.time import arrival_order, bucket_start
 
 HOUR_MS = 3_600_000
 SERIES_KEYS = ("series_name",)
@@ -55,32 +55,38 @@ def with_neighbours(
     chunk_ms: int = HOUR_MS,
     previous: str | None = "previous",
     following: str | None = None,
+    seq: str | None = None,
 ) -> DataFrame:
     """Add the previous / following row of the series as a struct of ``columns``.
 
-    Needs unique (keys, order). The neighbours inside a cell come from lag / lead over the
-    cell; only the border rows read the neighbouring cell's end from the summary.
+    With ``seq`` the rows are first reduced to the last write per instant, else (keys, order)
+    must be unique. The neighbours inside a cell come from lag / lead over the cell; border
+    rows read the neighbouring cell's end from the summary. The summary takes the raw rows:
+    ordering them by instant and arrival finds the same ends without a dedupe shuffle.
     """
-    row = F.struct(*columns)
-    cells = _cells(df, order, chunk_ms)
+    unique = df if seq is None else dedupe_last_write(df, keys, order, seq)
+    cells = _cells(unique, order, chunk_ms)
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(order)
     across = _key_window(keys)
 
-    def end_of_cell(pick) -> Column:
+    def end_of_cell(pick, by: Column) -> Column:
         # one aggregate per column keeps numeric buffers fixed-width (HashAggregate)
-        return F.struct(*[pick(F.col(c), F.col(order)).alias(c) for c in columns])
+        return F.struct(*[pick(F.col(c), by).alias(c) for c in columns])
 
+    latest = F.col(order) if seq is None else arrival_order(order, seq)
+    earliest = F.col(order) if seq is None else arrival_order(order, -F.col(seq))
+    row = F.struct(*columns)
     ends, carried, out = [], [], cells
     if previous:
         out = out.withColumn(previous, F.lag(row).over(inside))
-        ends.append(end_of_cell(F.max_by).alias("__last"))
+        ends.append(end_of_cell(F.max_by, latest).alias("__last"))
         carried.append(F.lag("__last").over(across).alias("__before"))
     if following:
         out = out.withColumn(following, F.lead(row).over(inside))
-        ends.append(end_of_cell(F.min_by).alias("__first"))
+        ends.append(end_of_cell(F.min_by, earliest).alias("__first"))
         carried.append(F.lead("__first").over(across).alias("__after"))
 
-    border = cells.groupBy(*keys, _CHUNK).agg(*ends).select(*keys, _CHUNK, *carried)
+    border = _cells(df, order, chunk_ms).groupBy(*keys, _CHUNK).agg(*ends).select(*keys, _CHUNK, *carried)
     out = out.join(border, [*keys, _CHUNK])
     if previous:
         out = out.withColumn(previous, F.coalesce(previous, "__before")).drop("__before")
@@ -163,8 +169,9 @@ def only_changes(
     An instant holds one value (the last write); pass ``deduped=True`` if that is given.
     """
     values = [v for v in values if v in df.columns]
-    unique = df if deduped else dedupe_last_write(df, keys)
-    linked = with_neighbours(unique, values, keys, chunk_ms=chunk_ms, previous="__previous")
+    linked = with_neighbours(
+        df, values, keys, chunk_ms=chunk_ms, previous="__previous", seq=None if deduped else "seq"
+    )
     differs = F.lit(False)
     for v in values:
         differs = differs | changed(F.col(v), F.col(f"__previous.{v}"))

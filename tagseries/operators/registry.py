@@ -90,7 +90,7 @@ def onboard(points: DataFrame, meas: DataFrame, meta: DataFrame | None = None) -
     the name, so running twice creates nothing twice.
     """
     known = measurements(meas).select(F.col("name").alias("series_name"))
-    fresh = infer_datatype(points).join(known, "series_name", "left_anti")
+    fresh = infer_datatype(points).filter(F.col("series_name") != "").join(known, "series_name", "left_anti")
     text_map = "map<string,string>"
     if meta is not None:
         pending = meta.select(F.col("tag_path").alias("series_name"), F.col("properties").alias("__meta"))
@@ -123,13 +123,16 @@ def extend_registry(meas: DataFrame, created: DataFrame) -> DataFrame:
 
 def namespace(meas: DataFrame, assets: DataFrame) -> DataFrame:
     """(name, uuid, kind, datatype, created_at) of all names; a measurement hides an asset."""
-    both = measurements(meas).select(
-        "name", "uuid", F.lit("measurement").alias("kind"), "datatype", "created_at"
-    ).unionByName(
-        assets.select("name", "uuid", F.lit("asset").alias("kind"), F.lit(NUMBER).alias("datatype"), "created_at")
+    shown = ["name", "uuid", "datatype", "created_at", "updated_at"]
+    both = (
+        meas.filter(is_active())
+        .select(*shown, F.lit("measurement").alias("kind"))
+        .unionByName(assets.withColumn("datatype", F.lit(NUMBER)).select(*shown, F.lit("asset").alias("kind")))
     )
-    first = Window.partitionBy("name").orderBy(F.col("kind").desc(), F.col("uuid").desc())
-    return both.withColumn("__rn", F.row_number().over(first)).filter("__rn = 1").drop("__rn")
+    first = Window.partitionBy("name").orderBy(
+        F.col("kind").desc(), F.col("updated_at").desc_nulls_last(), F.col("uuid").desc()
+    )
+    return both.withColumn("__rn", F.row_number().over(first)).filter("__rn = 1").drop("__rn", "updated_at")
 
 
 def find_measurements(

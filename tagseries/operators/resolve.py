@@ -12,8 +12,12 @@ from .registry import measurements, namespace
 
 
 def named_keys(keys: DataFrame, collector: str) -> DataFrame:
-    """Keys (``qpath``) with the name their series is stored under."""
-    return keys.withColumn("series_name", stored_path("qpath", collector))
+    """Keys (``qpath``) with the name their series is stored under.
+
+    The name is never NULL (a missing path gets the empty name), so a later join adds no
+    null check that would run the path expressions a second time, below the keys' own plan.
+    """
+    return keys.withColumn("series_name", F.coalesce(stored_path("qpath", collector), F.lit("")))
 
 
 def resolve_keys(keys: DataFrame, meas: DataFrame, assets: DataFrame, collector: str) -> DataFrame:

@@ -32,7 +32,7 @@ def named_points(df: DataFrame, collector: str) -> DataFrame:
     """Incoming (qpath, ...) points with series name, default quality 192 and status."""
     code = F.coalesce("quality_code", F.lit(GOOD_CODE)) if "quality_code" in df.columns else F.lit(GOOD_CODE)
     return (
-        df.withColumn("series_name", stored_path("qpath", collector))
+        df.withColumn("series_name", F.coalesce(stored_path("qpath", collector), F.lit("")))
         .withColumn("quality_code", code.cast("int"))
         .withColumn("status", quality_to_status("quality_code"))
     )

@@ -65,7 +65,7 @@ def collector_stats(stats: DataFrame, logs: DataFrame, every: int | str = "1h")
     running counters; a counter that falls restarted from zero), last buffer gauges, and log
     entries per level."""
     counters = ["points_sent", "good_points", "bad_points", "buffer_disk_flushes"]
-    linked = with_neighbours(stats, counters, keys=["collector_uuid"], previous="__p")
+    linked = with_neighbours(stats, counters, keys=["collector_uuid"], previous="__p", seq="points_sent")
     for c in counters:
         before = F.col(f"__p.{c}")
         step = F.when(before.isNull() | (F.col(c) < before), F.col(c)).otherwise(F.col(c) - before)

@@ -30,7 +30,7 @@ SIMPLE = {
 
 def _simple(function: str):
     def query(spark, sf):
-        out = agg.aggregate_series(tb.points(spark, sf), function, DAY, tb.T0)
+        out = agg.aggregate_series(tb.points(spark, sf, tb.T0), function, DAY, tb.T0)
         return out.select("series_name", "ts_ms", r6("value").alias("value"))
 
     return query
@@ -52,7 +52,7 @@ for _name, _sql in SIMPLE.items():
     FROM points WHERE ts_ms >= {tb.T0} GROUP BY type_series, ts_ms - (ts_ms - {tb.T0}) % 3600000""",
 )
 def agg_all_functions(spark, sf):
-    out = agg.bucketed(tb.points_by_type(spark, sf), list(SIMPLE), "1h", tb.T0)
+    out = agg.bucketed(tb.points_by_type(spark, sf, tb.T0), list(SIMPLE), "1h", tb.T0)
     return out.select("series_name", "ts_ms", *[r6(f).alias(f"{f}_value") for f in SIMPLE])
 
 
@@ -63,7 +63,7 @@ def agg_all_functions(spark, sf):
     GROUP BY type_series, ts_ms - ts_ms % 604800000""",
 )
 def agg_epoch_origin(spark, sf):
-    out = agg.aggregate_series(tb.points_by_type(spark, sf), "sum", "168h", tb.T0 + 1, origin="epoch")
+    out = agg.aggregate_series(tb.points_by_type(spark, sf, tb.T0), "sum", "168h", tb.T0 + 1, origin="epoch")
     return out.select("series_name", "ts_ms", F.round("value", 4).alias("value"))
 
 
@@ -75,7 +75,7 @@ def agg_epoch_origin(spark, sf):
     UNION ALL SELECT series_name, bucket, 1, hi FROM b WHERE hi IS NOT NULL""",
 )
 def agg_minmax(spark, sf):
-    return agg.min_max(agg.bucketed(tb.points(spark, sf), ["min", "max"], DAY, tb.T0))
+    return agg.min_max(agg.bucketed(tb.points(spark, sf, tb.T0), ["min", "max"], DAY, tb.T0))
 
 
 def mixed_requests(spark, sf):
@@ -115,7 +115,7 @@ def mixed_requests(spark, sf):
 )
 def agg_mixed_requests(spark, sf):
     names = ["Average", "MinMax", "Range", "LastValue", "Mystery", "Count"]
-    out = agg.aggregate(tb.points(spark, sf), mixed_requests(spark, sf), DAY, tb.T0, aggregates=names)
+    out = agg.aggregate(tb.points(spark, sf, tb.T0), mixed_requests(spark, sf), DAY, tb.T0, aggregates=names)
     return out.withColumn("value", r6("value"))
 
 
@@ -138,7 +138,7 @@ def agg_n_buckets(spark, sf):
     FROM points WHERE ts_ms >= {tb.T0} GROUP BY type_series""",
 )
 def agg_whole_range(spark, sf):
-    out = agg.bucketed(tb.points_by_type(spark, sf), ["mean", "count", "spread"], None, tb.T0)
+    out = agg.bucketed(tb.points_by_type(spark, sf, tb.T0), ["mean", "count", "spread"], None, tb.T0)
     return out.select(
         "series_name",
         "ts_ms",
@@ -154,7 +154,7 @@ def agg_whole_range(spark, sf):
     round(sum(value_num), 4) AS value FROM points WHERE ts_ms >= {tb.T0} GROUP BY ALL""",
 )
 def agg_group_by_tag(spark, sf):
-    out = agg.aggregate_by_tags(tb.points(spark, sf), ["type", "k10"], "sum", DAY, tb.T0)
+    out = agg.aggregate_by_tags(tb.points(spark, sf, tb.T0), ["type", "k10"], "sum", DAY, tb.T0)
     return out.withColumn("value", F.round("value", 4))
 
 
@@ -164,7 +164,7 @@ def agg_group_by_tag(spark, sf):
     round(quantile_cont(value_num, 0.9), 6) AS value FROM points WHERE ts_ms >= {tb.T0} GROUP BY ALL""",
 )
 def agg_percentile(spark, sf):
-    out = agg.aggregate_with_arguments(tb.points_by_type(spark, sf), "percentile", [0.9], DAY, tb.T0)
+    out = agg.aggregate_with_arguments(tb.points_by_type(spark, sf, tb.T0), "percentile", [0.9], DAY, tb.T0)
     return out.withColumn("value", r6("value"))
 
 
@@ -217,6 +217,6 @@ for _kind, _expr in {
     FROM points WHERE ts_ms >= {tb.T0} GROUP BY ts_ms - (ts_ms - {tb.T0}) % 3600000""",
 )
 def agg_wide(spark, sf):
-    out = agg.aggregate_series(tb.points_by_type(spark, sf), "mean", "1h", tb.T0).withColumn("value", r6("value"))
+    out = agg.aggregate_series(tb.points_by_type(spark, sf, tb.T0), "mean", "1h", tb.T0).withColumn("value", r6("value"))
     names = [f"{tb.COLLECTOR}/type/{t}" for t in tb.EVENT_TYPES]
     return wide(out, names, [f"{t}_mean" for t in tb.EVENT_TYPES], value="value")
