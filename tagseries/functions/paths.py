@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from ._columns import ColumnLike, col
 
-# The two browse categories, the provider used when none is named, and the
-# component patterns of the path grammar.
+# The two browse categories, the provider used when none is named, the separator
+# between components and the pattern of folder components.
 MEASUREMENTS = "Measurements"
 ASSETS = "Assets"
 DEFAULT_PROVIDER = "default"
-COMPONENT_PATTERN = r"(?s)(?:^|/)({key}.*?)(?::/|\z)"
+SEPARATOR = ":/"
 FOLDER_PATTERN = r"(?s)(?<![^/])folder:(?=(.*?)(?::/|\z))"
-CATEGORY_PATTERN = r"(?s)\A(Measurements|Assets)(?:/|\z)"
 
 
 def extract_component(path: ColumnLike, key: str) -> Column:
@@ -27,8 +26,10 @@ def extract_component(path: ColumnLike, key: str) -> Column:
     A key only counts at the start of the path or after a slash, so ``prov:`` is not found
     inside ``histprov:``.
     """
-    hit = F.regexp_extract(col(path), COMPONENT_PATTERN.format(key=key), 1)
-    return F.when(hit != "", F.substring(hit, len(key) + 1, 1 << 30))
+    rooted, marker = F.concat(F.lit("/"), col(path)), "/" + key
+    found = F.instr(rooted, marker)
+    rest = F.substr(rooted, found + len(marker))
+    return F.when(found > 0, F.substring_index(rest, SEPARATOR, 1))
 
 
 def build_stored_path(collector: ColumnLike, provider: ColumnLike, tag: ColumnLike) -> Column:
@@ -40,12 +41,14 @@ def build_stored_path(collector: ColumnLike, provider: ColumnLike, tag: ColumnLi
 
 def extract_category(path: ColumnLike) -> Column:
     """``Measurements`` or ``Assets`` when that is the whole first segment, else NULL."""
-    return F.when(col(path).rlike(CATEGORY_PATTERN), F.regexp_extract(col(path), CATEGORY_PATTERN, 1))
+    head = F.substring_index(col(path), "/", 1)
+    return F.when(head.isin(MEASUREMENTS, ASSETS), head)
 
 
 def strip_category(path: ColumnLike) -> Column:
     """Path without its leading category segment."""
-    return F.regexp_replace(col(path), CATEGORY_PATTERN, "")
+    p, category = col(path), extract_category(path)
+    return F.when(category.isNull(), p).otherwise(F.substr(p, F.length(category) + 2))
 
 
 def folder_prefix(path: ColumnLike) -> Column:
@@ -77,11 +80,15 @@ def stored_path(path: ColumnLike, collector: ColumnLike) -> Column:
     p = col(path)
     provider = extract_component(p, "prov:")
     tag = extract_component(p, "tag:")
-    folders = folder_prefix(p)
+    # the lambda binds the folder chain, so that it is computed once per path
+    in_folders = F.transform(
+        F.array(folder_prefix(p)),
+        lambda chain: F.when(chain == "", strip_category(tag)).otherwise(F.concat(strip_category(chain), tag)),
+    )
     return (
         F.when(tag.isNull(), p)
         .when(provider.isNotNull(), build_stored_path(name, provider, tag))
-        .when(p.contains("folder:") & (folders != ""), F.concat(strip_category(folders), tag))
+        .when(p.contains("folder:"), F.get(in_folders, F.lit(0)))
         .otherwise(strip_category(tag))
     )
 

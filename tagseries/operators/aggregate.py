@@ -145,7 +145,9 @@ def aggregate_by_tags(
     return aggregate_series(pts, function, period, start, end, origin, keys=list(tags))
 
 
-PERCENTILE_CELLS = 200
+# Share of a group's rows to either side of the wanted rank that is sorted; the sketch's own
+# error is a fifth of it.
+PERCENTILE_MARGIN = 0.0005
 
 
 def percentile(
@@ -156,14 +158,14 @@ def percentile(
     end: int | None = None,
     origin: str = "start",
     keys: Sequence[str] = ("series_name",),
-    cells: int = PERCENTILE_CELLS,
+    margin: float = PERCENTILE_MARGIN,
 ) -> DataFrame:
     """Exact interpolated percentile per (keys, bucket).
 
     No group is ever gathered. Equal values collapse to counts before the shuffle; a bounded
-    sketch cuts each group into value cells; exact cell counts tell which cells hold the two
-    neighbouring ranks, and only those cells are sorted. The sketch steers the work only: the
-    counts make the result exact whatever its error.
+    sketch brackets the wanted rank, exact counts below, inside and above the bracket tell where
+    the two neighbouring ranks lie, and only that part is sorted. The sketch steers the work
+    only: the counts make the result exact whatever its error.
     """
     if not 0 <= p <= 1:
         raise ValueError("a percentile argument lies between 0 and 1")
@@ -180,29 +182,36 @@ def percentile(
         .select(*keys, at.alias("bucket_ms"), F.col("value_num").alias("v"))
     )
     counts = rows.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("n"))
-    steps = [i / cells for i in range(1, cells)]
-    sketch = F.percentile_approx("v", steps) if steps else F.array().cast("array<double>")
-    cuts = (
-        rows.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("total"), sketch.alias("cuts"))
+    edges = F.percentile_approx("v", [max(p - margin, 0.0), min(p + margin, 1.0)])
+    brackets = rows.groupBy(*group).agg(edges.alias("edges"))
+    placed = counts.join(brackets, group).withColumn(
+        "part", F.when(F.col("v") < F.col("edges")[0], 0).when(F.col("v") <= F.col("edges")[1], 1).otherwise(2)
+    )
+
+    def size(part: int):
+        return F.sum(F.when(F.col("part") == part, F.col("n")).otherwise(0))
+
+    ranks = (
+        placed.groupBy(*group)
+        .agg(F.sum("n").alias("total"), size(0).alias("below"), size(1).alias("inside"))
         .withColumn("at", F.lit(float(p)) * (F.col("total") - 1))
         .withColumn("lo", F.floor("at"))
         .withColumn("hi", F.ceil("at"))
-        .drop("total")
     )
-    placed = counts.join(cuts, group).withColumn(
-        "cell", F.size(F.filter("cuts", lambda c: c < F.col("v")))
-    ).drop("cuts")
-    before = Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    hit = (
-        placed.groupBy(*group, "cell")
-        .agg(F.sum("n").alias("cell_n"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
-        .withColumn("skip", F.coalesce(F.sum("cell_n").over(before), F.lit(0)))
-        .filter((F.col("hi") >= F.col("skip")) & (F.col("lo") < F.col("skip") + F.col("cell_n")))
-        .select(*group, "cell", "skip")
+    part, below, upper = F.col("part"), F.col("below"), F.col("below") + F.col("inside")
+    holds_any = (
+        ((part == 0) & (F.col("lo") < below))
+        | ((part == 1) & (F.col("hi") >= below) & (F.col("lo") < upper))
+        | ((part == 2) & (F.col("hi") >= upper))
+    )
+    sorted_part = Window.partitionBy(*group, "part").orderBy("v")
+    ranked = (
+        placed.drop("edges")
+        .join(ranks, group)
+        .filter(holds_any)
+        .withColumn("skip", F.when(part == 0, F.lit(0)).when(part == 1, below).otherwise(upper))
+        .withColumn("upto", F.col("skip") + F.sum("n").over(sorted_part))
     )
-    inside = Window.partitionBy(*group, "cell").orderBy("v")
-    ranked = placed.join(hit, [*group, "cell"]).withColumn("upto", F.col("skip") + F.sum("n").over(inside))
 
     def holds(rank: str):
         return (F.col(rank) >= F.col("upto") - F.col("n")) & (F.col(rank) < F.col("upto"))
@@ -212,8 +221,8 @@ def percentile(
         .agg(
             F.max(F.when(holds("lo"), F.col("v"))).alias("v_lo"),
             F.max(F.when(holds("hi"), F.col("v"))).alias("v_hi"),
-            F.first("at").alias("at"),
-            F.first("lo").alias("lo"),
+            F.max("at").alias("at"),
+            F.max("lo").alias("lo"),
         )
         .select(
             *keys,

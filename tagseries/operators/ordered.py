@@ -13,15 +13,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.time import arrival_order, bucket_start
 
 HOUR_MS = 3_600_000
+DAY_MS = 24 * HOUR_MS
 SERIES_KEYS = ("series_name",)
 
-# Largest rank for which Spark cuts each map task's groups before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
-GROUP_LIMIT = 1000
+# Width of a cell. Wider cells make the summary smaller, narrower ones bound the sorts: at one
+# point per millisecond a cell of six hours holds 21.6 million rows.
+CHUNK_MS = 6 * HOUR_MS
+
+# Ranks up to here use Spark's group limit, which leaves this many rows per series and map task
+# before the shuffle; all map tasks' rows of a series meet in one task.
+GROUP_LIMIT = 50
+
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 _CHUNK = "__chunk"
 
@@ -31,9 +39,14 @@ def dedupe_last_write(
 ) -> DataFrame:
     """One row per (series, instant): the write with the highest arrival number.
 
-    ``row_number() = 1`` is planned with a group limit before the shuffle, so a heap of copies
-    of one instant shrinks to one row per map task.
+    Either form cuts a heap of copies to one row per map task before the shuffle: rows of
+    fixed-width columns go through a hash aggregate, rows with texts or maps through
+    ``row_number() = 1``, which is planned with a group limit below the shuffle.
     """
+    rest = [f for f in df.schema.fields if f.name not in (*keys, order, seq)]
+    if all(isinstance(f.dataType, _FIXED_WIDTH) for f in rest):
+        kept = [F.max_by(f.name, seq).alias(f.name) for f in rest]
+        return df.groupBy(*keys, order).agg(*kept, F.max(seq).alias(seq)).select(df.columns)
     w = Window.partitionBy(*keys, order).orderBy(F.col(seq).desc())
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
@@ -52,7 +65,7 @@ def with_neighbours(
     columns: Sequence[str],
     keys: Sequence[str] = SERIES_KEYS,
     order: str = "ts_ms",
-    chunk_ms: int = HOUR_MS,
+    chunk_ms: int = CHUNK_MS,
     previous: str | None = "previous",
     following: str | None = None,
     seq: str | None = None,
@@ -100,12 +113,16 @@ def with_rank(
     keys: Sequence[str] = SERIES_KEYS,
     order: str = "ts_ms",
     desc: bool = False,
-    chunk_ms: int = HOUR_MS,
+    chunk_ms: int = CHUNK_MS,
     name: str = "rank",
+    after: int = 0,
+    upto: int | None = None,
 ) -> DataFrame:
     """1-based position of each row in its series; needs unique (keys, order).
 
-    Position = rows in the cells before + row number inside the cell.
+    Position = rows in the cells before + row number inside the cell. Only positions in
+    ``after + 1 .. upto`` are returned; cells outside drop out in the join with the summary,
+    before their rows are sorted.
     """
     direction = (lambda c: F.col(c).desc()) if desc else (lambda c: F.col(c).asc())
     cells = _cells(df, order, chunk_ms)
@@ -116,14 +133,19 @@ def with_rank(
     offsets = (
         cells.groupBy(*keys, _CHUNK)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .select(*keys, _CHUNK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__skip"))
+        .withColumn("__skip", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        .filter(F.col("__skip") + F.col("__n") > after)
     )
-    return (
-        cells.withColumn("__rn", F.row_number().over(inside))
-        .join(offsets, [*keys, _CHUNK])
-        .withColumn(name, (F.col("__rn") + F.col("__skip")).cast("bigint"))
-        .drop("__rn", "__skip", _CHUNK)
+    if upto is not None:
+        offsets = offsets.filter(F.col("__skip") < upto)
+    ranked = cells.join(offsets.drop("__n"), [*keys, _CHUNK]).withColumn(
+        name, (F.row_number().over(inside) + F.col("__skip")).cast("bigint")
     )
+    if after:
+        ranked = ranked.filter(F.col(name) > after)
+    if upto is not None:
+        ranked = ranked.filter(F.col(name) <= upto)
+    return ranked.drop("__skip", _CHUNK)
 
 
 def running_totals(
@@ -131,7 +153,7 @@ def running_totals(
     totals: dict[str, str],
     keys: Sequence[str] = (),
     order: str = "ts_ms",
-    chunk_ms: int = 24 * HOUR_MS,
+    chunk_ms: int = DAY_MS,
 ) -> DataFrame:
     """Running sums (``{output: input}``) per key in time order, cell by cell."""
     cells = _cells(df, order, chunk_ms)
@@ -161,7 +183,7 @@ def only_changes(
     df: DataFrame,
     keys: Sequence[str] = SERIES_KEYS,
     values: Sequence[str] = ("value_num", "value_bool", "value_str"),
-    chunk_ms: int = HOUR_MS,
+    chunk_ms: int = CHUNK_MS,
     deduped: bool = False,
 ) -> DataFrame:
     """Points whose value differs from the one before in the series; the first is kept.
@@ -185,7 +207,7 @@ def limit_per_series(
     desc: bool = False,
     keys: Sequence[str] = SERIES_KEYS,
     deduped: bool = False,
-    chunk_ms: int = HOUR_MS,
+    chunk_ms: int = CHUNK_MS,
 ) -> DataFrame:
     """Rows ``offset + 1 .. offset + n`` of each series in time order.
 
@@ -193,11 +215,11 @@ def limit_per_series(
     rank cell by cell, which is exact for any size.
     """
     unique = df if deduped else dedupe_last_write(df, keys)
-    if n is not None and n + offset <= GROUP_LIMIT:
-        w = Window.partitionBy(*keys).orderBy(F.col("ts_ms").desc() if desc else F.col("ts_ms").asc())
-        ranked = unique.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= n + offset)
-    else:
-        ranked = with_rank(unique, keys, desc=desc, chunk_ms=chunk_ms, name="__rank")
-        if n is not None:
-            ranked = ranked.filter(F.col("__rank") <= n + offset)
+    upto = None if n is None else n + offset
+    if upto is None or upto > GROUP_LIMIT:
+        return with_rank(unique, keys, desc=desc, chunk_ms=chunk_ms, name="__rank", after=offset, upto=upto).drop(
+            "__rank"
+        )
+    w = Window.partitionBy(*keys).orderBy(F.col("ts_ms").desc() if desc else F.col("ts_ms").asc())
+    ranked = unique.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= upto)
     return ranked.filter(F.col("__rank") > offset).drop("__rank")

@@ -89,8 +89,8 @@ def quantile(sample, p):
 
 
 @pytest.mark.parametrize("p", [0, 0.1, 0.5, 0.973, 1])
-@pytest.mark.parametrize("cells", [1, 3, 50])
-def test_percentile_is_exact(spark, p, cells):
+@pytest.mark.parametrize("margin", [0.0, 0.01, 0.5])
+def test_percentile_is_exact(spark, p, margin):
     rng = random.Random(11)
     rows, sample = [], {}
     for i in range(400):
@@ -98,7 +98,7 @@ def test_percentile_is_exact(spark, p, cells):
         v = rng.choice([1.0, 1.0, 1.0, rng.random() * 10, -rng.random()])
         rows.append(point(name, i, v))
         sample.setdefault(name, []).append(v)
-    got = agg.percentile(points(spark, rows), p, None, cells=cells)
+    got = agg.percentile(points(spark, rows), p, None, margin=margin)
     assert {n: round(v, 9) for n, v in values(got, "series_name", "value")} == {
         n: round(quantile(s, p), 9) for n, s in sample.items()
     }
