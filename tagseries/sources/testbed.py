@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.ids import name_uuid
 from ..functions.time import check_range, to_millis
@@ -22,8 +23,17 @@ T0 = 1_704_067_200_000  # 2024-01-01, first day of the events
 T1 = T0 + 30 * DAY_MS
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """One test table. Files are listed anew on every call, but the schema is read from the
+    footers only once per folder, which saves a job per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = use_utc(spark).read
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = reader.parquet(path).schema
+    return reader.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _within(df: DataFrame, column: str, start: int | None, end: int | None) -> DataFrame:
