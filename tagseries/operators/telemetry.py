@@ -92,8 +92,8 @@ def append_telemetry(df: DataFrame, kind: str, path: str, batch: str) -> None:
         raise ValueError(f"unknown telemetry kind: {kind}")
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TELEMETRY[kind].fields])
     if kind == "logs":
-        allowed = F.col("level").isin(LOG_LEVELS)
-        out = out.withColumn("level", F.when(allowed, F.col("level")).otherwise(F.raise_error(F.concat(F.lit("unknown log level: "), F.col("level")))))
+        refused = F.raise_error(F.concat(F.lit("unknown log level: "), F.col("level")))
+        out = out.withColumn("level", F.when(F.col("level").isin(LOG_LEVELS), F.col("level")).otherwise(refused))
     (
         out.withColumn("day", F.timestamp_millis("ts_ms").cast("date"))
         .withColumn("batch", F.lit(batch))

@@ -294,6 +294,19 @@ def stream_only_changes(spark, sf):
     return spark.read.parquet(f"{base}/out").select("series_name", "ts_ms", "value_num", "late")
 
 
+@register(
+    "stream_telemetry",
+    f"""SELECT concat('c-', event_type) AS collector_uuid, epoch_us(ts) // 1000 AS ts_ms,
+    CASE {K} % 7 WHEN 0 THEN 'PANIC' WHEN 1 THEN 'FATAL' WHEN 2 THEN 'ERROR' WHEN 3 THEN 'WARNING' WHEN 4 THEN 'INFO'
+      WHEN 5 THEN 'DEBUG' ELSE 'TRACE' END AS level, props AS message FROM events""",
+)
+def stream_telemetry(spark, sf):
+    base = shared_dir(spark)
+    logs = tb.event_logs(tb.event_stream(spark, sf))
+    stream_ingest.stream_telemetry(logs, "logs", f"{base}/logs", f"{base}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{base}/logs").select("collector_uuid", "ts_ms", "level", "message")
+
+
 @register("stream_metrics", f"WITH {_OPS} {_REPORT}")
 def stream_metrics(spark, sf):
     base = shared_dir(spark)

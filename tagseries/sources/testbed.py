@@ -276,10 +276,10 @@ def statistics_view(spark, sf_dir) -> DataFrame:
     )
 
 
-def logs_view(spark, sf_dir) -> DataFrame:
-    """One log entry per event; the level follows the event's k."""
+def event_logs(df: DataFrame) -> DataFrame:
+    """One log entry per event row (batch or stream); the level follows the event's k."""
     levels = F.array(*[F.lit(x) for x in LOG_LEVELS])
-    return table(spark, sf_dir, "events").select(
+    return df.select(
         F.concat(F.lit("c-"), "event_type").alias("collector_uuid"),
         to_millis("ts").alias("ts_ms"),
         F.get(levels, F.pmod(event_k(), F.lit(len(LOG_LEVELS)))).alias("level"),
@@ -288,6 +288,10 @@ def logs_view(spark, sf_dir) -> DataFrame:
     )
 
 
+def logs_view(spark, sf_dir) -> DataFrame:
+    return event_logs(table(spark, sf_dir, "events"))
+
+
 def event_stream(spark, sf_dir) -> DataFrame:
     """The events table as a stream. A stream source wants a folder or a pattern; the pattern
     serves a single file as well as a folder of that name."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,26 +23,40 @@ class _KeepChanges(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # A key's rows of one micro-batch arrive in several frames of any order; the trigger's
         # size limit bounds them.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts_ms", "seq"])
+        frames = list(rows)
+        ts, value, seq = (
+            np.concatenate([f[c].to_numpy(dtype=kind) for f in frames])
+            for c, kind in (("ts_ms", "int64"), ("value_num", "float64"), ("seq", "int64"))
+        )
+        order = np.lexsort((seq, ts))
+        ts, value, seq = ts[order], value[order], seq[order]
+
         last = self._last.get() if self._last.exists() else None
-        last_ts = last[0] if last is not None else None
-        late = batch["ts_ms"] < last_ts if last_ts is not None else pd.Series(False, index=batch.index)
+        late = ts < last[0] if last is not None else np.zeros(len(ts), dtype=bool)
+        newest_write = np.append(ts[1:] != ts[:-1], True)
+        fresh = np.flatnonzero(~late & newest_write)
 
-        fresh = batch[~late].drop_duplicates("ts_ms", keep="last")
-        before = fresh["value_num"].shift()
-        if last is not None and len(fresh):
-            before.iloc[0] = last[1]
-        same = (fresh["value_num"] == before) | (fresh["value_num"].isna() & before.isna())
-        if last is None and len(fresh):
-            same.iloc[0] = False
+        known = value[fresh]
+        first_before = np.nan if last is None or last[1] is None else last[1]
+        before = np.concatenate(([first_before], known[:-1]))[: len(known)]
+        same = (known == before) | (np.isnan(known) & np.isnan(before))
+        if last is None:
+            same[:1] = False
         if len(fresh):
-            newest = fresh.iloc[-1]
-            value = newest["value_num"]
-            self._last.update((int(newest["ts_ms"]), None if pd.isna(value) else float(value)))
+            end = float(known[-1])
+            self._last.update((int(ts[fresh[-1]]), None if np.isnan(end) else end))
 
-        out = pd.concat([fresh[~same].assign(late=False), batch[late].assign(late=True)])
-        out = out.assign(series_name=key[0])
-        yield out[["series_name", "ts_ms", "value_num", "seq", "late"]]
+        kept = np.concatenate([fresh[~same], np.flatnonzero(late)])
+        if len(kept):
+            yield pd.DataFrame(
+                {
+                    "series_name": key[0],
+                    "ts_ms": ts[kept],
+                    "value_num": value[kept],
+                    "seq": seq[kept],
+                    "late": late[kept],
+                }
+            )
 
     def close(self) -> None:
         pass

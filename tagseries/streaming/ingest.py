@@ -10,6 +10,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ..operators.registry import onboard
 from ..operators.storage import NULL_VALUE, assign_series, conform, write_resolved
+from ..operators.telemetry import append_telemetry
 from ..schema import POINTS
 from ..sources.tables import registry_reader, write_registry
 
@@ -130,3 +131,25 @@ def replay_quarantine(
         interval=interval,
         once=once,
     )
+
+
+def stream_telemetry(
+    src: DataFrame,
+    kind: str,
+    path: str,
+    checkpoint: str,
+    interval: str = BATCH_INTERVAL,
+    once: bool = False,
+) -> StreamingQuery:
+    """Append a stream of logs, statistics or health rows; each micro-batch is idempotent."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        append_telemetry(df, kind, path, f"{kind}-{batch_id:012d}")
+
+    return (
+        src.writeStream.queryName(kind)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(**_trigger(interval, once))
+        .start()
+    )
