@@ -83,6 +83,24 @@ def min_max(buckets: DataFrame, keys: Sequence[str] = ("series_name",)) -> DataF
     )
 
 
+def answer_requests(buckets: DataFrame, requests: DataFrame, functions: Sequence[str] = FUNCTIONS) -> DataFrame:
+    """Rows of (qpath, series_name, aggregate) requests from buckets that hold ``functions``.
+
+    MinMax gives two rows per bucket, minimum first; a result that is NULL gives none.
+    """
+    wanted = requests.select("qpath", "series_name", "aggregate")
+    rows = buckets.join(wanted, "series_name").withColumn("function", aggregate_function("aggregate"))
+    single = F.lit(None).cast("double")
+    for name in functions:
+        single = F.when(F.col("function") == name, F.col(name)).otherwise(single)
+    values = F.array(single)
+    if {"min", "max"} <= set(functions):
+        values = F.when(F.col("aggregate") == MINMAX, F.array("min", "max")).otherwise(values)
+    return rows.select(
+        "qpath", "series_name", "aggregate", "ts_ms", F.posexplode(values).alias("ordinal", "value")
+    ).filter(F.col("value").isNotNull())
+
+
 def aggregate(
     pts: DataFrame,
     requests: DataFrame,
@@ -100,20 +118,9 @@ def aggregate(
     if known, else all); the small per-bucket result is then matched with the requests.
     """
     functions = list(FUNCTIONS) if aggregates is None else functions_of(aggregates)
-    wanted = requests.select("qpath", "series_name", "aggregate")
-    scope = pts.join(wanted.select("series_name"), "series_name", "left_semi")
-    buckets = bucketed(scope, functions, period, start, end, origin)
-    rows = buckets.join(wanted, "series_name").withColumn("function", aggregate_function("aggregate"))
-
-    single = F.lit(None).cast("double")
-    for name in functions:
-        single = F.when(F.col("function") == name, F.col(name)).otherwise(single)
-    values = F.array(single)
-    if {"min", "max"} <= set(functions):
-        values = F.when(F.col("aggregate") == MINMAX, F.array("min", "max")).otherwise(values)
-    out = rows.select(
-        "qpath", "series_name", "aggregate", "ts_ms", F.posexplode(values).alias("ordinal", "value")
-    ).filter(F.col("value").isNotNull())
+    wanted = requests.select("series_name")
+    scope = pts.join(wanted, "series_name", "left_semi")
+    out = answer_requests(bucketed(scope, functions, period, start, end, origin), requests, functions)
     if fill == "none":
         return out
     if start is None or end is None or period is None:

@@ -52,7 +52,9 @@ def dedupe_last_write(
 
 
 def _cells(df: DataFrame, order: str, chunk_ms: int) -> DataFrame:
-    return df.withColumn(_CHUNK, bucket_start(order, chunk_ms))
+    """Rows with the start of their cell. It is never NULL: a null check inferred from the join
+    with the summary would reach below one input only and keep Spark from sharing its shuffle."""
+    return df.withColumn(_CHUNK, F.coalesce(bucket_start(order, chunk_ms), F.lit(0)))
 
 
 def _key_window(keys: Sequence[str]):

@@ -13,7 +13,7 @@ from ..functions.time import period_for_buckets, relative_range
 from ..operators.aggregate import aggregate
 from ..operators.browse import browse
 from ..operators.metadata import merge_metadata
-from ..operators.raw import assume_good, concat_series, first_from, latest, raw_points, restrict, time_range
+from ..operators.raw import assume_good, by_uuid, concat_series, first_from, latest, raw_points, restrict
 from ..operators.registry import onboard
 from ..operators.resolve import lookup_nodes, missing_keys, named_keys, query_metadata, resolve_keys
 from ..operators.shape import check_format, tall, wide
@@ -29,12 +29,17 @@ DEFAULT_AGGREGATE = "Average"
 class TagHistory:
     """Tag history over a point table, a registry and an asset catalogue.
 
-    The request (paths, aggregates, aliases) is small and comes from the caller; everything
-    that grows with the data stays a DataFrame.
+    The request (paths, aggregates, aliases) is a list of the caller's; resolving it brings back
+    one row per path. Everything that grows with the data stays a DataFrame. With ``stored`` the
+    points carry their measurement uuid, as the point table does, and the resolved uuids are
+    pushed into its files.
     """
 
-    def __init__(self, points: DataFrame, meas: DataFrame, assets: DataFrame, collector: str):
+    def __init__(
+        self, points: DataFrame, meas: DataFrame, assets: DataFrame, collector: str, stored: bool = False
+    ):
         self.points = points
+        self.stored = stored
         self.meas = meas
         self.assets = assets
         self.collector = collector
@@ -45,7 +50,16 @@ class TagHistory:
         return self.spark.createDataFrame(distinct, "qpath string")
 
     def _resolved(self, paths: Sequence[str]) -> DataFrame:
-        return resolve_keys(self._keys(paths), self.meas, self.assets, self.collector)
+        """Known paths with series and uuid, as a local table of at most one row per path."""
+        found = resolve_keys(self._keys(paths), self.meas, self.assets, self.collector)
+        known = found.filter(F.col("measurement_uuid").isNotNull()).select("qpath", "series_name", "measurement_uuid")
+        return self.spark.createDataFrame(known.collect(), known.schema)
+
+    def _scope(self, keys: DataFrame) -> DataFrame:
+        """Points the keys may need: the files' own uuid filter for a stored table."""
+        if not self.stored:
+            return self.points
+        return by_uuid(self.points, sorted({r["measurement_uuid"] for r in keys.collect()}))
 
     def query_raw_points(
         self,
@@ -67,11 +81,12 @@ class TagHistory:
         if exclude_observations:
             raise ValueError("points carry no sample origin, so observations cannot be excluded")
         keys = self._resolved(paths)
-        rows = raw_points(self.points, keys, start, end)
+        pts = self._scope(keys)
+        rows = raw_points(pts, keys, start, end)
         if include_bounds:
             if start is None or end is None:
                 raise ValueError("bounding values need a start and an end")
-            every = assume_good(restrict(self.points, keys))
+            every = assume_good(restrict(pts, keys))
             by_path = ("qpath", "series_name", "measurement_uuid")
             rows = concat_series(rows, latest(every, start, by_path), first_from(every, end, by_path))
         return self._shaped(rows, paths, column_names, layout, return_size, "value_num")
@@ -100,10 +115,10 @@ class TagHistory:
         width = period if period is not None else period_for_buckets(start, end, return_size)
         asked = [(p, n, i) for i, (p, n) in enumerate(zip(paths, names))]
         requests = self.spark.createDataFrame(asked, "qpath string, aggregate string, position int")
-        known = self._resolved(paths).filter(F.col("measurement_uuid").isNotNull())
-        requests = requests.join(known.select("qpath", "series_name"), "qpath")
+        keys = self._resolved(paths)
+        requests = requests.join(keys.select("qpath", "series_name"), "qpath")
         rows = aggregate(
-            self.points, requests, width, start, end, fill=modes.pop(), aggregates=set(names)
+            self._scope(keys), requests, width, start, end, fill=modes.pop(), aggregates=set(names)
         )
         if layout == "TALL":
             return rows

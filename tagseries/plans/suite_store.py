@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.values import map_text
 from ..operators import registry as reg
 from ..operators import storage, telemetry
+from ..operators.aggregate import answer_requests
 from ..session import shared_dir
 from ..sources import ingest
 from ..sources import tables
@@ -15,7 +16,8 @@ from ..streaming import aggregate as stream_agg
 from ..streaming import changes
 from ..streaming import ingest as stream_ingest
 from .history import store_requests
-from .registered import K, MEASUREMENTS, POINTS, register
+from .registered import K, MEASUREMENTS, ORACLE, POINTS, r6, register
+from .suite_aggregate import mixed_requests
 
 LINE_SEQ = "((l_orderkey * 16 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey"
 
@@ -279,6 +281,18 @@ def stream_window_agg(spark, sf):
     return stream_agg.latest_snapshot(spark, f"{base}/out").withColumn("mean", F.round("mean", 6))
 
 
+@register("stream_mixed_requests", ORACLE["agg_mixed_requests"])
+def stream_mixed_requests(spark, sf):
+    """The mixed requests answered from windows kept by a stream."""
+    base = shared_dir(spark)
+    requests = mixed_requests(spark, sf)
+    functions = ["mean", "min", "max", "spread", "last", "count"]
+    windows = stream_agg.stream_aggregate(tb.stream_user_points(spark, sf), functions, "24h", requests=requests)
+    stream_agg.write_snapshots(windows, f"{base}/out", f"{base}/checkpoint", "requests", once=True).awaitTermination()
+    out = answer_requests(stream_agg.latest_snapshot(spark, f"{base}/out"), requests, functions)
+    return out.withColumn("value", r6("value"))
+
+
 @register(
     "stream_only_changes",
     f"""WITH {POINTS}, linked AS (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.aggregates import function_expr
-from ..functions.time import bucket_start, period_ms
+from ..functions.time import period_ms
 from ..operators.telemetry import metric_intervals
 
 
@@ -20,8 +20,15 @@ def stream_aggregate(
     lateness: str = "10 minutes",
     origin_ms: int = 0,
     keys: Sequence[str] = ("series_name",),
+    requests: DataFrame | None = None,
 ) -> DataFrame:
-    """Tumbling aggregates per (keys, window) with a watermark on the event time."""
+    """Tumbling aggregates per (keys, window) with a watermark on the event time.
+
+    ``requests`` keeps the series it names; ``answer_requests`` then turns the windows into the
+    rows each request asked for.
+    """
+    if requests is not None:
+        src = src.join(requests.select("series_name"), "series_name", "left_semi")
     width = period_ms(period)
     timed = src.withColumn("event_time", F.timestamp_millis("ts_ms")).withWatermark("event_time", lateness)
     window = F.window("event_time", f"{width} milliseconds", startTime=f"{origin_ms % width} milliseconds")
@@ -81,12 +88,3 @@ def latest_snapshot(spark, path: str) -> DataFrame:
     newest = every.agg(F.max("snapshot").alias("snapshot"))
     return every.join(newest, "snapshot", "left_semi").drop("snapshot")
 
-
-__all__ = [
-    "bucket_start",
-    "latest_snapshot",
-    "stream_aggregate",
-    "stream_metrics",
-    "write_closed",
-    "write_snapshots",
-]

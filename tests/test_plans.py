@@ -87,6 +87,19 @@ def test_rest_of_the_interface(history):
     assert values(history.browse("histprov:h:/folder:Assets", ["L*"]), "name") == [("Line",)]
 
 
+def test_stored_points_are_read_by_uuid(spark, history, tmp_path):
+    from tagseries.operators.storage import read_points, write_points
+
+    write_points(history.points, history.meas, str(tmp_path), "b")
+    stored = TagHistory(read_points(spark, str(tmp_path)), history.meas, history.assets, "Plant", stored=True)
+    got = stored.query_raw_points([A, GONE], BASE, BASE + 2000, ["a", "gone"])
+    assert values(got, "t_stamp", "a", "gone") == [(BASE, 0.0, None), (BASE + 1000, 1.0, None)]
+    assert "EqualTo(measurement_uuid,ua)" in got._jdf.queryExecution().executedPlan().toString()
+    agg = stored.query_aggregated_points([A, B], BASE, BASE + 100_000, ["Count"], return_format="TALL", return_size=1)
+    assert values(agg, "qpath", "value") == [(A, 100.0), (B, 50.0)]
+    assert stored.query_raw_points([GONE], return_format="TALL").count() == 0
+
+
 def ask(history, **options):
     return query_timeseries(TimeseriesRequest(**options), history.points, history.meas, options.pop("props", None))
 
