@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import supported_aggregates
 from ..functions.paths import folder_prefix
 from ..functions.time import period_for_buckets, relative_range
+from ..functions.values import GOOD_CODE
 from ..operators.aggregate import aggregate
 from ..operators.browse import browse
 from ..operators.metadata import merge_metadata
@@ -17,7 +20,8 @@ from ..operators.raw import assume_good, by_uuid, concat_series, first_from, lat
 from ..operators.registry import onboard
 from ..operators.resolve import lookup_nodes, missing_keys, named_keys, query_metadata, resolve_keys
 from ..operators.shape import check_format, tall, wide
-from ..operators.storage import named_points, write_points
+from ..operators.storage import named_points, read_points, write_points
+from ..schema import ASSETS, MEASUREMENTS
 from ..sources.ingest import from_parallel_arrays, from_tag_matrix
 from ..sources.tables import registry_reader, write_registry
 
@@ -26,6 +30,12 @@ FILL_MODES = {"DERIVED": "none", "NONE": "none", "NULL": "null", "PREVIOUS": "pr
 DEFAULT_AGGREGATE = "Average"
 
 
+def _fill_type(mode: str) -> str:
+    if mode.upper() not in FILL_MODES:
+        raise ValueError(f"unknown fill mode: {mode}")
+    return FILL_MODES[mode.upper()]
+
+
 class TagHistory:
     """Tag history over a point table, a registry and an asset catalogue.
 
@@ -102,24 +112,30 @@ class TagHistory:
         return_format: str = "WIDE",
         return_size: int = 100,
         period: int | str | None = None,
+        include_bounds: bool = False,
+        exclude_observations: bool = False,
     ) -> DataFrame:
         """One aggregate per path in ``return_size`` buckets over the range (or by ``period``).
 
-        A single aggregate or fill mode counts for all paths.
+        A single aggregate or fill mode counts for all paths. Paths of one fill mode share a scan.
         """
         layout = check_format(return_format)
+        if include_bounds or exclude_observations:
+            raise ValueError("buckets have no bounding values, and points carry no sample origin")
         names = self._per_path(paths, aggregates, DEFAULT_AGGREGATE)
-        modes = {FILL_MODES[m.upper()] for m in self._per_path(paths, fill_modes, "DERIVED")}
-        if len(modes) > 1:
-            raise ValueError("one fill mode per query; run the others as queries of their own")
+        modes = [_fill_type(m) for m in self._per_path(paths, fill_modes, "DERIVED")]
         width = period if period is not None else period_for_buckets(start, end, return_size)
-        asked = [(p, n, i) for i, (p, n) in enumerate(zip(paths, names))]
-        requests = self.spark.createDataFrame(asked, "qpath string, aggregate string, position int")
         keys = self._resolved(paths)
-        requests = requests.join(keys.select("qpath", "series_name"), "qpath")
-        rows = aggregate(
-            self._scope(keys), requests, width, start, end, fill=modes.pop(), aggregates=set(names)
-        )
+        pts = self._scope(keys)
+        parts = []
+        for mode in dict.fromkeys(modes):
+            asked = [(p, n) for p, n, m in zip(paths, names, modes) if m == mode]
+            requests = self.spark.createDataFrame(list(dict.fromkeys(asked)), "qpath string, aggregate string")
+            requests = requests.join(keys.select("qpath", "series_name"), "qpath")
+            parts.append(
+                aggregate(pts, requests, width, start, end, fill=mode, aggregates={n for _, n in asked})
+            )
+        rows = concat_series(*parts)
         if layout == "TALL":
             return rows
         columns = column_names or [p if paths.count(p) == 1 else f"{p}/{n}" for p, n in zip(paths, names)]
@@ -166,6 +182,121 @@ class TagHistory:
         return supported_aggregates(self.spark)
 
 
+class TagStore:
+    """Registry, point table and pending metadata below one folder, written from scripts.
+
+    Each call is one batch; a caller that repeats a call after a failure passes the same
+    ``batch`` again and stores nothing twice.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, collector: str, grain: str = "day"):
+        self.spark = spark
+        self.collector = collector
+        self.grain = grain
+        self.registry, self.points, self.metadata = (f"{folder}/{x}" for x in ("registry", "points", "metadata"))
+        # creates the folders; rows already there stay
+        write_registry(spark.createDataFrame([], MEASUREMENTS), self.registry, "base")
+        self._append_metadata([], "base")
+
+    def store_data_points(
+        self,
+        paths: Sequence[str],
+        values: Sequence,
+        timestamps: Sequence[int],
+        qualities: Sequence[int] | None = None,
+        batch: str | None = None,
+    ) -> None:
+        """One point per entry of the parallel lists; values are booleans, numbers or texts."""
+        codes = qualities if qualities is not None else [None] * len(paths)
+        if not len(paths) == len(values) == len(timestamps) == len(codes):
+            raise ValueError("paths, values, timestamps and qualities need the same length")
+        arrival = time.time_ns() // 1000
+        rows = [
+            (p, int(t), *_typed(v), q, arrival + i)
+            for i, (p, v, t, q) in enumerate(zip(paths, values, timestamps, codes))
+        ]
+        self.store(self.spark.createDataFrame(rows, _POINT_ROWS), batch)
+
+    def store_tag_history(
+        self,
+        paths: Sequence[str],
+        values: Sequence[Sequence],
+        timestamps: Sequence[int],
+        qualities: Sequence[int] | None = None,
+        tag_provider: str = "default",
+        batch: str | None = None,
+    ) -> None:
+        """Tag-major values (``values[tag][instant]``) of bare tag paths; qualities per instant."""
+        codes = list(qualities) if qualities is not None else [GOOD_CODE] * len(timestamps)
+        cells = [
+            (f"prov:{tag_provider}:/tag:{p}", v, t, q)
+            for p, series in zip(paths, values, strict=True)
+            for v, t, q in zip(series, timestamps, codes, strict=True)
+        ]
+        self.store_data_points(*(list(x) for x in zip(*cells)), batch=batch)
+
+    def store(self, points: DataFrame, batch: str | None = None) -> None:
+        """Points of a DataFrame with ``qpath``, ``ts_ms``, value columns, ``quality_code`` and ``seq``."""
+        name = batch or uuid.uuid4().hex
+        store_points(
+            named_points(points, self.collector), self.registry, self.points, name, self.pending(), self.grain
+        )
+
+    def store_metadata(
+        self, paths: Sequence[str], properties: dict | Sequence[dict], batch: str | None = None
+    ) -> None:
+        """Properties for all paths, kept until their series are created. A list of maps is merged,
+        later ones win; NULL values are dropped."""
+        maps = [properties] if isinstance(properties, dict) else [p for p in properties if isinstance(p, dict)]
+        merged = {k: str(v) for p in maps for k, v in p.items() if v is not None}
+        arrival = time.time_ns() // 1000
+        self._append_metadata([(p, merged, arrival) for p in paths], batch or uuid.uuid4().hex)
+
+    def _append_metadata(self, rows: list, batch: str) -> None:
+        df = self.spark.createDataFrame(rows, "qpath string, properties map<string,string>, seq bigint")
+        (
+            df.withColumn("batch", F.lit(batch))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(self.metadata)
+        )
+
+    def pending(self) -> DataFrame:
+        schema = "qpath string, properties map<string,string>, seq bigint, batch string"
+        return pending_metadata(self.spark.read.schema(schema).parquet(self.metadata), self.collector)
+
+    def history(self, assets: DataFrame | None = None) -> TagHistory:
+        """Reader of what is stored now."""
+        things = assets if assets is not None else self.spark.createDataFrame([], ASSETS)
+        points = read_points(self.spark, self.points, grain=self.grain)
+        return TagHistory(points, registry_reader(self.spark, self.registry), things, self.collector, stored=True)
+
+
+_POINT_ROWS = (
+    "qpath string, ts_ms bigint, value_num double, value_bool boolean, value_str string, quality_code int, seq bigint"
+)
+
+
+def _typed(value) -> tuple[float | None, bool | None, str | None]:
+    """Value in the column of its type."""
+    if isinstance(value, bool):
+        return None, value, None
+    if isinstance(value, (int, float)):
+        return float(value), None, None
+    return None, None, None if value is None else str(value)
+
+
+def store_points(
+    points: DataFrame, registry: str, path: str, batch: str, meta: DataFrame | None = None, grain: str = "day"
+) -> None:
+    """Create the missing series of named points, then append the points."""
+    spark = points.sparkSession
+    created = onboard(points, registry_reader(spark, registry, skip_batch=batch), meta)
+    write_registry(created, registry, batch)
+    write_points(points, registry_reader(spark, registry), path, batch, grain)
+
+
 def store_requests(
     requests: DataFrame,
     form: str,
@@ -186,10 +317,7 @@ def store_requests(
     points = named_points(forms[form](requests), collector).withColumn(
         "seq", F.col("seq") if "seq" in requests.columns else F.lit(0)
     )
-    spark = requests.sparkSession
-    created = onboard(points, registry_reader(spark, registry, skip_batch=batch), meta)
-    write_registry(created, registry, batch)
-    write_points(points, registry_reader(spark, registry), path, batch, grain)
+    store_points(points, registry, path, batch, meta, grain)
 
 
 def pending_metadata(requests: DataFrame, collector: str) -> DataFrame:

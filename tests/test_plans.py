@@ -6,7 +6,7 @@ import pytest
 from compare import compare, duck
 from fixtures import BASE, asset, assets, measurement, measurements, point, points, values
 
-from tagseries.plans.history import TagHistory
+from tagseries.plans.history import TagHistory, TagStore
 from tagseries.plans.suite import ORACLE, QUERIES
 from tagseries.plans.timeseries import Aggregation, TimeseriesRequest, query_timeseries
 
@@ -100,6 +100,47 @@ def test_stored_points_are_read_by_uuid(spark, history, tmp_path):
     assert stored.query_raw_points([GONE], return_format="TALL").count() == 0
 
 
+def test_fill_mode_per_path(history):
+    got = history.query_aggregated_points(
+        [A, B], BASE, BASE + 3000, ["Sum"], ["DERIVED", "PREVIOUS"], ["a", "b"], period="1s"
+    )
+    assert values(got, "t_stamp", "a", "b") == [
+        (BASE, 0.0, 100.0),
+        (BASE + 1000, 1.0, 100.0),
+        (BASE + 2000, 2.0, 101.0),
+    ]
+    with pytest.raises(ValueError):
+        history.query_aggregated_points([A], BASE, BASE + 1, fill_modes=["WAVY"])
+    with pytest.raises(ValueError):
+        history.query_aggregated_points([A], BASE, BASE + 1, include_bounds=True)
+
+
+def test_script_store_round_trip(spark, tmp_path):
+    store = TagStore(spark, str(tmp_path), "Plant")
+    store.store_metadata([A], [{"description": "first", "unit": "C"}, {"unit": "F", "none": None}])
+    for _ in range(2):
+        store.store_data_points([A, A, A, B], [1, 2.5, None, True], [BASE, BASE + 1, BASE + 2, BASE], batch="one")
+    store.store_tag_history(["t1", "t2"], [["hello", "world"], ["x", "y"]], [BASE, BASE + 1], [64, 0])
+    back = store.history()
+    rows = values(back.points, "series_name", "ts_ms", "value_num", "value_bool", "value_str", "status")
+    assert rows == [
+        ("Plant/default/a", BASE, 1.0, None, None, "Good"),
+        ("Plant/default/a", BASE + 1, 2.5, None, None, "Good"),
+        ("Plant/default/b", BASE, None, True, None, "Good"),
+        ("Plant/default/t1", BASE, None, None, "hello", "Uncertain"),
+        ("Plant/default/t1", BASE + 1, None, None, "world", "Bad"),
+        ("Plant/default/t2", BASE, None, None, "x", "Uncertain"),
+        ("Plant/default/t2", BASE + 1, None, None, "y", "Bad"),
+    ]
+    created = {r.name: r for r in back.meas.collect()}
+    assert created["Plant/default/a"].description == "first"
+    assert created["Plant/default/a"].attributes == {"unit": "F"}
+    assert [created[f"Plant/default/{x}"].datatype for x in ("a", "b", "t1")] == ["number", "boolean", "string"]
+    assert back.query_raw_points([A], BASE, BASE + 9, return_format="TALL").count() == 2
+    with pytest.raises(ValueError):
+        store.store_data_points([A], [1, 2], [BASE])
+
+
 def ask(history, **options):
     return query_timeseries(TimeseriesRequest(**options), history.points, history.meas, options.pop("props", None))
 
