@@ -8,10 +8,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
+from ..operators.metadata import merge_metadata
 from ..operators.registry import onboard
 from ..operators.storage import NULL_VALUE, assign_series, conform, write_resolved
 from ..operators.telemetry import append_telemetry
-from ..schema import POINTS
+from ..schema import PENDING_METADATA, POINTS
 from ..sources.tables import registry_reader, write_registry
 
 # Micro-batch interval and quarantine replay interval.
@@ -35,6 +36,7 @@ def store_batch(
     quarantine: str | None = None,
     auto_onboard: bool = True,
     meta: DataFrame | None = None,
+    grain: str = "day",
 ) -> None:
     """Store one micro-batch.
 
@@ -51,7 +53,7 @@ def store_batch(
             write_registry(created, registry, batch)
             known = registry_reader(spark, registry)
         checked = assign_series(df, known)
-        write_resolved(checked.filter(F.col("reason").isNull()), path, batch)
+        write_resolved(checked.filter(F.col("reason").isNull()), path, batch, grain)
         if quarantine is not None:
             attempt = F.col("attempt") + 1 if "attempt" in df.columns else F.lit(1)
             refused = checked.filter(F.col("reason").isNotNull() & (F.col("reason") != NULL_VALUE))
@@ -79,16 +81,22 @@ def stream_points(
     auto_onboard: bool = True,
     interval: str = BATCH_INTERVAL,
     once: bool = False,
+    metadata: str | None = None,
+    grain: str = "day",
 ) -> StreamingQuery:
     """Append a stream of canonical points to the table at ``path``.
 
     The checkpoint keeps what is still to forward over an outage; delivery is at least once and
     each batch is idempotent. No watermark is set: late and back-filled points are stored like
-    any other. ``once`` works off what is there and stops.
+    any other. ``once`` works off what is there and stops. ``metadata`` is a folder of pending
+    property maps, read anew for every batch.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        store_batch(df, f"{name}-{batch_id:012d}", registry, path, quarantine, auto_onboard)
+        meta = None
+        if metadata is not None:
+            meta = merge_metadata(df.sparkSession.read.schema(PENDING_METADATA).parquet(metadata))
+        store_batch(df, f"{name}-{batch_id:012d}", registry, path, quarantine, auto_onboard, meta, grain)
 
     return (
         src.writeStream.queryName(name)

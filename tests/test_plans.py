@@ -1,6 +1,7 @@
 """Scripting interface, composed requests and the registered queries."""
 
 import os
+import pathlib
 
 import pytest
 from compare import compare, duck
@@ -179,7 +180,8 @@ def test_requested_aggregations(history):
 
 
 @pytest.fixture(scope="module")
-def database(sf_dir):
+def database(spark, sf_dir):
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
     return duck(sf_dir)
 
 
@@ -189,10 +191,21 @@ def test_every_query_has_a_counterpart():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_against_duckdb(spark, sf_dir, database, name):
-    _, message = compare(QUERIES[name](spark, sf_dir), database, ORACLE[name])
+    df = QUERIES[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        assert node not in plan
+    _, message = compare(df, database, ORACLE[name])
     assert message == ""
 
 
+def test_no_join_is_forced_to_broadcast():
+    root = pathlib.Path(__file__).parent.parent / "tagseries"
+    for file in root.rglob("*.py"):
+        text = file.read_text()
+        assert "broadcast(" not in text and "localCheckpoint" not in text and "udf(" not in text, file
+
+
 def test_entry(spark, sf_dir):
     import __spark_entry__ as entry
 

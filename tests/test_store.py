@@ -183,6 +183,21 @@ def test_stream_onboards_and_stores_late_points(spark, folder):
     assert storage.read_points(spark, path).count() == 4
 
 
+def test_stream_applies_pending_metadata(spark, folder):
+    from tagseries.schema import PENDING_METADATA
+
+    src, registry, meta = (f"{folder}/{x}" for x in ("in", "registry", "meta"))
+    tables.write_registry(measurements(spark, [measurement("old")]), registry, "base")
+    drop(points(spark, [point("new", BASE, 1)]), src)
+    rows = [("new", {"unit": "C", "description": "d1"}, 1), ("new", {"description": "d2"}, 2)]
+    spark.createDataFrame(rows, PENDING_METADATA).write.parquet(meta)
+    streams.stream_points(
+        source(spark, src), registry, f"{folder}/points", f"{folder}/check", once=True, metadata=meta
+    ).awaitTermination()
+    made = tables.registry_reader(spark, registry).filter("name = 'new'")
+    assert values(made, "description", "attributes") == [("d2", {"unit": "C"})]
+
+
 def test_repeated_micro_batch_changes_nothing(spark, folder):
     registry, path = f"{folder}/registry", f"{folder}/points"
     tables.write_registry(measurements(spark, [measurement("old")]), registry, "base")
