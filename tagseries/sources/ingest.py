@@ -2,51 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import GOOD_CODE
 
+_REQUEST = ("paths", "values", "timestamps", "qualities")
+
 
 def from_tag_matrix(df: DataFrame) -> DataFrame:
     """Points of tag-major requests: ``values[tag][t]`` against ``paths`` and ``timestamps``.
 
     ``qualities`` has one code per instant; without it every point is good.
     """
-    per_tag = df.withColumn("__by_tag", F.explode(F.arrays_zip("paths", "values"))).drop("paths", "values")
-    codes = F.coalesce("qualities", F.transform("timestamps", lambda _: F.lit(GOOD_CODE)))
-    cells = F.arrays_zip(
-        F.col("__by_tag")["values"].alias("value"), F.col("timestamps").alias("ts_ms"), codes.alias("quality")
-    )
-    rows = per_tag.select(
-        *[c for c in per_tag.columns if c not in ("__by_tag", "timestamps", "qualities")],
-        F.col("__by_tag")["paths"].alias("qpath"),
-        F.explode(cells).alias("__cell"),
+    rest = [c for c in df.columns if c not in _REQUEST]
+    tags = df.select(*rest, "values", "timestamps", "qualities", F.posexplode("paths").alias("__tag", "qpath"))
+    per_tag = tags.withColumn("values", F.get("values", F.col("__tag")))
+    cells = per_tag.select(
+        *rest, "qpath", "values", "qualities", F.posexplode("timestamps").alias("__at", "ts_ms")
     )
-    return _flatten(rows)
+    return _points(cells, rest, F.get("values", F.col("__at")), F.get("qualities", F.col("__at")))
 
 
 def from_parallel_arrays(df: DataFrame) -> DataFrame:
     """Points of requests with one entry per point in ``paths``, ``values``, ``timestamps`` and
     optionally ``qualities``."""
-    codes = F.coalesce("qualities", F.transform("timestamps", lambda _: F.lit(GOOD_CODE)))
-    cells = F.arrays_zip(
-        F.col("paths").alias("qpath"),
-        F.col("values").alias("value"),
-        F.col("timestamps").alias("ts_ms"),
-        codes.alias("quality"),
-    )
-    rows = df.withColumn("__cell", F.explode(cells)).drop("paths", "values", "timestamps", "qualities")
-    return _flatten(rows.withColumn("qpath", F.col("__cell.qpath")))
-
-
-def _flatten(rows: DataFrame) -> DataFrame:
-    cell = F.col("__cell")
-    return (
-        rows.withColumn("ts_ms", cell["ts_ms"].cast("bigint"))
-        .withColumn("value_num", cell["value"].cast("double"))
-        .withColumn("value_bool", F.lit(None).cast("boolean"))
-        .withColumn("value_str", F.lit(None).cast("string"))
-        .withColumn("quality_code", F.coalesce(cell["quality"], F.lit(GOOD_CODE)).cast("int"))
-        .drop("__cell")
+    rest = [c for c in df.columns if c not in _REQUEST]
+    cells = df.select(
+        *rest, "values", "timestamps", "qualities", F.posexplode("paths").alias("__at", "qpath")
+    ).withColumn("ts_ms", F.get("timestamps", F.col("__at")))
+    return _points(cells, rest, F.get("values", F.col("__at")), F.get("qualities", F.col("__at")))
+
+
+def _points(cells: DataFrame, rest: list[str], value: Column, code: Column) -> DataFrame:
+    return cells.select(
+        *rest,
+        "qpath",
+        F.col("ts_ms").cast("bigint").alias("ts_ms"),
+        value.cast("double").alias("value_num"),
+        F.lit(None).cast("boolean").alias("value_bool"),
+        F.lit(None).cast("string").alias("value_str"),
+        F.coalesce(code, F.lit(GOOD_CODE)).cast("int").alias("quality_code"),
     )
