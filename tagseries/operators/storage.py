@@ -10,6 +10,7 @@ from ..functions.paths import stored_path
 from ..functions.time import check_range
 from ..functions.values import GOOD_CODE, datatype_of, has_value, quality_to_status
 from ..schema import POINTS
+from ..session import shared_dir
 from .registry import measurements
 
 # Reasons why a point is not stored.
@@ -28,11 +29,31 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def named_points(df: DataFrame, collector: str) -> DataFrame:
-    """Incoming (qpath, ...) points with series name, default quality 192 and status."""
+def path_names(df: DataFrame, collector: str) -> DataFrame:
+    """(qpath, series_name) of the distinct paths in ``df``, as a table in the shared folder.
+
+    Points are many and paths are few: the path grammar runs once per path instead of once per
+    point and pass. As a table its size is known, so Spark broadcasts it only if it is small.
+    """
+    folder = shared_dir(df.sparkSession)
+    names = df.select("qpath").distinct().withColumn("series_name", stored_path("qpath", collector))
+    names.write.parquet(folder)
+    return df.sparkSession.read.schema("qpath string, series_name string").parquet(folder)
+
+
+def named_points(df: DataFrame, collector: str, names: DataFrame | None = None) -> DataFrame:
+    """Incoming (qpath, ...) points with series name, default quality 192 and status.
+
+    ``names`` (see ``path_names``) saves the path grammar per point. The name is never NULL; a
+    missing path gets the empty name, which no series has.
+    """
     code = F.coalesce("quality_code", F.lit(GOOD_CODE)) if "quality_code" in df.columns else F.lit(GOOD_CODE)
+    if names is None:
+        named = df.withColumn("series_name", stored_path("qpath", collector))
+    else:
+        named = df.drop("series_name").join(names, "qpath", "left")
     return (
-        df.withColumn("series_name", F.coalesce(stored_path("qpath", collector), F.lit("")))
+        named.withColumn("series_name", F.coalesce("series_name", F.lit("")))
         .withColumn("quality_code", code.cast("int"))
         .withColumn("status", quality_to_status("quality_code"))
     )

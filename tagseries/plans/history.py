@@ -20,7 +20,7 @@ from ..operators.raw import assume_good, by_uuid, concat_series, first_from, lat
 from ..operators.registry import onboard
 from ..operators.resolve import lookup_nodes, missing_keys, named_keys, query_metadata, resolve_keys
 from ..operators.shape import check_format, tall, wide
-from ..operators.storage import named_points, read_points, write_points
+from ..operators.storage import named_points, path_names, read_points, write_points
 from ..schema import ASSETS, MEASUREMENTS
 from ..sources.ingest import from_parallel_arrays, from_tag_matrix
 from ..sources.tables import registry_reader, write_registry
@@ -238,8 +238,9 @@ class TagStore:
     def store(self, points: DataFrame, batch: str | None = None) -> None:
         """Points of a DataFrame with ``qpath``, ``ts_ms``, value columns, ``quality_code`` and ``seq``."""
         name = batch or uuid.uuid4().hex
+        named = named_points(points, self.collector, path_names(points, self.collector))
         store_points(
-            named_points(points, self.collector), self.registry, self.points, name, self.pending(), self.grain
+            named, self.registry, self.points, name, self.pending(), self.grain
         )
 
     def store_metadata(
@@ -314,7 +315,8 @@ def store_requests(
     forms = {"matrix": from_tag_matrix, "arrays": from_parallel_arrays}
     if form not in forms:
         raise ValueError(f"unknown request form: {form}")
-    points = named_points(forms[form](requests), collector).withColumn(
+    rows = forms[form](requests)
+    points = named_points(rows, collector, path_names(rows, collector)).withColumn(
         "seq", F.col("seq") if "seq" in requests.columns else F.lit(0)
     )
     store_points(points, registry, path, batch, meta, grain)

@@ -4,7 +4,7 @@ import pytest
 from fixtures import BASE, asset, assets, measurement, measurements, point, points, ramp, values
 
 from tagseries.operators import raw, resolve, shape
-from tagseries.operators.storage import named_points
+from tagseries.operators.storage import named_points, path_names
 
 
 def test_range_is_half_open(spark):
@@ -230,7 +230,14 @@ def test_strings_and_booleans_come_back(spark, plant):
 
 def test_named_points_default_quality(spark):
     df = spark.createDataFrame([(PREFIX + "a", 1, None), (PREFIX + "b", 2, 64)], "qpath string, ts_ms bigint, quality_code int")
-    assert values(named_points(df, "Plant"), "series_name", "quality_code", "status") == [
-        ("Plant/default/a", 192, "Good"),
-        ("Plant/default/b", 64, "Uncertain"),
-    ]
+    for names in (None, path_names(df, "Plant")):
+        assert values(named_points(df, "Plant", names), "series_name", "quality_code", "status") == [
+            ("Plant/default/a", 192, "Good"),
+            ("Plant/default/b", 64, "Uncertain"),
+        ]
+
+
+def test_missing_path_has_the_empty_name(spark):
+    df = spark.createDataFrame([(None, 1), (PREFIX + "a", 2)], "qpath string, ts_ms bigint")
+    for names in (None, path_names(df, "Plant")):
+        assert values(named_points(df, "Plant", names), "series_name") == [("",), ("Plant/default/a",)]
