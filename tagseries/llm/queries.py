@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
-from . import bpe, packing, token_files
+from . import bpe, packing, shingles, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -47,3 +47,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and offset."""
     docs = table(spark, sf_dir, "documents")
     return packing.pack(packing.cut(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@register("op8_ngram_jaccard")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and near-duplicate group of each document."""
+    return shingles.near_groups(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
