@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
-from . import bpe, packing, shingles, token_files
+from . import bpe, chat, hashing_search, licenses, packing, pii, pivot_search, shingles, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -53,3 +53,39 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and near-duplicate group of each document."""
     return shingles.near_groups(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
+@register("op1_toxicity_chain")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities of each document, and whether to reject it."""
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op2_multi_index_hashing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    return hashing_search.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@register("op5_license_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in each document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@register("op6_pivot_top_k")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every vector whose id is divisible by 50."""
+    return pivot_search.search(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+@register("op7_chat_format")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message of every conversation under the role recovered, as canonical turns."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+@register("op9_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document."""
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
