@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; numpy needs some 60 times as much for a moment.
-CHUNK = 3 << 20
+CHUNK = 1 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1

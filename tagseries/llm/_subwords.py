@@ -13,7 +13,7 @@ from ._batch import buffer, pieces, ragged
 from ._pretokens import hashes, pretokens
 
 #: Distinct pre-tokens a worker remembers; beyond, it starts again with those of the batch at hand.
-MEMO = 2_000_000
+MEMO = 1_200_000
 
 Encode = Callable[[list[bytes], np.ndarray], list[list[int]]]
 

@@ -157,19 +157,21 @@ def fit(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...], folds:
     """The chain for (rows, label columns). The last category is the upper half of the positives of label ``severe``,
     by out-of-fold log odds: the strongly toxic ones among the toxic."""
     docs, found, done = [], [], 0
+    bucket = np.zeros(1 << 22, np.int32)  # rows per hash bucket: at least as many as hold any feature in it
     batch = pa.RecordBatch.from_arrays([texts], ["text"])
     for piece in pieces([batch], "text"):
         doc, h = features(piece.column(0))
-        pair = pd.DataFrame({"d": doc + done, "h": h}).drop_duplicates()
+        pair = pd.DataFrame({"d": (doc + done).astype(np.int32), "h": h}).drop_duplicates()
         docs.append(pair["d"].to_numpy())
         found.append(pair["h"].to_numpy())
+        bucket += np.bincount((found[-1] >> _U(42)).astype(np.int64), minlength=len(bucket)).astype(np.int32)
         done += piece.num_rows
-    row = np.concatenate([*docs, np.zeros(0, np.int64)])
-    feature, names = pd.factorize(np.concatenate([*found, np.zeros(0, _U)]))
+    often = bucket >= SUPPORT  # most features are rare and can tell nothing
+    kept = [often[(h >> _U(42)).astype(np.int64)] for h in found]
+    row = np.concatenate([*(d[k] for d, k in zip(docs, kept, strict=True)), np.zeros(0, np.int32)]).astype(np.int64)
+    feature, names = pd.factorize(np.concatenate([*(h[k] for h, k in zip(found, kept, strict=True)), np.zeros(0, _U)]))
+    del docs, found, kept
     names, n = np.asarray(names, _U), len(labels)
-    often = np.bincount(feature, minlength=len(names)) >= SUPPORT
-    kept = often[feature]
-    row, feature, names = row[kept], (np.cumsum(often) - 1)[feature[kept]], names[often]
     odds, links = np.zeros((n, 0)), []
     for c in range(len(categories)):
         if c < labels.shape[1]:
