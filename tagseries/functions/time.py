@@ -28,9 +28,10 @@ def bucket_start(ts_ms: ColumnLike, period_ms: int, origin_ms: int = 0) -> Colum
 
 def arrival_order(ts_ms: ColumnLike = "ts_ms", seq: ColumnLike = "seq") -> Column:
     """(ts_ms, seq) as one DECIMAL, so min_by / max_by keep a fixed-width buffer and the
-    aggregate stays a HashAggregate (a struct or string buffer would make it sort)."""
+    aggregate stays a HashAggregate (a struct or string buffer would make it sort). A point
+    without ``seq`` comes before those of its instant that have one."""
     shift = F.lit(str(10**19)).cast("decimal(20,0)")
-    return (col(ts_ms).cast("decimal(18,0)") * shift + col(seq).cast("decimal(19,0)")).cast("decimal(38,0)")
+    return (col(ts_ms).cast("decimal(18,0)") * shift + F.coalesce(col(seq), F.lit(-1)).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def period_ms(period: int | str | None) -> int:
@@ -91,3 +92,16 @@ def relative_range(now_ms: int, minutes: int = 0, hours: int = 0) -> tuple[int,
 def check_range(start: int | None, end: int | None) -> None:
     if start is not None and end is not None and end < start:
         raise ValueError(f"inverted time range: end {end} lies before start {start}")
+
+
+def part_bounds(start: int | None = None, end: int | None = None, part: str = "part") -> Column:
+    """Predicate on the date partition that holds for every point in ``[start, end)``, whether the
+    table was written by day, month or year."""
+    keep = F.lit(True)
+    if start is not None:
+        at = F.timestamp_millis(F.lit(start))
+        coarse = [F.date_trunc(g, at).cast("date") for g in ("month", "year")]
+        keep = (F.col(part) >= at.cast("date")) | (F.col(part) == coarse[0]) | (F.col(part) == coarse[1])
+    if end is not None:
+        keep = keep & (F.col(part) <= F.timestamp_millis(F.lit(end)).cast("date"))
+    return keep

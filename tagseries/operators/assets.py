@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..session import checkpointed
 
-MAX_DEPTH = 64
+# Levels after which what is found becomes one table again, so the plan does not grow with the depth.
+LEVELS = 16
 
 
-def asset_closure(assets: DataFrame, roots: Iterable[str] | DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def asset_closure(assets: DataFrame, roots: Iterable[str] | DataFrame) -> DataFrame:
     """(uuid, depth) of the root assets and everything below them.
 
     Walks the parent links level by level; every level is one join of the frontier with the
@@ -26,15 +27,17 @@ def asset_closure(assets: DataFrame, roots: Iterable[str] | DataFrame, max_depth
         start = links.filter(F.col("uuid").isin(list(roots)))
     frontier = checkpointed(start.select("uuid", F.lit(0).alias("depth")))
     found = frontier
-    for depth in range(1, max_depth + 1):
+    depth = 0
+    while not frontier.isEmpty():
+        depth += 1
         children = links.join(
             frontier.select(F.col("uuid").alias("parent_uuid")), "parent_uuid", "left_semi"
         ).select("uuid", F.lit(depth).alias("depth"))
         frontier = checkpointed(children.join(found.select("uuid"), "uuid", "left_anti"))
-        if frontier.isEmpty():
-            return found
         found = found.unionByName(frontier)
-    raise ValueError(f"asset tree deeper than {max_depth} levels")
+        if depth % LEVELS == 0:
+            found = checkpointed(found)
+    return found
 
 
 def asset_points(

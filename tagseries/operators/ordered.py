@@ -25,10 +25,6 @@ SERIES_KEYS = ("series_name",)
 # point per millisecond a cell of six hours holds 21.6 million rows.
 CHUNK_MS = 6 * HOUR_MS
 
-# Ranks up to here use Spark's group limit, which leaves this many rows per series and map task
-# before the shuffle; all map tasks' rows of a series meet in one task.
-GROUP_LIMIT = 50
-
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 _CHUNK = "__chunk"
@@ -45,9 +41,9 @@ def dedupe_last_write(
     """
     rest = [f for f in df.schema.fields if f.name not in (*keys, order, seq)]
     if all(isinstance(f.dataType, _FIXED_WIDTH) for f in rest):
-        kept = [F.max_by(f.name, seq).alias(f.name) for f in rest]
+        kept = [F.max_by(f.name, F.coalesce(F.col(seq), F.lit(-1))).alias(f.name) for f in rest]
         return df.groupBy(*keys, order).agg(*kept, F.max(seq).alias(seq)).select(df.columns)
-    w = Window.partitionBy(*keys, order).orderBy(F.col(seq).desc())
+    w = Window.partitionBy(*keys, order).orderBy(F.col(seq).desc_nulls_last())
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
@@ -202,26 +198,58 @@ def only_changes(
     return linked.filter(F.col("__previous").isNull() | differs).drop("__previous")
 
 
+def with_position(
+    df: DataFrame,
+    keys: Sequence[str] = SERIES_KEYS,
+    desc: bool = False,
+    chunk_ms: int = CHUNK_MS,
+    name: str = "position",
+    after: int = 0,
+    upto: int | None = None,
+    seq: str = "seq",
+) -> DataFrame:
+    """1-based position of each row in its series by (ts_ms, seq); copies of an instant are rows too.
+
+    The instants with their numbers of rows take the place of the rows, so the cells stay bounded
+    by their width; only the rows of one instant are put in order together. Only positions in
+    ``after + 1 .. upto`` are returned, and instants outside drop out before any row is sorted.
+    """
+    direction = (lambda c: F.col(c).desc_nulls_last()) if desc else (lambda c: F.col(c).asc_nulls_first())
+    instants = _cells(df.groupBy(*keys, "ts_ms").agg(F.count(F.lit(1)).alias("__n")), "ts_ms", chunk_ms)
+    earlier = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys, _CHUNK).orderBy(direction("ts_ms")).rowsBetween(*earlier)
+    across = Window.partitionBy(*keys).orderBy(direction(_CHUNK)).rowsBetween(*earlier)
+    cells = instants.groupBy(*keys, _CHUNK).agg(F.sum("__n").alias("__rows"))
+    cells = cells.withColumn("__skip", F.coalesce(F.sum("__rows").over(across), F.lit(0)))
+    cells = cells.filter(F.col("__skip") + F.col("__rows") > after)
+    if upto is not None:
+        cells = cells.filter(F.col("__skip") < upto)
+    placed = instants.join(cells.drop("__rows"), [*keys, _CHUNK]).withColumn(
+        "__before", F.coalesce(F.sum("__n").over(inside), F.lit(0)) + F.col("__skip")
+    )
+    placed = placed.filter(F.col("__before") + F.col("__n") > after)
+    if upto is not None:
+        placed = placed.filter(F.col("__before") < upto)
+    copies = Window.partitionBy(*keys, "ts_ms").orderBy(direction(seq))
+    ranked = df.join(placed.select(*keys, "ts_ms", "__before"), [*keys, "ts_ms"])
+    ranked = ranked.withColumn("__nth", F.row_number().over(copies))
+    if upto is not None:
+        ranked = ranked.filter(F.col("__nth") <= upto)  # cuts a heap of copies before the shuffle
+    ranked = ranked.withColumn(name, (F.col("__before") + F.col("__nth")).cast("bigint")).filter(F.col(name) > after)
+    if upto is not None:
+        ranked = ranked.filter(F.col(name) <= upto)
+    return ranked.drop("__before", "__nth")
+
+
 def limit_per_series(
     df: DataFrame,
     n: int | None,
     offset: int = 0,
     desc: bool = False,
     keys: Sequence[str] = SERIES_KEYS,
-    deduped: bool = False,
     chunk_ms: int = CHUNK_MS,
 ) -> DataFrame:
-    """Rows ``offset + 1 .. offset + n`` of each series in time order.
-
-    Short prefixes use ``row_number`` with Spark's group limit before the shuffle; longer ones
-    rank cell by cell, which is exact for any size.
-    """
-    unique = df if deduped else dedupe_last_write(df, keys)
+    """Rows ``offset + 1 .. offset + n`` of each series by time and arrival; copies count as rows."""
     upto = None if n is None else n + offset
-    if upto is None or upto > GROUP_LIMIT:
-        return with_rank(unique, keys, desc=desc, chunk_ms=chunk_ms, name="__rank", after=offset, upto=upto).drop(
-            "__rank"
-        )
-    w = Window.partitionBy(*keys).orderBy(F.col("ts_ms").desc() if desc else F.col("ts_ms").asc())
-    ranked = unique.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= upto)
-    return ranked.filter(F.col("__rank") > offset).drop("__rank")
+    out = with_position(df, keys, desc, chunk_ms, name="__position", after=offset, upto=upto)
+    return out.select(df.columns)

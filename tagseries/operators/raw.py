@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import arrival_order, check_range
+from ..functions.time import arrival_order, check_range, part_bounds
 from ..functions.values import GOOD, GOOD_CODE, tag_value
 from .ordered import limit_per_series
 
@@ -15,8 +15,13 @@ VALUE_COLUMNS = ("value_num", "value_bool", "value_str")
 
 
 def time_range(df: DataFrame, start: int | None = None, end: int | None = None, column: str = "ts_ms") -> DataFrame:
-    """Points in ``[start, end)``; an absent end is open, an inverted range an error."""
+    """Points in ``[start, end)``; an absent end is open, an inverted range an error.
+
+    A table of stored points (with its ``part`` column) also prunes its partitions.
+    """
     check_range(start, end)
+    if column == "ts_ms" and ("part", "date") in df.dtypes and (start is not None or end is not None):
+        df = df.filter(part_bounds(start, end))
     if start is not None:
         df = df.filter(F.col(column) >= F.lit(start))
     if end is not None:

@@ -25,13 +25,19 @@ def is_active(status: str = "status") -> Column:
     return F.lower(F.col(status)) == ACTIVE
 
 
+def current(meas: DataFrame) -> DataFrame:
+    """The newest row of every uuid: a later row with another status replaces an active one."""
+    newest = Window.partitionBy("uuid").orderBy(F.col("updated_at").desc_nulls_last(), is_active().asc())
+    return meas.withColumn("__rn", F.row_number().over(newest)).filter("__rn = 1").drop("__rn")
+
+
 def measurements(meas: DataFrame, since=None, collector: str | None = None) -> DataFrame:
     """Active measurements, one per name: the one updated last, then the highest uuid.
 
     ``since`` keeps measurements updated at or after that time, ``collector`` those of one
     collector. The result replaces any earlier snapshot, so deleted names disappear.
     """
-    kept = meas.filter(is_active())
+    kept = current(meas).filter(is_active())
     if since is not None:
         kept = kept.filter(F.col("updated_at") >= F.lit(since))
     if collector is not None:
@@ -87,7 +93,8 @@ def onboard(points: DataFrame, meas: DataFrame, meta: DataFrame | None = None) -
 
     The datatype comes from the first non-null value. Pending metadata of the name is applied:
     ``description`` becomes the description, all else the attributes. The id is derived from
-    the name, so running twice creates nothing twice.
+    the name, so running twice creates nothing twice. A series that had been deleted gets its id
+    back with a later update than the deletion, so the new row is the one that counts.
     """
     known = measurements(meas).select(F.col("name").alias("series_name"))
     fresh = infer_datatype(points).filter(F.col("series_name") != "").join(known, "series_name", "left_anti")
@@ -99,13 +106,15 @@ def onboard(points: DataFrame, meas: DataFrame, meta: DataFrame | None = None) -
         fresh = fresh.withColumn("__meta", F.lit(None).cast(text_map))
     rest = F.map_filter("__meta", lambda k, v: k != "description")
     first = F.timestamp_millis("first_ms")
+    gone = meas.groupBy(F.col("name").alias("series_name")).agg(F.max("updated_at").alias("__gone"))
+    fresh = fresh.join(gone, "series_name", "left")
     return fresh.select(
         name_uuid("series_name").alias("uuid"),
         F.col("series_name").alias("name"),
         F.lit("Active").alias("status"),
         "datatype",
         first.alias("created_at"),
-        first.alias("updated_at"),
+        F.greatest(first, F.col("__gone") + F.expr("INTERVAL 1 MICROSECOND")).alias("updated_at"),
         F.try_element_at("__meta", F.lit("description")).alias("description"),
         F.when(F.size(rest) > 0, rest).alias("attributes"),
     )
@@ -125,7 +134,8 @@ def namespace(meas: DataFrame, assets: DataFrame) -> DataFrame:
     """(name, uuid, kind, datatype, created_at) of all names; a measurement hides an asset."""
     shown = ["name", "uuid", "datatype", "created_at", "updated_at"]
     both = (
-        meas.filter(is_active())
+        current(meas)
+        .filter(is_active())
         .select(*shown, F.lit("measurement").alias("kind"))
         .unionByName(assets.withColumn("datatype", F.lit(NUMBER)).select(*shown, F.lit("asset").alias("kind")))
     )

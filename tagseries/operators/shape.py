@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import nan_to_null
-from .ordered import dedupe_last_write, with_rank
+from .ordered import with_position
 
 RETURN_FORMATS = ("WIDE", "TALL")
 PAGE_SIZE = 10_000
@@ -74,20 +74,21 @@ def to_series(
     header: Sequence[str] = ("series_name",),
     value: str = "value_num",
     page_size: int = PAGE_SIZE,
-    deduped: bool = False,
 ) -> DataFrame:
     """Nested result: header, field names and the ordered points of a series.
 
     A series comes in pages of ``page_size`` points (``page`` counts from 0), so one array
-    never holds more than a page; a series that fits in one page is one row.
+    never holds more than a page; a series that fits in one page is one row. Copies of an
+    instant are points too, in order of arrival.
     """
-    unique = df if deduped else dedupe_last_write(df)
-    ranked = with_rank(unique.select(*dict.fromkeys([*header, "series_name", "ts_ms", value])), name="__rank")
+    rows = df.select(*dict.fromkeys([*header, "series_name", "ts_ms", "seq", value]))
+    ranked = with_position(rows, name="__rank")
     paged = ranked.withColumn("page", F.floor((F.col("__rank") - 1) / page_size).cast("bigint"))
-    point = F.struct("ts_ms", F.col(value).alias("value"))
+    point = F.struct("__rank", "ts_ms", F.col(value).alias("value"))
+    ordered = F.sort_array(F.collect_list(point))
     return (
         paged.groupBy(*dict.fromkeys([*header, "series_name", "page"]))
-        .agg(F.sort_array(F.collect_list(point)).alias("points"))
+        .agg(F.transform(ordered, lambda p: F.struct(p["ts_ms"].alias("ts_ms"), p["value"].alias("value"))).alias("points"))
         .withColumn("fields", F.array(F.lit("time"), F.lit("value")))
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import stored_path
-from ..functions.time import check_range
+from ..functions.time import check_range, part_bounds
 from ..functions.values import GOOD_CODE, datatype_of, has_value, quality_to_status
 from ..schema import POINTS
 from ..session import shared_dir
@@ -20,13 +20,13 @@ NO_TIMESTAMP = "no timestamp"
 WRONG_TYPE = "datatype mismatch"
 
 
-def conform(df: DataFrame) -> DataFrame:
-    """Canonical point columns; missing ones are added as NULL."""
+def conform(df: DataFrame, *more: Column) -> DataFrame:
+    """Canonical point columns and ``more``; missing ones are added as NULL."""
     out = []
     for field in POINTS.fields:
         c = F.col(field.name) if field.name in df.columns else F.lit(None)
         out.append(c.cast(field.dataType).alias(field.name))
-    return df.select(*out)
+    return df.select(*out, *more)
 
 
 def path_names(df: DataFrame, collector: str) -> DataFrame:
@@ -103,21 +103,48 @@ def lay_out(df: DataFrame, grain: str = "day") -> DataFrame:
     """Rows range-partitioned and sorted by (part, series, time).
 
     Each task writes a contiguous piece of few parts, a hot series or day is split by time, and
-    row-group statistics on ``measurement_uuid`` and ``ts_ms`` let reads skip.
+    row-group statistics on ``measurement_uuid`` and ``ts_ms`` let reads skip; copies of one
+    instant are cut by arrival.
     """
-    order = ["part", "measurement_uuid", "ts_ms"]
+    order = ["part", "measurement_uuid", "ts_ms", "seq"]
     dated = df.withColumn("part", _part(F.col("ts_ms"), grain))
     return dated.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def write_points(df: DataFrame, registry: DataFrame, path: str, batch: str, grain: str = "day") -> None:
-    """Append the storable points of ``df`` under ``part=.../batch=.../``.
+def refused_path(path: str) -> str:
+    """Where a point table keeps what it refused, unless another folder is given."""
+    return f"{path.rstrip('/')}-refused"
 
-    Only the partitions of this batch are replaced, so a repeated batch leaves the table as if
-    it had run once.
+
+def write_refused(checked: DataFrame, path: str, batch: str) -> None:
+    """Keep refused points with their reason and the number of tries, as one batch.
+
+    Null values carry nothing to store and are skipped.
     """
-    good, _ = storable(df, registry)
-    write_resolved(good, path, batch, grain)
+    attempt = F.col("attempt") + 1 if "attempt" in checked.columns else F.lit(1)
+    refused = checked.filter(F.col("reason").isNotNull() & (F.col("reason") != NULL_VALUE))
+    (
+        conform(refused, F.col("reason"), attempt.cast("int").alias("attempt"))
+        .withColumn("batch", F.lit(batch))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch")
+        .parquet(path)
+    )
+
+
+def write_points(
+    df: DataFrame, registry: DataFrame, path: str, batch: str, grain: str = "day", refused: str | None = None
+) -> None:
+    """Append the storable points of ``df`` under ``part=.../batch=.../``, and those refused with
+    their reason to ``refused`` (by default a folder beside the table).
+
+    Only the partitions of this batch are replaced, so a repeated batch leaves both as if it had
+    run once.
+    """
+    checked = assign_series(df, registry)
+    write_resolved(checked.filter(F.col("reason").isNull()), path, batch, grain)
+    write_refused(checked, refused or refused_path(path), batch)
 
 
 def write_resolved(df: DataFrame, path: str, batch: str, grain: str = "day") -> None:
@@ -130,15 +157,12 @@ def write_resolved(df: DataFrame, path: str, batch: str, grain: str = "day") ->
     )
 
 
-def read_points(
-    spark: SparkSession, path: str, start: int | None = None, end: int | None = None, grain: str = "day"
-) -> DataFrame:
-    """Stored points; the range prunes partitions and is pushed into the files."""
+def read_points(spark: SparkSession, path: str, start: int | None = None, end: int | None = None) -> DataFrame:
+    """Stored points; the range prunes partitions of any grain and is pushed into the files."""
     check_range(start, end)
     schema = T.StructType([*POINTS.fields, T.StructField("part", T.DateType()), T.StructField("batch", T.StringType())])
     df = spark.read.schema(schema).parquet(path)
+    df = df.filter(part_bounds(start, end))
     if start is not None:
-        df = df.filter((F.col("part") >= _part(F.lit(start), grain)) & (F.col("ts_ms") >= start))
-    if end is not None:
-        df = df.filter((F.col("part") <= _part(F.lit(end), grain)) & (F.col("ts_ms") < end))
-    return df
+        df = df.filter(F.col("ts_ms") >= start)
+    return df if end is None else df.filter(F.col("ts_ms") < end)

@@ -155,7 +155,7 @@ class TagHistory:
     def _shaped(self, rows, paths, column_names, layout, size, value) -> DataFrame:
         if layout == "TALL":
             out = rows.select("qpath", *tall(rows, value).columns[:-1], F.col(value).alias("value"), "seq")
-            return out if size is None else out.orderBy("ts_ms", "qpath", "seq").limit(size).drop("seq")
+            return out if size is None else out.orderBy("ts_ms", "qpath", "seq").limit(size)
         out = wide(rows, list(paths), column_names, value=value, key="qpath")
         return out if size is None else out.orderBy("t_stamp").limit(size)
 
@@ -270,7 +270,7 @@ class TagStore:
     def history(self, assets: DataFrame | None = None) -> TagHistory:
         """Reader of what is stored now."""
         things = assets if assets is not None else self.spark.createDataFrame([], ASSETS)
-        points = read_points(self.spark, self.points, grain=self.grain)
+        points = read_points(self.spark, self.points)
         return TagHistory(points, registry_reader(self.spark, self.registry), things, self.collector, stored=True)
 
 

@@ -373,3 +373,39 @@ def timeseries_request(spark, sf):
     )
     return query_timeseries(request, pts, meas)
 
+
+
+@register(
+    "raw_limit_copies",
+    f"""WITH {SHIP} SELECT series_name, ts_ms, value_num, seq FROM ship
+    QUALIFY row_number() OVER (PARTITION BY series_name ORDER BY ts_ms, seq) BETWEEN 11 AND 510""",
+)
+def raw_limit_copies(spark, sf):
+    return limit_per_series(tb.points_ship(spark, sf), 500, offset=10).select("series_name", "ts_ms", "value_num", "seq")
+
+
+@register(
+    "series_nested_copies",
+    f"""WITH {SHIP}, r AS (SELECT *, (row_number() OVER (PARTITION BY line_series ORDER BY ts_ms, seq) - 1) // 200 AS page FROM ship)
+    SELECT line_series AS series_name, page, count(*) AS n, min(ts_ms) AS first, round(sum(value_num), 2) AS total
+    FROM r GROUP BY ALL""",
+)
+def series_nested_copies(spark, sf):
+    pages = shape.to_series(tb.points_lines(spark, sf), page_size=200)
+    total = F.aggregate("points", F.lit(0.0), lambda s, p: s + p["value"])
+    return pages.select(
+        "series_name",
+        "page",
+        F.size("points").cast("bigint").alias("n"),
+        F.element_at("points", 1)["ts_ms"].alias("first"),
+        F.round(total, 2).alias("total"),
+    )
+
+
+@register(
+    "latest_without_seq",
+    f"""WITH {POINTS} SELECT series_name, max(ts_ms) AS ts_ms, arg_max(value_num, ts_ms) AS value_num FROM points GROUP BY ALL""",
+)
+def latest_without_seq(spark, sf):
+    pts = tb.points(spark, sf).withColumn("seq", F.lit(None).cast("bigint"))
+    return raw.latest(pts).select("series_name", "ts_ms", "value_num")

@@ -498,8 +498,8 @@ def asset_points(spark, sf):
     AND parent_uuid IN (SELECT concat('n', n_nationkey) FROM nation)""",
 )
 def find_assets(spark, sf):
-    # 25 nations, a table of fixed size
-    parents = [f"n{i}" for i in range(25)]
+    # nations are a table of fixed size
+    parents = [f"n{r.n_nationkey}" for r in tb.table(spark, sf, "nation").select("n_nationkey").collect()]
     return reg.find_assets(tb.assets_view(spark, sf), keyword="NATION_1", path="A", parents=parents).select(
         "uuid", "name"
     )
@@ -540,3 +540,15 @@ def find_collectors(spark, sf):
 )
 def find_databases(spark, sf):
     return reg.find_databases(tb.databases_view(spark, sf), keyword="a")
+
+
+@register(
+    "registry_deleted",
+    f"""WITH {MEASUREMENTS} SELECT name, uuid FROM active WHERE event_type <> 'error'""",
+)
+def registry_deleted(spark, sf):
+    """A later row with another status takes a measurement off the registry."""
+    meas = tb.measurements_view(spark, sf)
+    gone = meas.filter(F.col("name").contains("/error/")).withColumn("status", F.lit("deleted"))
+    gone = gone.withColumn("updated_at", F.expr("updated_at + INTERVAL 1 DAY"))
+    return reg.measurements(meas.unionByName(gone)).select("name", "uuid")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.values import map_text
+from ..operators import raw
 from ..operators import registry as reg
 from ..operators import storage, telemetry
 from ..operators.aggregate import answer_requests
@@ -147,7 +148,7 @@ def store_line_requests(spark, sf):
     registry, path = f"{base}/registry", f"{base}/points"
     tables.write_registry(tb.measurements_view(spark, sf), registry, "base")
     store_requests(array_requests(spark, sf), "arrays", registry, path, "batch-1", tb.COLLECTOR, grain="year")
-    return storage.read_points(spark, path, grain="year").select("series_name", "ts_ms", "value_num", "status", "seq")
+    return storage.read_points(spark, path).select("series_name", "ts_ms", "value_num", "status", "seq")
 
 
 _OPS = f"""o AS (SELECT epoch_us(ts) // 1000 AS ts_ms, CASE event_type WHEN 'view' THEN 'raw' WHEN 'purchase' THEN 'agg' ELSE 'store' END AS op,
@@ -327,3 +328,53 @@ def stream_metrics(spark, sf):
     intervals = stream_agg.stream_metrics(tb.event_operations(tb.event_stream(spark, sf)))
     stream_agg.write_snapshots(intervals, f"{base}/out", f"{base}/checkpoint", "metrics", once=True).awaitTermination()
     return _report(telemetry.metric_report(stream_agg.latest_snapshot(spark, f"{base}/out")))
+
+
+@register(
+    "stream_two_writers",
+    f"""WITH {POINTS} SELECT series_name, ts_ms, seq, count(*) * 2 AS writes FROM points GROUP BY ALL""",
+)
+def stream_two_writers(spark, sf):
+    """Two streams of one name and two checkpoints write into one table; neither replaces the other's rows."""
+    base = shared_dir(spark)
+    registry, path = f"{base}/registry", f"{base}/points"
+    tables.write_registry(tb.measurements_view(spark, sf), registry, "base")
+    for i in range(2):
+        stream_ingest.stream_points(
+            tb.stream_user_points(spark, sf), registry, path, f"{base}/checkpoint-{i}", once=True
+        ).awaitTermination()
+    return storage.read_points(spark, path).groupBy("series_name", "ts_ms", "seq").agg(F.count("*").alias("writes"))
+
+
+@register(
+    "store_refused",
+    f"""WITH {POINTS}, {MEASUREMENTS} SELECT reason, count(*) AS points FROM (
+      SELECT CASE WHEN series_name NOT IN (SELECT name FROM active) THEN 'no series' WHEN event_type = 'signup'
+        THEN 'datatype mismatch' ELSE 'stored' END AS reason FROM points) GROUP BY reason""",
+)
+def store_refused(spark, sf):
+    """What a batch store takes and what it sets aside add up to the input."""
+    path = shared_dir(spark)
+    is_text = F.element_at("tags", "type") == "signup"
+    pts = tb.points(spark, sf).withColumn("value_str", F.when(is_text, "yes"))
+    pts = pts.withColumn("value_num", F.when(~is_text, F.col("value_num")))
+    storage.write_points(pts, tb.measurements_view(spark, sf), path, "batch-1")
+    refused = spark.read.parquet(storage.refused_path(path)).select("reason")
+    both = refused.unionAll(storage.read_points(spark, path).select(F.lit("stored").alias("reason")))
+    return both.groupBy("reason").agg(F.count("*").alias("points"))
+
+
+@register(
+    "stored_range",
+    f"""WITH {POINTS}, {MEASUREMENTS}, b AS (SELECT min(ts_ms) + 86400000 AS lo, max(ts_ms) - 86400000 AS hi FROM points)
+    SELECT series_name, ts_ms, value_num FROM points, b WHERE series_name IN (SELECT name FROM active)
+    AND ts_ms >= lo AND ts_ms < hi""",
+)
+def stored_range(spark, sf):
+    """A range read of a table written by month; the range prunes its partitions."""
+    path = shared_dir(spark)
+    pts = tb.points(spark, sf)
+    storage.write_points(pts, tb.measurements_view(spark, sf), path, "batch-1", grain="month")
+    low, high = pts.agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    day = 86_400_000
+    return raw.time_range(storage.read_points(spark, path), low + day, high - day).select("series_name", "ts_ms", "value_num")

@@ -103,16 +103,27 @@ def query_timeseries(
         raise ValueError("grouping by tags needs an aggregation")
 
     if request.join is not None:
-        return align(out, request.join, value="value" if "value" in out.columns else "value_num")
+        joined = align(out, request.join, value="value" if "value" in out.columns else "value_num")
+        return _page(joined, request)  # one row per instant: limit and offset count instants
     if request.limit is not None or request.offset:
         if request.aggregation is not None:
             out = out.withColumn("seq", F.lit(0)).withColumn("series_name", F.concat_ws("/", *keys))
         out = limited(out, request.limit, request.offset, request.desc, request.limit_scope)
         if request.aggregation is not None:
             out = out.select(*keys, "ts_ms", "value")
+    if request.desc:
+        return out.orderBy(*keys, F.desc("ts_ms"), *([F.desc("seq")] if "seq" in out.columns else []))
     return out
 
 
+def _page(joined: DataFrame, request: TimeseriesRequest) -> DataFrame:
+    if request.limit is None and not request.offset and not request.desc:
+        return joined
+    out = joined.orderBy(F.desc("ts_ms") if request.desc else F.asc("ts_ms"))
+    out = out.offset(request.offset) if request.offset else out
+    return out if request.limit is None else out.limit(request.limit)
+
+
 def _aggregated(out: DataFrame, request: TimeseriesRequest, keys: Iterable[str]) -> DataFrame:
     agg = request.aggregation
     if agg.arguments:

@@ -10,7 +10,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ..operators.metadata import merge_metadata
 from ..operators.registry import onboard
-from ..operators.storage import NULL_VALUE, assign_series, conform, write_resolved
+from ..operators.storage import assign_series, refused_path, write_refused, write_resolved
 from ..operators.telemetry import append_telemetry
 from ..schema import PENDING_METADATA, POINTS
 from ..sources.tables import registry_reader, write_registry
@@ -28,6 +28,15 @@ def _trigger(interval: str, once: bool) -> dict:
     return {"availableNow": True} if once else {"processingTime": interval}
 
 
+def batch_name(df: DataFrame, name: str, batch_id: int) -> str:
+    """Name of a micro-batch that no other writer of the table has: a query's id is kept in its
+    checkpoint, so a retry has it again, while another stream or a new checkpoint has its own."""
+    query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise ValueError("a micro-batch needs a running query")
+    return f"{name}-{query}-{batch_id:012d}"
+
+
 def store_batch(
     df: DataFrame,
     batch: str,
@@ -41,8 +50,9 @@ def store_batch(
     """Store one micro-batch.
 
     Reads the registry anew, creates missing series, appends what can be stored and sets the
-    rest aside with its reason. Null values are skipped, not kept. Every write replaces only
-    this batch's own partitions, so a repeated batch changes nothing.
+    rest aside with its reason (beside the table, unless ``quarantine`` says where). Null
+    values are skipped, not kept. Every write replaces only this batch's own partitions, so a
+    repeated batch changes nothing.
     """
     spark = df.sparkSession
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -54,19 +64,7 @@ def store_batch(
             known = registry_reader(spark, registry)
         checked = assign_series(df, known)
         write_resolved(checked.filter(F.col("reason").isNull()), path, batch, grain)
-        if quarantine is not None:
-            attempt = F.col("attempt") + 1 if "attempt" in df.columns else F.lit(1)
-            refused = checked.filter(F.col("reason").isNotNull() & (F.col("reason") != NULL_VALUE))
-            (
-                refused.select(
-                    *[c for c in conform(refused).columns], "reason", attempt.cast("int").alias("attempt")
-                )
-                .withColumn("batch", F.lit(batch))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch")
-                .parquet(quarantine)
-            )
+        write_refused(checked, quarantine or refused_path(path), batch)
     finally:
         df.unpersist()
 
@@ -96,7 +94,7 @@ def stream_points(
         meta = None
         if metadata is not None:
             meta = merge_metadata(df.sparkSession.read.schema(PENDING_METADATA).parquet(metadata))
-        store_batch(df, f"{name}-{batch_id:012d}", registry, path, quarantine, auto_onboard, meta, grain)
+        store_batch(df, batch_name(df, name, batch_id), registry, path, quarantine, auto_onboard, meta, grain)
 
     return (
         src.writeStream.queryName(name)
@@ -108,7 +106,10 @@ def stream_points(
 
 
 def quarantine_stream(spark: SparkSession, quarantine: str) -> DataFrame:
-    return spark.readStream.schema(QUARANTINE).parquet(quarantine).drop("reason")
+    """The held rows as a stream. Files whose rows were tried are removed: the folder holds what is
+    still refused, not every try."""
+    reader = spark.readStream.schema(QUARANTINE).option("cleanSource", "delete")
+    return reader.parquet(quarantine).drop("reason")
 
 
 def replay_quarantine(
@@ -152,7 +153,7 @@ def stream_telemetry(
     """Append a stream of logs, statistics or health rows; each micro-batch is idempotent."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        append_telemetry(df, kind, path, f"{kind}-{batch_id:012d}")
+        append_telemetry(df, kind, path, batch_name(df, kind, batch_id))
 
     return (
         src.writeStream.queryName(kind)

@@ -86,13 +86,16 @@ def test_rank(spark, desc, chunk):
 @pytest.mark.parametrize("n,offset,desc", [(3, 0, False), (4, 2, True), (None, 5, False), (2000, 1, True), (0, 0, False)])
 def test_limit_per_series(spark, n, offset, desc):
     rows = random_rows(3)
-    want = []
-    for name, pts in last_writes(rows).items():
+    rows += [point("s0", 7, 1, seq=1000 + i) for i in range(40)]  # copies of an instant are rows too
+    want, series = [], {}
+    for r in sorted(rows, key=lambda r: (r[2], r[9])):
+        series.setdefault(r[0], []).append(r)
+    for name, pts in series.items():
         ordered_pts = list(reversed(pts)) if desc else pts
         stop = None if n is None else offset + n
-        want += [(name, r[2]) for r in ordered_pts[offset:stop]]
+        want += [(name, r[2], r[9]) for r in ordered_pts[offset:stop]]
     got = ordered.limit_per_series(points(spark, rows), n, offset, desc, chunk_ms=11)
-    assert values(got, "series_name", "ts_ms") == sorted(want, key=repr)
+    assert values(got, "series_name", "ts_ms", "seq") == sorted(want, key=repr)
 
 
 def test_running_totals(spark):

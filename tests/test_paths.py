@@ -5,58 +5,58 @@ from pyspark.sql import functions as F
 
 from tagseries.functions import paths
 
-STORED = [
-    ("histprov:my store:/sys:gw-296a8ca4b6cd:/prov:default:/tag:Temperature", "Plant/default/Temperature"),
-    ("histprov:test:/sys:GW-01:/prov:default:/tag:Simulation/Pressure", "Plant/default/Simulation/Pressure"),
-    ("sys:gw-abc:/prov:myProvider:/tag:Temp", "Plant/myProvider/Temp"),
-    ("histprov:test:/tag:Plant/default/Temperature", "Plant/default/Temperature"),
-    ("histprov:test:/folder:Plant:/folder:default:/folder:Simulation:/tag:Pressure", "Plant/default/Simulation/Pressure"),
-    ("histprov:test:/folder:Measurements:/folder:Plant:/folder:default:/tag:Temperature", "Plant/default/Temperature"),
-    ("histprov:test:/folder:Assets:/folder:Site:/folder:Line1:/tag:Motor1", "Site/Line1/Motor1"),
-    ("histprov:test:/tag:Measurements/Plant/default/Temperature", "Plant/default/Temperature"),
-    ("histprov:test:/tag:Assets/Site/Line1/Motor1", "Site/Line1/Motor1"),
-    ("histprov:h:/folder:Measurements/Sim/Realistic:/tag:Realistic0", "Sim/Realistic/Realistic0"),
-    ("folder:A/folder:B:/tag:x", "A/folder:B/B/x"),
-    ("histprov:test:/folder:MeasurementsX:/tag:t", "MeasurementsX/t"),
-    ("histprov:test:/folder:Assets:/tag:t", "t"),
-    ("histprov:test:/folder::/folder:A:/tag:t", "A/t"),
-    ("histprov:test:/folder:A:/folder::/tag:t", "A//t"),
-    ("histprov:test:/tag:Assets", ""),
-    ("plain", "plain"),
-    ("sys:gw:/prov:p", "sys:gw:/prov:p"),
-    ("sys:gw:/prov::/tag:t", "Plant//t"),
-    ("sys:gw:/prov:p:/tag:", "Plant/p/"),
+NODES = [["Boiler"], ["Kiln 3", "Zone", "Burner#2"], ["Tank.A", "Level"], ["ä", "b c", "d", "e"]]
+
+
+def written(nodes):
+    """Ways to write a path below a provider ``hot`` of collector ``Plant``, from its parts; each gives the same name."""
+    tag = "/".join(nodes)
+    folders = "".join(f":/folder:{n}" for n in ["Plant", "hot", *nodes[:-1]])
+    for store in ("histprov:arc one:/", "histprov:x:/sys:rack-9f:/", "sys:rack-9f:/"):
+        yield f"{store}prov:hot:/tag:{tag}"
+    yield f"histprov:x:/tag:Plant/hot/{tag}"
+    yield f"histprov:x:/tag:Measurements/Plant/hot/{tag}"
+    yield f"histprov:x{folders}:/tag:{nodes[-1]}"
+    yield f"histprov:x:/folder:Measurements{folders}:/tag:{nodes[-1]}"
+
+
+STORED = [(path, "Plant/hot/" + "/".join(nodes)) for nodes in NODES for path in written(nodes) if "prov:hot" not in path or "sys:" in path]
+# one case per trap of the grammar
+STORED += [
+    ("histprov:x:/folder:Assets:/folder:Mill:/tag:Drum", "Mill/Drum"),
+    ("histprov:x:/tag:Assets/Mill/Drum", "Mill/Drum"),
+    ("folder:K/folder:L:/tag:m", "K/folder:L/L/m"),
+    ("histprov:x:/folder:Measurements2:/tag:m", "Measurements2/m"),
+    ("histprov:x:/folder:Assets:/tag:m", "m"),
+    ("histprov:x:/folder::/folder:K:/tag:m", "K/m"),
+    ("histprov:x:/folder:K:/folder::/tag:m", "K//m"),
+    ("histprov:x:/tag:Assets", ""),
+    ("bare", "bare"),
+    ("sys:r:/prov:q", "sys:r:/prov:q"),
+    ("sys:r:/prov::/tag:m", "Plant//m"),
+    ("sys:r:/prov:q:/tag:", "Plant/q/"),
 ]
 
-COMPONENTS = [
-    ("histprov:test:/sys:gw-abc:/prov:default:/tag:Temp", "sys:", "gw-abc"),
-    ("histprov:my store:/sys:gw-abc:/prov:default:/tag:Temp", "prov:", "default"),
-    ("histprov:test:/sys:gw-abc:/prov:default:/tag:Sim/ii2", "tag:", "Sim/ii2"),
-    ("sys:gw-abc:/prov:default:/tag:Temperature", "tag:", "Temperature"),
-    ("sys:gw-abc:/tag:Temp", "prov:", None),
-    ("sys:gw-abc:/prov:default", "sys:", "gw-abc"),
-    ("histprov:only", "prov:", None),
-    ("a/tag:1:/tag:2", "tag:", "1"),
-    ("tag:line\nbreak:/x", "tag:", "line\nbreak"),
+PARTS = {"histprov:": "arc one", "sys:": "rack-9f", "prov:": "hot", "tag:": "Kiln 3/Zone"}
+COMPONENTS = [(":/".join(f"{k}{v}" for k, v in PARTS.items()), key, PARTS[key]) for key in ("sys:", "prov:", "tag:")]
+COMPONENTS += [
+    ("sys:rack-9f:/tag:m", "prov:", None),
+    ("sys:rack-9f:/prov:hot", "sys:", "rack-9f"),
+    ("histprov:alone", "prov:", None),
+    ("k/tag:1:/tag:2", "tag:", "1"),
+    ("tag:two\nlines:/k", "tag:", "two\nlines"),
 ]
 
-FOLDERS = [
-    (None, ""),
-    ("", ""),
-    ("histprov:my store", ""),
-    ("histprov:my store:/folder:Plant", "Plant/"),
-    ("histprov:my store:/folder:Plant:/folder:default", "Plant/default/"),
-    ("histprov:my store:/folder:Plant:/folder:default:/folder:Simulation", "Plant/default/Simulation/"),
-    ("xfolder:no:/folder:yes", "yes/"),
-]
+FOLDERS = [("histprov:arc" + "".join(f":/folder:{n}" for n in nodes), "".join(f"{n}/" for n in nodes)) for nodes in [[], *NODES]]
+FOLDERS += [(None, ""), ("", ""), ("xfolder:no:/folder:yes", "yes/")]
 
 CATEGORIES = [
-    ("Measurements/Plant/default/Temp", "Measurements", "Plant/default/Temp"),
-    ("Assets/Site/Line1/Motor1", "Assets", "Site/Line1/Motor1"),
-    ("Plant/default/Temp", None, "Plant/default/Temp"),
+    ("Measurements/Plant/hot/Kiln", "Measurements", "Plant/hot/Kiln"),
+    ("Assets/Mill/Drum/Gear", "Assets", "Mill/Drum/Gear"),
+    ("Plant/hot/Kiln", None, "Plant/hot/Kiln"),
     ("Measurements", "Measurements", ""),
     ("Assets", "Assets", ""),
-    ("MeasurementsX/a", None, "MeasurementsX/a"),
+    ("Measurements2/a", None, "Measurements2/a"),
     (None, None, None),
 ]
 
@@ -93,7 +93,7 @@ def test_build_stored_path(spark):
 
 
 def test_round_trip(spark):
-    stored = spark.createDataFrame([("sys:GW-01:/prov:default:/tag:Sim/Pressure",)], "p string").select(
+    stored = spark.createDataFrame([("sys:rack-9f:/prov:hot:/tag:Kiln 3/Zone",)], "p string").select(
         paths.stored_path("p", "Plant").alias("s")
     )
     back = stored.select(
@@ -101,7 +101,7 @@ def test_round_trip(spark):
         paths.stored_path(F.concat(F.lit("histprov:t:/tag:"), "s"), "Plant").alias("by_tag"),
         paths.stored_path(F.concat(F.lit("histprov:t:/folder:Measurements:/tag:"), "s"), "Plant").alias("by_folder"),
     ).first()
-    assert back.s == back.by_tag == back.by_folder == "Plant/default/Sim/Pressure"
+    assert back.s == back.by_tag == back.by_folder == "Plant/hot/Kiln 3/Zone"
 
 
 @pytest.mark.parametrize(

@@ -1,6 +1,6 @@
 """Registry, metadata, browse tree and assets on small fixtures."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from fixtures import asset, assets, measurement, measurements, point, points, values
@@ -226,3 +226,15 @@ def test_collectors_and_databases(spark):
     databases = spark.createDataFrame([("1", "main"), ("2", "archive")], "uuid string, name string")
     assert values(reg.find_databases(databases, "ARCH"), "uuid") == [("2",)]
     assert reg.find_databases(databases).count() == 2
+
+
+def test_later_deletion_counts(spark):
+    at = datetime(2024, 1, 1)
+    rows = [("u1", "m", "Active", at), ("u1", "m", "deleted", at + timedelta(1)), ("u2", "n", "Active", at)]
+    meas = spark.createDataFrame(rows, "uuid string, name string, status string, updated_at timestamp")
+    assert [r.name for r in reg.measurements(meas).collect()] == ["n"]
+
+
+def test_deep_asset_chain(spark):
+    chain = spark.range(200).selectExpr("string(id) AS uuid", "IF(id = 0, NULL, string(id - 1)) AS parent_uuid")
+    assert asset_ops.asset_closure(chain, ["190"]).count() == 10 and asset_ops.asset_closure(chain, ["130"]).agg({"depth": "max"}).first()[0] == 69

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tagseries.operators import storage, telemetry
 from tagseries.operators.ordered import dedupe_last_write, only_changes
+from tagseries.operators.raw import time_range
 from tagseries.plans.history import pending_metadata, store_requests
 from tagseries.schema import OP_LOG, POINTS
 from tagseries.sources import ingest, tables
@@ -76,7 +77,7 @@ def test_repeated_batch_is_idempotent(spark, folder):
 def test_partition_grains(spark, folder, grain, parts):
     meas = measurements(spark, [measurement("a")])
     storage.write_points(points(spark, [point("a", BASE, 1), point("a", BASE + 86_400_000, 2)]), meas, folder, "b", grain)
-    back = storage.read_points(spark, folder, BASE + 1, BASE + 90_000_000, grain=grain)
+    back = storage.read_points(spark, folder, BASE + 1, BASE + 90_000_000)
     assert values(back, "value_num") == [(2.0,)]
     assert storage.read_points(spark, folder).select("part").distinct().count() == parts
 
@@ -259,3 +260,32 @@ def test_closed_windows(spark, folder):
     got = sorted(values(spark.read.parquet(f"{folder}/out"), "ts_ms", "count", "last"))
     assert got[0] == (BASE - BASE % 60_000, 1.0 * sum(1 for r in rows if r[2] < BASE - BASE % 60_000 + 60_000), got[0][2])
     assert all(t + 60_000 <= BASE + 290_000 - 10_000 for t, _, _ in got)
+
+
+def test_range_reads_prune_partitions(spark, folder):
+    df = points(spark, [point("a", BASE + i * 86_400_000, i, seq=i) for i in range(40)])
+    for grain in ("day", "month", "year"):
+        path = f"{folder}/{grain}"
+        storage.write_points(df, measurements(spark, [measurement("a")]), path, "b", grain)
+        got = time_range(storage.read_points(spark, path), BASE + 3 * 86_400_000, BASE + 5 * 86_400_000)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == 2 and "part#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_refused_points_are_kept(spark, folder):
+    df = points(spark, [point("a", BASE, "OFF"), point("x", BASE, 1), point("a", BASE, 2), point("a", BASE, None)])
+    storage.write_points(df, measurements(spark, [measurement("a")]), f"{folder}/p", "b")
+    kept = spark.read.parquet(storage.refused_path(f"{folder}/p"))
+    assert values(kept, "series_name", "reason") == [("a", "datatype mismatch"), ("x", "no series")]
+
+
+def test_replays_do_not_pile_up(spark, folder):
+    registry, q = f"{folder}/registry", f"{folder}/q"
+    tables.write_registry(measurements(spark, [measurement("a")]), registry, "base")
+    drop(points(spark, [point("b", BASE, i, seq=i) for i in range(3)]), f"{folder}/in")
+    streams.stream_points(
+        source(spark, f"{folder}/in"), registry, f"{folder}/p", f"{folder}/check", quarantine=q, auto_onboard=False, once=True
+    ).awaitTermination()
+    for _ in range(4):
+        streams.replay_quarantine(spark, q, registry, f"{folder}/p", f"{folder}/replay", once=True).awaitTermination()
+    assert 3 <= spark.read.parquet(q).count() <= 9
