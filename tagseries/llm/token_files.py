@@ -37,7 +37,7 @@ BLOCK = 256
 #: Share of a block's ids that the packed width must hold.
 PERCENTILE = 0.9
 #: Ids after which a shard ends with the document at hand.
-SHARD = 1 << 18
+SHARD = 1 << 20
 _MAGIC = b"PFOR"
 _U = np.uint64
 
