@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; numpy needs some 60 times as much for a moment.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -87,6 +88,15 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK) ->
             end = max(begin + 1, int(np.searchsorted(at, at[begin] + limit, side="right")) - 1)
             yield batch.slice(begin, end - begin)
             begin = end
+    release()
+
+
+def release() -> None:
+    """Give freed memory back: Spark keeps a task's Python worker for later tasks, idle or not."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def ragged(counts: np.ndarray) -> np.ndarray:

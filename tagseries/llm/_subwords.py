@@ -9,11 +9,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from ._batch import buffer, pieces, ragged
+from ._batch import CHUNK, buffer, pieces, ragged
 from ._pretokens import hashes, pretokens
 
 #: Distinct pre-tokens a worker remembers; beyond, it starts again with those of the batch at hand.
-MEMO = 1_200_000
+MEMO = 600_000
 
 Encode = Callable[[list[bytes], np.ndarray], list[list[int]]]
 
@@ -61,7 +61,7 @@ def encoded(
     batches: Iterator[pa.RecordBatch], text: str, memo: Memo
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, ids of all rows, offsets of each row's ids), piece by piece."""
-    for batch in pieces(batches, text):
+    for batch in pieces(batches, text, 2 * CHUNK):
         data, begin, ends, first = pretokens(*buffer(batch.column(text)))
         if not len(begin):
             yield batch, np.zeros(0, np.uint32), np.zeros(batch.num_rows + 1, np.int64)

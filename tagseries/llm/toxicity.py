@@ -99,6 +99,11 @@ class Chain:
         return 1 / (1 + np.exp(-odds))
 
 
+def _blocks(n: int) -> list[slice]:
+    """Parts of a long array that are worked on one after another, for numpy's temporaries."""
+    return [slice(a, a + (1 << 19)) for a in range(0, n, 1 << 19)]
+
+
 def _log_odds(p: np.ndarray) -> np.ndarray:
     p = np.clip(p, 1e-6, 1 - 1e-6)
     return np.log(p / (1 - p))
@@ -115,10 +120,12 @@ def fit_link(
     positive, rows = y[use].sum(), int(use.sum())
     if positive in (0, rows):
         return *none, 30.0 if rows and positive else -30.0, np.zeros(earlier.shape[1])
-    mine = use[row]
-    f, y_of = feature[mine], y[row[mine]]
-    with_it = np.bincount(f, minlength=n_features)
-    positives = np.bincount(f, weights=y_of, minlength=n_features)
+    with_it, positives = np.zeros(n_features, np.int64), np.zeros(n_features)
+    for part in _blocks(len(row)):
+        mine = use[row[part]]
+        f = feature[part][mine]
+        with_it += np.bincount(f, minlength=n_features)
+        positives += np.bincount(f, weights=y[row[part][mine]], minlength=n_features)
     rate_in, rate = (positives + 0.5) / (with_it + 1), positive / rows
     worth = np.abs(positives - with_it * rate) / np.sqrt(with_it * rate * (1 - rate) + 1)
     worth[with_it < SUPPORT] = 0
@@ -126,9 +133,11 @@ def fit_link(
     chosen = np.sort(order[worth[order] > WORTH])
     place = np.full(n_features, -1)
     place[chosen] = np.arange(len(chosen))
-    column = place[feature]
-    keep = mine & (column >= 0)
-    r, c = row[keep], column[keep]
+    pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for part in _blocks(len(row)):
+        keep = use[row[part]] & (place[feature[part]] >= 0)
+        pairs.append((row[part][keep].astype(np.int64), place[feature[part][keep]]))
+    r, c = (np.concatenate(x) for x in zip(*pairs, strict=True))
     scale = np.abs(_log_odds(rate_in[chosen]) - _log_odds(np.array([rate])))  # a clear feature weighs more
     value, m = scale[c], len(chosen)
     weight = np.where(y > 0, 0.5 / positive, 0.5 / (rows - positive)) * use  # both values count the same
@@ -156,22 +165,31 @@ def fit_link(
 def fit(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...], folds: np.ndarray, severe: int) -> Chain:
     """The chain for (rows, label columns). The last category is the upper half of the positives of label ``severe``,
     by out-of-fold log odds: the strongly toxic ones among the toxic."""
-    docs, found, done = [], [], 0
-    bucket = np.zeros(1 << 22, np.int32)  # rows per hash bucket: at least as many as hold any feature in it
     batch = pa.RecordBatch.from_arrays([texts], ["text"])
-    for piece in pieces([batch], "text"):
-        doc, h = features(piece.column(0))
-        pair = pd.DataFrame({"d": (doc + done).astype(np.int32), "h": h}).drop_duplicates()
-        docs.append(pair["d"].to_numpy())
-        found.append(pair["h"].to_numpy())
-        bucket += np.bincount((found[-1] >> _U(42)).astype(np.int64), minlength=len(bucket)).astype(np.int32)
-        done += piece.num_rows
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Distinct (row, feature hash), piece by piece."""
+        done = 0
+        for piece in pieces([batch], "text"):
+            doc, h = features(piece.column(0))
+            pair = pd.DataFrame({"d": (doc + done).astype(np.int32), "h": h}).drop_duplicates()
+            yield pair["d"].to_numpy(), pair["h"].to_numpy()
+            done += piece.num_rows
+
+    bucket = np.zeros(1 << 22, np.int32)  # rows per hash bucket: at least as many as hold any feature in it
+    for _, h in pairs():
+        bucket += np.bincount((h >> _U(42)).astype(np.int64), minlength=len(bucket)).astype(np.int32)
     often = bucket >= SUPPORT  # most features are rare and can tell nothing
-    kept = [often[(h >> _U(42)).astype(np.int64)] for h in found]
-    row = np.concatenate([*(d[k] for d, k in zip(docs, kept, strict=True)), np.zeros(0, np.int32)]).astype(np.int64)
-    feature, names = pd.factorize(np.concatenate([*(h[k] for h, k in zip(found, kept, strict=True)), np.zeros(0, _U)]))
-    del docs, found, kept
-    names, n = np.asarray(names, _U), len(labels)
+    names = np.zeros(0, _U)
+    for _, h in pairs():
+        names = np.union1d(names, h[often[(h >> _U(42)).astype(np.int64)]])
+    rows, codes, n = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], len(labels)
+    for d, h in pairs():
+        kept = often[(h >> _U(42)).astype(np.int64)]
+        rows.append(d[kept])
+        codes.append(np.searchsorted(names, h[kept]).astype(np.int32))
+    row, feature = np.concatenate(rows), np.concatenate(codes)
+    del rows, codes
     odds, links = np.zeros((n, 0)), []
     for c in range(len(categories)):
         if c < labels.shape[1]:
@@ -189,7 +207,9 @@ def fit(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...], folds:
                 continue
             weight = np.zeros(len(names))
             weight[chosen] = weights
-            margin = np.bincount(row, weights=weight[feature], minlength=n) + bias + odds @ other
+            margin = bias + odds @ other
+            for part in _blocks(len(row)):
+                margin += np.bincount(row[part], weights=weight[feature[part]], minlength=n)
             out[folds == k] = margin[folds == k]
         odds = np.column_stack([odds, np.clip(out, -30, 30)])
     return Chain(categories, links)
