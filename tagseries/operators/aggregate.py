@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import FUNCTIONS, MINMAX, aggregate_function, function_expr, functions_of
-from ..functions.time import bucket_start, check_range, period_ms
+from ..functions.time import arrival_order, bucket_start, check_range, period_ms
 from ..functions.values import tag_value
 from .fill import fill as fill_gaps
 from .raw import VALUE_COLUMNS, time_range
@@ -21,6 +21,15 @@ def bucket_origin(start: int | None, origin: str) -> int:
     return start if origin == "start" and start is not None else 0
 
 
+def any_value(pts: DataFrame) -> Column:
+    """Whether a point holds a value of any type."""
+    present = F.lit(False)
+    for name in VALUE_COLUMNS:
+        if name in pts.columns:
+            present = present | F.col(name).isNotNull()
+    return present
+
+
 def bucketed(
     pts: DataFrame,
     functions: Sequence[str],
@@ -40,12 +49,8 @@ def bucketed(
         at = F.lit(start if start is not None else 0).cast("bigint")
     else:
         at = bucket_start("ts_ms", period_ms(period), bucket_origin(start, origin))
-    present = F.lit(False)
-    for name in VALUE_COLUMNS:
-        if name in pts.columns:
-            present = present | F.col(name).isNotNull()
     exprs = [
-        (F.count_if(present).cast("double") if name == "count" else function_expr(name)).alias(name)
+        (F.count_if(any_value(pts)).cast("double") if name == "count" else function_expr(name)).alias(name)
         for name in functions
     ]
     return time_range(pts, start, end).groupBy(*keys, at.alias("bucket_ms")).agg(*exprs).withColumnRenamed(
@@ -137,6 +142,38 @@ def aggregate(
     )
 
 
+def last_values(
+    pts: DataFrame,
+    requests: DataFrame,
+    period: int | str | None,
+    start: int | None = None,
+    end: int | None = None,
+    origin: str = "start",
+) -> DataFrame:
+    """Last value of any type per request and bucket, in ``value``, ``value_bool`` or ``value_str``.
+
+    ``aggregate`` answers numbers only; this is its LastValue for boolean and text series.
+    """
+    check_range(start, end)
+    if period is None:
+        at = F.lit(start if start is not None else 0).cast("bigint")
+    else:
+        at = bucket_start("ts_ms", period_ms(period), bucket_origin(start, origin))
+    scope = time_range(pts, start, end).join(requests.select("series_name"), "series_name", "left_semi")
+    last = [F.max_by(c, arrival_order()).alias(c) for c in VALUE_COLUMNS]
+    buckets = scope.filter(any_value(pts)).groupBy("series_name", at.alias("bucket_ms")).agg(*last)
+    return buckets.join(requests.select("qpath", "series_name", "aggregate"), "series_name").select(
+        "qpath",
+        "series_name",
+        "aggregate",
+        F.col("bucket_ms").alias("ts_ms"),
+        F.lit(0).alias("ordinal"),
+        F.col("value_num").alias("value"),
+        "value_bool",
+        "value_str",
+    )
+
+
 def aggregate_by_tags(
     pts: DataFrame,
     tags: Sequence[str],

@@ -32,6 +32,29 @@ def resolve_keys(keys: DataFrame, meas: DataFrame, assets: DataFrame, collector:
     return named_keys(keys, collector).join(names, "series_name", "left")
 
 
+def with_asset_series(found: DataFrame, props: DataFrame, meas: DataFrame) -> DataFrame:
+    """Resolved keys, those of assets replaced by one per property bound to an active measurement.
+
+    Such a key keeps its ``qpath`` and gets the series, uuid and datatype of the property and its name as
+    ``property``; a key of an asset without any is left as it is.
+    """
+    active = measurements(meas).select(
+        F.col("uuid").alias("__uuid"), F.col("name").alias("__series"), F.col("datatype").alias("__datatype")
+    )
+    bound = props.select(
+        F.col("asset_uuid").alias("__asset"), F.col("measurement_uuid").alias("__uuid"), F.col("name").alias("property")
+    ).join(active, "__uuid")
+    is_bound = (F.col("kind") == "asset") & (F.col("measurement_uuid") == F.col("__asset"))
+    return found.join(bound, is_bound, "left").select(
+        "qpath",
+        F.coalesce("__series", "series_name").alias("series_name"),
+        F.coalesce("__uuid", "measurement_uuid").alias("measurement_uuid"),
+        "kind",
+        F.coalesce("__datatype", "datatype").alias("datatype"),
+        "property",
+    )
+
+
 def missing_keys(keys: DataFrame, meas: DataFrame, assets: DataFrame, collector: str) -> DataFrame:
     """Keys that name neither a measurement nor an asset, with their failure status."""
     return (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,8 @@ from .ordered import with_position
 
 RETURN_FORMATS = ("WIDE", "TALL")
 PAGE_SIZE = 10_000
+#: Arrival of a point without one: before all others.
+NO_SEQ = -(2**63)
 
 
 def check_format(name: str) -> str:
@@ -39,20 +41,37 @@ def wide(
     df: DataFrame,
     names: Sequence[str],
     aliases: Sequence[str] | None = None,
-    value: str = "value_num",
+    value: str | Mapping[str, str] = "value_num",
     time_column: str = "t_stamp",
     key: str = "series_name",
 ) -> DataFrame:
     """One row per instant and one column per requested series.
 
     The column list comes from the request, so no job has to look for it. An instant holds the
-    last write of each series.
+    last write of each series. ``value`` names the value column of all series, or of each one
+    (those left out are numbers), so every column of the answer keeps its series' type.
     """
-    order = "seq" if "seq" in df.columns else "ts_ms"
+    last = F.coalesce(F.col("seq"), F.lit(NO_SEQ)) if "seq" in df.columns else F.col("ts_ms")
     shown = _columns(names, aliases)
-    picked = df.select(F.col("ts_ms").alias(time_column), F.col(key).alias("__key"), F.col(value).alias("__v"), F.col(order).alias("__o"))
-    out = picked.groupBy(time_column).pivot("__key", list(dict.fromkeys(names))).agg(F.max_by("__v", "__o"))
-    return out.select(time_column, *[F.col(f"`{n}`").alias(a) for n, a in zip(names, shown)])
+    if not isinstance(value, Mapping):
+        value = dict.fromkeys(names, value)
+    known = {n: value.get(n, "value_num") for n in dict.fromkeys(names)}
+    values = {c: f"__v{i}" for i, c in enumerate(dict.fromkeys(known.values()))}
+    picked = df.select(
+        F.col("ts_ms").alias(time_column),
+        F.col(key).alias("__key"),
+        *[F.col(c).alias(v) for c, v in values.items()],
+        last.alias("__o"),
+    )
+    if len(values) == 1:
+        out = picked.groupBy(time_column).pivot("__key", list(known)).agg(F.max_by("__v0", "__o"))
+        return out.select(time_column, *[F.col(f"`{n}`").alias(a) for n, a in zip(names, shown)])
+    place = {n: f"__c{i}" for i, n in enumerate(known)}
+    own = {n: F.col("__key") == F.lit(n) for n in known}
+    out = picked.groupBy(time_column).agg(
+        *[F.max_by(values[c], F.when(own[n], F.col("__o"))).alias(place[n]) for n, c in known.items()]
+    )
+    return out.select(time_column, *[F.col(place[n]).alias(a) for n, a in zip(names, shown)])
 
 
 def align(
@@ -60,7 +79,7 @@ def align(
     names: Sequence[str],
     how: str = "outer",
     aliases: Sequence[str] | None = None,
-    value: str = "value_num",
+    value: str | Mapping[str, str] = "value_num",
 ) -> DataFrame:
     """Series joined on equal instants: all instants, or those where every series has a value."""
     if how not in ("outer", "inner"):

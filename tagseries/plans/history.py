@@ -12,14 +12,21 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import supported_aggregates
 from ..functions.paths import folder_prefix
 from ..functions.time import period_for_buckets, relative_range
-from ..functions.values import GOOD_CODE
-from ..operators.aggregate import aggregate
+from ..functions.values import BOOLEAN, GOOD_CODE, STRING
+from ..operators.aggregate import aggregate, last_values
 from ..operators.browse import browse
 from ..operators.metadata import merge_metadata
 from ..operators.raw import assume_good, by_uuid, concat_series, first_from, latest, raw_points, restrict
 from ..operators.registry import onboard
-from ..operators.resolve import lookup_nodes, missing_keys, named_keys, query_metadata, resolve_keys
-from ..operators.shape import check_format, tall, wide
+from ..operators.resolve import (
+    lookup_nodes,
+    missing_keys,
+    named_keys,
+    query_metadata,
+    resolve_keys,
+    with_asset_series,
+)
+from ..operators.shape import check_format, wide
 from ..operators.storage import named_points, path_names, read_points, write_points
 from ..schema import ASSETS, MEASUREMENTS
 from ..sources.ingest import from_parallel_arrays, from_tag_matrix
@@ -27,7 +34,8 @@ from ..sources.tables import registry_reader, write_registry
 
 # Gap treatment by fill mode name; DERIVED leaves empty buckets out.
 FILL_MODES = {"DERIVED": "none", "NONE": "none", "NULL": "null", "PREVIOUS": "previous", "LINEAR": "linear"}
-DEFAULT_AGGREGATE = "Average"
+DEFAULT_AGGREGATE, LAST_VALUE = "Average", "LastValue"
+VALUE_COLUMN = {BOOLEAN: "value_bool", STRING: "value_str"}
 
 
 def _fill_type(mode: str) -> str:
@@ -42,14 +50,25 @@ class TagHistory:
     The request (paths, aggregates, aliases) is a list of the caller's; resolving it brings back
     one row per path. Everything that grows with the data stays a DataFrame. With ``stored`` the
     points carry their measurement uuid, as the point table does, and the resolved uuids are
-    pushed into its files.
+    pushed into its files. With the asset properties ``props`` the path of an asset answers with the
+    series behind its properties; without them it names no points.
+
+    Values keep the type of their series: a wide column has it, a tall row holds its value in
+    ``value`` (number), ``value_bool`` or ``value_str``.
     """
 
     def __init__(
-        self, points: DataFrame, meas: DataFrame, assets: DataFrame, collector: str, stored: bool = False
+        self,
+        points: DataFrame,
+        meas: DataFrame,
+        assets: DataFrame,
+        collector: str,
+        stored: bool = False,
+        props: DataFrame | None = None,
     ):
         self.points = points
         self.stored = stored
+        self.props = props
         self.meas = meas
         self.assets = assets
         self.collector = collector
@@ -60,11 +79,34 @@ class TagHistory:
         return self.spark.createDataFrame(distinct, "qpath string")
 
     def _resolved(self, paths: Sequence[str]) -> DataFrame:
-        """Known paths with series and uuid, as a local table of at most one row per path."""
+        """Known paths with series, uuid, datatype and property, as a local table of one row per path or,
+        for an asset, per property."""
         found = resolve_keys(self._keys(paths), self.meas, self.assets, self.collector)
-        known = found.filter(F.col("measurement_uuid").isNotNull()).select("qpath", "series_name", "measurement_uuid")
+        if self.props is not None:
+            found = with_asset_series(found, self.props, self.meas)
+        else:
+            found = found.withColumn("property", F.lit(None).cast("string"))
+        known = found.filter(F.col("measurement_uuid").isNotNull()).select(
+            "qpath", "series_name", "measurement_uuid", "datatype", "property"
+        )
         return self.spark.createDataFrame(known.collect(), known.schema)
 
+    def _columns(self, keys: DataFrame, paths: Sequence[str], shown: Sequence[str]) -> list[tuple]:
+        """(path, series, column, value column, number of the path) of a wide answer: one per path, and one per
+        property, named ``column/property``, for an asset with several."""
+        if len(shown) != len(paths):
+            raise ValueError("one column name per path is needed")
+        series: dict[str, list] = {}
+        for r in keys.collect():
+            series.setdefault(r["qpath"], []).append((r["property"] or "", r["series_name"], r["datatype"]))
+        out = []
+        for i, (path, name) in enumerate(zip(paths, shown)):
+            own = sorted(series.get(path, [("", "", None)]))
+            for prop, stored, datatype in own:
+                column = name if len(own) == 1 else f"{name}/{prop}"
+                out.append((path, stored, column, VALUE_COLUMN.get(datatype, "value_num"), i))
+        return out
+
     def _scope(self, keys: DataFrame) -> DataFrame:
         """Points the keys may need: the files' own uuid filter for a stored table."""
         if not self.stored:
@@ -91,6 +133,7 @@ class TagHistory:
         if exclude_observations:
             raise ValueError("points carry no sample origin, so observations cannot be excluded")
         keys = self._resolved(paths)
+        columns = self._columns(keys, paths, column_names or paths)
         pts = self._scope(keys)
         rows = raw_points(pts, keys, start, end)
         if include_bounds:
@@ -99,7 +142,17 @@ class TagHistory:
             every = assume_good(restrict(pts, keys))
             by_path = ("qpath", "series_name", "measurement_uuid")
             rows = concat_series(rows, latest(every, start, by_path), first_from(every, end, by_path))
-        return self._shaped(rows, paths, column_names, layout, return_size, "value_num")
+        if layout == "TALL":
+            value = F.col("value_num").alias("value")
+            out = rows.select("qpath", "series_name", "ts_ms", value, "value_bool", "value_str", "seq")
+            order = ("ts_ms", "qpath", "series_name", "seq")
+        else:
+            keyed = rows.withColumn("__column", F.concat_ws("\n", "qpath", "series_name"))
+            names = [f"{path}\n{series}" for path, series, *_ in columns]
+            types = {name: c[3] for name, c in zip(names, columns)}
+            out = wide(keyed, names, [c[2] for c in columns], value=types, key="__column")
+            order = ("t_stamp",)
+        return out if return_size is None else out.orderBy(*order).limit(return_size)
 
     def query_aggregated_points(
         self,
@@ -118,6 +171,7 @@ class TagHistory:
         """One aggregate per path in ``return_size`` buckets over the range (or by ``period``).
 
         A single aggregate or fill mode counts for all paths. Paths of one fill mode share a scan.
+        LastValue answers boolean and text series too; their gaps are left out in every fill mode.
         """
         layout = check_format(return_format)
         if include_bounds or exclude_observations:
@@ -135,14 +189,25 @@ class TagHistory:
             parts.append(
                 aggregate(pts, requests, width, start, end, fill=mode, aggregates={n for _, n in asked})
             )
-        rows = concat_series(*parts)
+        shown = column_names or [p if paths.count(p) == 1 else f"{p}/{n}" for p, n in zip(paths, names)]
+        columns = self._columns(keys, paths, shown)
+        rows = concat_series(*parts).withColumns(
+            {c: F.lit(None).cast(t) for c, t in (("value_bool", "boolean"), ("value_str", "string"))}
+        )
+        other = [(p, s) for p, s, _, value, i in columns if names[i] == LAST_VALUE and value != "value_num"]
+        if other:
+            typed = self.spark.createDataFrame(list(dict.fromkeys(other)), "qpath string, series_name string")
+            typed = typed.withColumn("aggregate", F.lit(LAST_VALUE))
+            rows = rows.unionByName(last_values(pts, typed, width, start, end).select(rows.columns))
         if layout == "TALL":
             return rows
-        columns = column_names or [p if paths.count(p) == 1 else f"{p}/{n}" for p, n in zip(paths, names)]
-        keyed = rows.withColumn("__column", F.concat_ws("\n", "qpath", "aggregate"))
-        return wide(
-            keyed, [f"{p}\n{n}" for p, n in zip(paths, names)], columns, value="value", key="__column"
-        )
+        keyed = rows.withColumn("__column", F.concat_ws("\n", "qpath", "series_name", "aggregate"))
+        wanted = [f"{path}\n{series}\n{names[i]}" for path, series, _, _, i in columns]
+        types = {
+            w: value if names[i] == LAST_VALUE and value != "value_num" else "value"
+            for w, (_, _, _, value, i) in zip(wanted, columns)
+        }
+        return wide(keyed, wanted, [c[2] for c in columns], value=types, key="__column")
 
     def _per_path(self, paths: Sequence[str], given: Sequence[str] | None, default: str) -> list[str]:
         values = list(given) if given else [default]
@@ -152,13 +217,6 @@ class TagHistory:
             raise ValueError("one entry per path is needed")
         return values
 
-    def _shaped(self, rows, paths, column_names, layout, size, value) -> DataFrame:
-        if layout == "TALL":
-            out = rows.select("qpath", *tall(rows, value).columns[:-1], F.col(value).alias("value"), "seq")
-            return out if size is None else out.orderBy("ts_ms", "qpath", "seq").limit(size)
-        out = wide(rows, list(paths), column_names, value=value, key="qpath")
-        return out if size is None else out.orderBy("t_stamp").limit(size)
-
     def query_last(self, paths: Sequence[str], now: int, minutes: int = 0, hours: int = 0, **options) -> DataFrame:
         """Raw points of the last minutes / hours before ``now``."""
         start, end = relative_range(now, minutes, hours)
@@ -267,11 +325,12 @@ class TagStore:
         schema = "qpath string, properties map<string,string>, seq bigint, batch string"
         return pending_metadata(self.spark.read.schema(schema).parquet(self.metadata), self.collector)
 
-    def history(self, assets: DataFrame | None = None) -> TagHistory:
+    def history(self, assets: DataFrame | None = None, props: DataFrame | None = None) -> TagHistory:
         """Reader of what is stored now."""
         things = assets if assets is not None else self.spark.createDataFrame([], ASSETS)
         points = read_points(self.spark, self.points)
-        return TagHistory(points, registry_reader(self.spark, self.registry), things, self.collector, stored=True)
+        meas = registry_reader(self.spark, self.registry)
+        return TagHistory(points, meas, things, self.collector, stored=True, props=props)
 
 
 _POINT_ROWS = (

@@ -91,6 +91,27 @@ def points_by_type(spark, sf_dir, start: int | None = None, end: int | None = No
     return event_points(_within(table(spark, sf_dir, "events"), "ts", start, end), name)
 
 
+def typed_points(spark, sf_dir) -> DataFrame:
+    """The heavy series with values of three types: sign-ups are booleans, views texts, all else numbers."""
+    kind, k = F.element_at("tags", "type"), F.col("value_num")
+    rows = event_points(
+        table(spark, sf_dir, "events").withColumn("value", event_k().cast("double")),
+        F.concat(F.lit(f"{COLLECTOR}/type/"), "event_type"),
+    )
+    return rows.withColumns(
+        {
+            "value_bool": F.when(kind == "signup", k >= 50),
+            "value_str": F.when(kind == "view", F.col("status")),
+            "value_num": F.when(~kind.isin("signup", "view"), k),
+        }
+    )
+
+
+def type_paths() -> list[str]:
+    """The request path of each heavy series."""
+    return [f"histprov:h:/sys:gw:/prov:type:/tag:{t}" for t in EVENT_TYPES]
+
+
 def _line_points(spark, sf_dir, name: Column) -> DataFrame:
     seq = ((F.col("l_orderkey") * 16 + F.col("l_linenumber")) * 100_000 + F.col("l_partkey")) * 10_000 + F.col(
         "l_suppkey"

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.aggregates import function_expr
 from ..functions.time import period_ms
+from ..operators.aggregate import any_value
 from ..operators.telemetry import metric_intervals
 
 
@@ -33,7 +34,7 @@ def stream_aggregate(
     timed = src.withColumn("event_time", F.timestamp_millis("ts_ms")).withWatermark("event_time", lateness)
     window = F.window("event_time", f"{width} milliseconds", startTime=f"{origin_ms % width} milliseconds")
     exprs = [
-        (F.count("value_num").cast("double") if f == "count" else function_expr(f)).alias(f) for f in functions
+        (F.count_if(any_value(src)).cast("double") if f == "count" else function_expr(f)).alias(f) for f in functions
     ]
     return (
         timed.groupBy(*keys, window)
