@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import raw, resolve
 from ..operators.registry import onboard
 from ..schema import ASSETS as ASSET_SCHEMA
@@ -11,6 +9,7 @@ from ..schema import MEASUREMENTS as MEASUREMENT_SCHEMA
 from ..session import shared_dir
 from ..sources import testbed as tb
 from ..streaming import aggregate as stream_agg
+from ..streaming import changes
 from .history import TagHistory
 from .registered import ASSETS, MEASUREMENTS, POINTS, PROPERTIES, register
 
@@ -84,20 +83,27 @@ def asset_path_points(spark, sf):
 def stream_count_types(spark, sf):
     """Points of any type counted per day by a stream."""
     base = shared_dir(spark)
-    events = tb.event_points(tb.event_stream(spark, sf), F.concat(F.lit(f"{tb.COLLECTOR}/type/"), "event_type"))
-    kind, k = F.element_at("tags", "type"), F.col("value_num")
-    typed = events.withColumns(
-        {
-            "value_bool": F.when(kind == "signup", k >= 50),
-            "value_str": F.when(kind == "view", F.col("status")),
-            "value_num": F.when(~kind.isin("signup", "view"), k),
-        }
-    )
+    typed = tb.typed(tb.event_stream(spark, sf), tb.type_series())
     windows = stream_agg.stream_aggregate(typed, ["count"], "24h")
     stream_agg.write_snapshots(windows, f"{base}/out", f"{base}/checkpoint", "counts", once=True).awaitTermination()
     return stream_agg.latest_snapshot(spark, f"{base}/out")
 
 
+@register(
+    "stream_changes_types",
+    f"""WITH {_TYPED}, linked AS (SELECT *, lag(value) OVER w AS n, lag(value_bool) OVER w AS b, lag(value_str) OVER w AS s
+      FROM typed WINDOW w AS (PARTITION BY series_name ORDER BY ts_ms, seq))
+    SELECT series_name, ts_ms, value AS value_num, value_bool, value_str, false AS late FROM linked
+    WHERE n IS DISTINCT FROM value OR b IS DISTINCT FROM value_bool OR s IS DISTINCT FROM value_str""",
+)
+def stream_changes_types(spark, sf):
+    """Changes of boolean, text and number series of a stream."""
+    base = shared_dir(spark)
+    kept = changes.stream_only_changes(tb.typed(tb.event_stream(spark, sf), tb.type_series()))
+    stream_agg.write_closed(kept, f"{base}/out", f"{base}/checkpoint", "typed", once=True).awaitTermination()
+    return spark.read.schema(kept.schema).parquet(f"{base}/out").drop("seq")
+
+
 @register(
     "stream_window_closed",
     f"""WITH {POINTS}, w AS (SELECT series_name, ts_ms - ts_ms % 86400000 AS ts_ms, min(value_num) AS min, max(value_num) AS max,

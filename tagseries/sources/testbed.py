@@ -91,13 +91,10 @@ def points_by_type(spark, sf_dir, start: int | None = None, end: int | None = No
     return event_points(_within(table(spark, sf_dir, "events"), "ts", start, end), name)
 
 
-def typed_points(spark, sf_dir) -> DataFrame:
-    """The heavy series with values of three types: sign-ups are booleans, views texts, all else numbers."""
+def typed(events: DataFrame, name: Column) -> DataFrame:
+    """Points of event rows with values of three types: sign-ups are booleans, views texts, all else numbers."""
+    rows = event_points(events.withColumn("value", event_k().cast("double")), name)
     kind, k = F.element_at("tags", "type"), F.col("value_num")
-    rows = event_points(
-        table(spark, sf_dir, "events").withColumn("value", event_k().cast("double")),
-        F.concat(F.lit(f"{COLLECTOR}/type/"), "event_type"),
-    )
     return rows.withColumns(
         {
             "value_bool": F.when(kind == "signup", k >= 50),
@@ -107,6 +104,15 @@ def typed_points(spark, sf_dir) -> DataFrame:
     )
 
 
+def type_series() -> Column:
+    return F.concat(F.lit(f"{COLLECTOR}/type/"), "event_type")
+
+
+def typed_points(spark, sf_dir) -> DataFrame:
+    """The heavy series with values of three types."""
+    return typed(table(spark, sf_dir, "events"), type_series())
+
+
 def type_paths() -> list[str]:
     """The request path of each heavy series."""
     return [f"histprov:h:/sys:gw:/prov:type:/tag:{t}" for t in EVENT_TYPES]

@@ -14,6 +14,10 @@ from ..operators.aggregate import any_value
 from ..operators.telemetry import metric_intervals
 
 
+# Snapshots kept at a time: a reader may go on reading one while this many less one are written.
+SLOTS = 8
+
+
 def stream_aggregate(
     src: DataFrame,
     functions: Sequence[str],
@@ -51,12 +55,16 @@ def stream_metrics(op_log: DataFrame, every: int | str = "30s") -> DataFrame:
 def write_snapshots(df: DataFrame, path: str, checkpoint: str, name: str, once: bool = False) -> StreamingQuery:
     """Keep the current state of an aggregating stream as a table (complete mode).
 
-    Each trigger writes a numbered snapshot; readers take the newest complete one, so none is
-    ever replaced while it is read.
+    Each trigger writes a numbered snapshot into one of ``SLOTS`` folders in turn and then, beside the
+    table, which number that folder holds. Readers take the newest number noted, so they never see a
+    snapshot half written, and the space taken stays bounded.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/snapshot={batch_id}")
+        slot = batch_id % SLOTS
+        batch.write.mode("overwrite").parquet(f"{path}/slot={slot}")
+        note = batch.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("snapshot"))
+        note.write.mode("overwrite").parquet(f"{_noted(path)}/slot={slot}")
 
     trigger = {"availableNow": True} if once else {"processingTime": "30 seconds"}
     return (
@@ -84,8 +92,11 @@ def write_closed(df: DataFrame, path: str, checkpoint: str, name: str, once: boo
 
 
 def latest_snapshot(spark, path: str) -> DataFrame:
-    """Newest snapshot written by ``write_snapshots``."""
-    every = spark.read.parquet(path)
-    newest = every.agg(F.max("snapshot").alias("snapshot"))
-    return every.join(newest, "snapshot", "left_semi").drop("snapshot")
+    """Newest snapshot that ``write_snapshots`` has written in full."""
+    noted = spark.read.schema("snapshot bigint, slot int").parquet(_noted(path))
+    return spark.read.parquet(f"{path}/slot={noted.agg(F.max('snapshot')).first()[0] % SLOTS}")
+
+
+def _noted(path: str) -> str:
+    return f"{path.rstrip('/')}-noted"
 

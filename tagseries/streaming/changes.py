@@ -6,14 +6,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-OUTPUT = "series_name string, ts_ms bigint, value_num double, seq bigint, late boolean"
-STATE = "ts_ms bigint, value_num double"
+OUTPUT = (
+    "series_name string, ts_ms bigint, value_num double, value_bool boolean, value_str string, seq bigint, late boolean"
+)
+STATE = "ts_ms bigint, value string"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def value_key() -> Column:
+    """Text that is equal for equal values of one type, and never NULL."""
+    return (
+        F.when(F.col("value_bool").isNotNull(), F.concat(F.lit("b"), F.col("value_bool").cast("string")))
+        .when(F.col("value_num").isNotNull(), F.concat(F.lit("n"), (F.col("value_num") + 0.0).cast("string")))
+        .when(F.col("value_str").isNotNull(), F.concat(F.lit("s"), F.col("value_str")))
+        .otherwise(F.lit(""))
+    )
+
+
 class _KeepChanges(StatefulProcessor):
     """Emits a point when its value differs from the series' last one."""
 
@@ -23,55 +36,41 @@ class _KeepChanges(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # A key's rows of one micro-batch arrive in several frames of any order; the trigger's
         # size limit bounds them.
-        frames = list(rows)
-        ts, value, seq = (
-            np.concatenate([f[c].to_numpy(dtype=kind) for f in frames])
-            for c, kind in (("ts_ms", "int64"), ("value_num", "float64"), ("seq", "int64"))
-        )
-        order = np.lexsort((seq, ts))
-        ts, value, seq = ts[order], value[order], seq[order]
+        frame = pd.concat(list(rows), ignore_index=True)
+        frame = frame.sort_values(["ts_ms", "seq"], kind="stable", na_position="first", ignore_index=True)
+        ts, value = frame["ts_ms"].to_numpy("int64"), frame["value_key"].to_numpy(object)
 
         last = self._last.get() if self._last.exists() else None
         late = ts < last[0] if last is not None else np.zeros(len(ts), dtype=bool)
         newest_write = np.append(ts[1:] != ts[:-1], True)
         fresh = np.flatnonzero(~late & newest_write)
-
         known = value[fresh]
-        first_before = np.nan if last is None or last[1] is None else last[1]
-        before = np.concatenate(([first_before], known[:-1]))[: len(known)]
-        same = (known == before) | (np.isnan(known) & np.isnan(before))
-        if last is None:
-            same[:1] = False
+        before = np.append(np.array([None if last is None else last[1]], object), known[:-1])[: len(known)]
+        changed = np.array([a != b for a, b in zip(known, before, strict=True)], dtype=bool)
         if len(fresh):
-            end = float(known[-1])
-            self._last.update((int(ts[fresh[-1]]), None if np.isnan(end) else end))
+            self._last.update((int(ts[fresh[-1]]), known[-1]))
 
-        kept = np.concatenate([fresh[~same], np.flatnonzero(late)])
+        kept = np.concatenate([fresh[changed], np.flatnonzero(late)])
         if len(kept):
-            yield pd.DataFrame(
-                {
-                    "series_name": key[0],
-                    "ts_ms": ts[kept],
-                    "value_num": value[kept],
-                    "seq": seq[kept],
-                    "late": late[kept],
-                }
-            )
+            out = frame.iloc[kept].drop(columns="value_key")
+            yield out.assign(series_name=key[0], late=late[kept])[[c.split()[0] for c in OUTPUT.split(", ")]]
 
     def close(self) -> None:
         pass
 
 
 def stream_only_changes(src: DataFrame) -> DataFrame:
-    """Changes per series of a numeric point stream.
+    """Changes per series of a point stream, for values of any type.
 
     Points older than the series' last seen instant pass through marked ``late``. Needs the
     RocksDB state store (``ROCKSDB``).
     """
     spark = src.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    kinds = {"value_num": "double", "value_bool": "boolean", "value_str": "string"}
+    typed = src.withColumns({c: F.lit(None).cast(t) for c, t in kinds.items() if c not in src.columns})
     return (
-        src.select("series_name", "ts_ms", "value_num", "seq")
+        typed.select("series_name", "ts_ms", *kinds, "seq", value_key().alias("value_key"))
         .groupBy("series_name")
         .transformWithStateInPandas(
             statefulProcessor=_KeepChanges(), outputStructType=OUTPUT, outputMode="append", timeMode="none"

@@ -142,6 +142,39 @@ def test_script_store_round_trip(spark, tmp_path):
         store.store_data_points([A], [1, 2], [BASE])
 
 
+def test_values_keep_their_type(spark):
+    names = [f"Plant/default/{x}" for x in ("n", "b", "s")]
+    rows = [point(n, BASE + i * 1000, v) for n, vs in zip(names, ([1, 2], [True, False], ["x", "y"])) for i, v in enumerate(vs)]
+    meas = measurements(spark, [measurement(n, datatype=t) for n, t in zip(names, ("number", "boolean", "string"))])
+    props = spark.createDataFrame(
+        [("p1", "pump", f"id-{names[1]}", "on", "boolean"), ("p2", "pump", f"id-{names[2]}", "state", "string")],
+        "uuid string, asset_uuid string, measurement_uuid string, name string, datatype string",
+    )
+    tree = assets(spark, [asset("pump", "Line/pump"), asset("bare", "Line/bare")])
+    history = TagHistory(points(spark, rows), meas, tree, "Plant", props=props)
+    paths = [f"histprov:h:/sys:gw:/prov:default:/tag:{x}" for x in ("n", "b", "s")]
+    pump, bare = (f"histprov:h:/tag:Assets/Line/{x}" for x in ("pump", "bare"))
+
+    wide = history.query_raw_points([*paths, pump, bare], column_names=["n", "b", "s", "pump", "bare"])
+    assert wide.columns == ["t_stamp", "n", "b", "s", "pump/on", "pump/state", "bare"]
+    assert [tuple(r) for r in wide.orderBy("t_stamp").collect()] == [
+        (BASE, 1.0, True, "x", True, "x", None),
+        (BASE + 1000, 2.0, False, "y", False, "y", None),
+    ]
+    for size in (None, 9):
+        tall = history.query_raw_points([paths[1], pump], return_format="TALL", return_size=size)
+        assert tall.columns == ["qpath", "series_name", "ts_ms", "value", "value_bool", "value_str", "seq"]
+        assert tall.count() == 6
+    last = history.query_aggregated_points(
+        [*paths, pump], BASE, BASE + 10_000, ["LastValue"], column_names=["n", "b", "s", "pump"], return_size=1
+    )
+    assert values(last, "n", "b", "s", "`pump/on`", "`pump/state`") == [(2.0, False, "y", False, "y")]
+    mixed = history.query_aggregated_points(
+        paths, BASE, BASE + 10_000, ["Sum", "Count", "LastValue"], return_format="TALL", return_size=1
+    )
+    assert values(mixed, "aggregate", "value", "value_str") == [("Count", 2.0, None), ("LastValue", None, "y"), ("Sum", 3.0, None)]
+
+
 def ask(history, **options):
     return query_timeseries(TimeseriesRequest(**options), history.points, history.meas, options.pop("props", None))
 
