@@ -27,7 +27,7 @@ class Memo:
 
     def _clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.index = pd.Index(self.keys)
+        self.index, self.recent, self.indexed = pd.Index(self.keys), pd.Index(self.keys), 0
         self.at, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
@@ -36,7 +36,7 @@ class Memo:
         code, distinct = pd.factorize(hashes(data, begin, ends))
         if len(self.keys) + len(distinct) > self.limit:
             self._clear()
-        known = self.index.get_indexer(pd.Index(distinct))
+        known = self._known(distinct)
         new = np.flatnonzero(known < 0)
         if len(new):
             seen = np.empty(len(distinct), np.int64)
@@ -51,11 +51,22 @@ class Memo:
             self.count = np.append(self.count, count)
             self.flat = np.append(self.flat, flat)
             self.keys = np.append(self.keys, distinct[new])
-            self.index = pd.Index(self.keys)
+            if len(self.keys) - self.indexed > self.indexed // 4:  # the large index is built seldom
+                self.index, self.indexed = pd.Index(self.keys), len(self.keys)
+            self.recent = pd.Index(self.keys[self.indexed :])
         entry = known[code]
         counts = self.count[entry]
         return self.flat[np.repeat(self.at[entry], counts) + ragged(counts)], counts
 
+    def _known(self, distinct: np.ndarray) -> np.ndarray:
+        """Entry of each hash, or -1."""
+        known = self.index.get_indexer(pd.Index(distinct))
+        left = np.flatnonzero(known < 0)
+        if len(left) and len(self.recent):
+            later = self.recent.get_indexer(pd.Index(distinct[left]))
+            known[left] = np.where(later < 0, -1, later + self.indexed)
+        return known
+
 
 def encoded(
     batches: Iterator[pa.RecordBatch], text: str, memo: Memo
