@@ -83,7 +83,7 @@ def encoded(
 
 
 @lru_cache(maxsize=4)
-def library_memo(spec: str) -> tuple[object, list[str], Memo]:
+def library_memo(spec: str, limit: int = MEMO) -> tuple[object, list[str], Memo]:
     """(tokenizer, its added strings, memo) of a tokenizers file, given by its content; one per worker."""
     from tokenizers import Tokenizer
 
@@ -94,18 +94,18 @@ def library_memo(spec: str) -> tuple[object, list[str], Memo]:
         texts = [p.decode("utf-8") for p in parts]
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return tokenizer, added, Memo(encode)
+    return tokenizer, added, Memo(encode, limit)
 
 
 def library_ids(
-    batches: Iterator[pa.RecordBatch], text: str, spec: str
+    batches: Iterator[pa.RecordBatch], text: str, spec: str, limit: int = MEMO
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """As ``encoded``, with the ids the tokenizers library gives a whole text (a byte-level vocabulary).
 
     The library encodes each distinct pre-token once per worker. A text that holds one of its added strings, which
     are cut out before the split, is encoded by the library as a whole.
     """
-    tokenizer, added, memo = library_memo(spec)
+    tokenizer, added, memo = library_memo(spec, limit)
     marks = [a.encode() for a in added if a]
     for batch, ids, at in encoded(batches, text, memo):
         raw = buffer(batch.column(text))[0].tobytes()

@@ -38,6 +38,8 @@ BLOCK = 256
 PERCENTILE = 0.9
 #: Ids after which a shard ends with the document at hand.
 SHARD = 1 << 20
+#: Distinct pre-tokens a worker remembers.
+MEMO = 1_200_000
 _MAGIC = b"PFOR"
 _U = np.uint64
 
@@ -186,7 +188,7 @@ def write_tokens(
                 [pa.array(v, k) for v, k in zip(row, kinds, strict=True)], ["part", "shard", "first", "n_ids", "image"]
             )
 
-        for batch, found, at in library_ids(batches, "text", sent.value):
+        for batch, found, at in library_ids(batches, "text", sent.value, MEMO):
             found, at = with_end(found, at, end_id)
             names = batch.column("doc_id").to_pylist()
             row = 0
