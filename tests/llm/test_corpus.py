@@ -344,6 +344,25 @@ def test_added_kinds_and_redaction(spark):
     assert clean[5]["n_chars"] == len(clean[5]["text"]) and pii.redact(docs).columns == docs.columns
 
 
+def test_account_numbers_before_capitals_and_digits(spark):
+    plain, grouped = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    british, french = "GB29 NWBK 6016 1331 9268 19", "FR1420041010050500013M02606"
+    numbers = [plain, grouped, british, french, "NO9386011117947", "LC55HEMM000100010012001200023015", "XX46370400440532013000"]
+    after = [" Thanks", " OK", " 12", " 1234 5678", " A", ".", "", " é"]
+    texts = [(f"IBAN {n}{a}", [n]) for n in numbers for a in after]
+    texts += [(f"{a} {b}", [a, b]) for a in numbers for b in numbers]
+    texts += [(f"Ref AB12 {grouped} X", [grouped]), (f"{plain}x", []), (f"x{plain}", []), (plain[:-1] + "1 OK", [])]
+    texts += [(f"DE8937040044053201300 {british}", [british]), ("AB12 " * 20000 + plain, [plain])]
+    docs = table(spark, [t for t, _ in texts])
+    got, clean = by_id(pii.find(docs)), by_id(pii.redact(docs, kinds=("iban",)))
+    for i, (text, want) in enumerate(texts):
+        spans = [text[s["start"] : s["end"]] for s in got[i]["spans"] if s["kind"] == "iban"]
+        assert spans == want, text[:100]
+        for number in want:
+            text = text.replace(number, "[IBAN]", 1)
+        assert clean[i]["text"] == text
+
+
 # --- 1
 
 
