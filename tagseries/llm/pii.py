@@ -7,6 +7,8 @@ social security numbers (``ssn``), which have no checksum and need a word nearby
 
 Matches are the leftmost, longest and not overlapping within a kind. Starts and ends count code points, the end is
 exclusive. A failed match is dropped and not tried again from a later place. Null text is empty and has no spans.
+Words count as near by their distance in the text alone, other matches between them or not; in ``redact`` the text is
+what the kinds before have left.
 
 Account numbers have the length that their country gives them, so a capitalised word, digits or another number after
 one are no part of it. Under a country code that is not listed, a number is a whole word of 15 to 34 characters, or else
@@ -120,20 +122,52 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def score(kind: Kind, before: Column, after: Column) -> Column:
+def score(kind: Kind, near: Column) -> Column:
     """The kind's prior, raised by words nearby that speak for it and lowered by those against."""
-    near = F.concat_ws(" ", F.right(before, F.lit(BEFORE)), F.left(after, F.lit(AFTER)))
     up = F.when(near.rlike(rf"(?i)\b(?:{kind.near})"), 0.3).otherwise(0.0)
     down = F.when(near.rlike(rf"(?i)\b(?:{AGAINST})\b"), 0.3).otherwise(0.0)
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(kind.prior) + up - down))
 
 
-def _found(kind: Kind, rank: int, pieces: Column, matches: Column) -> Column:
-    """Spans of one kind, from the matches and the pieces of text between them."""
+def _rows(pieces: Column, matches: Column) -> Column:
+    """Every match with the pieces of text before and after it."""
     n = F.size(matches)
-    rows = F.arrays_zip(
+    return F.arrays_zip(
         F.slice(pieces, F.lit(1), n).alias("before"), matches.alias("match"), F.slice(pieces, F.lit(2), n).alias("after")
     )
+
+
+def _edges(pieces: Column, matches: Column) -> Column:
+    """For every match, the last characters of the text up to its end and the first ones from its start on, as far as
+    the pieces beside it reach."""
+    return F.transform(
+        _rows(pieces, matches),
+        lambda r: F.struct(
+            F.right(F.concat(r["before"], r["match"]), F.lit(BEFORE)).alias("tail"),
+            F.left(F.concat(r["match"], r["after"]), F.lit(AFTER)).alias("head"),
+        ),
+    )
+
+
+def _with_near(pieces: Column, matches: Column, edges: Column) -> Column:
+    """The rows with the text near each match, whatever other matches lie in it.
+
+    No match is empty, so as many edges as characters reach far enough. ``edges`` must be a column made before.
+    """
+
+    def put(row: Column, i: Column) -> Column:
+        first = F.greatest(i - BEFORE, F.lit(0))
+        tails = F.array_join(F.slice(edges, first + 1, i - first).getField("tail"), "")
+        heads = F.array_join(F.slice(edges, i + 2, F.lit(AFTER)).getField("head"), "")
+        before = F.right(F.concat(tails, row["before"]), F.lit(BEFORE))
+        after = F.left(F.concat(row["after"], heads), F.lit(AFTER))
+        return F.struct(row["before"].alias("before"), row["match"].alias("match"), F.concat_ws(" ", before, after).alias("near"))
+
+    return F.transform(_rows(pieces, matches), put)
+
+
+def _found(kind: Kind, rank: int, rows: Column) -> Column:
+    """Spans of one kind, from its matches with the text before and near them."""
     empty = F.array().cast(_SPAN)
 
     def add(state: Column, row: Column) -> Column:
@@ -144,7 +178,7 @@ def _found(kind: Kind, rank: int, pieces: Column, matches: Column) -> Column:
             F.lit(rank).alias("rank"),
             end.alias("end"),
             F.lit(kind.name).alias("kind"),
-            score(kind, row["before"], row["after"]).alias("score"),
+            score(kind, row["near"]).alias("score"),
         )
         more = F.concat(state["spans"], F.array(span).cast(_SPAN))
         spans = F.when(valid(kind.name, row["match"]), more).otherwise(state["spans"])
@@ -154,21 +188,19 @@ def _found(kind: Kind, rank: int, pieces: Column, matches: Column) -> Column:
     spans = F.aggregate(rows, start, add, lambda state: state["spans"])
     if not kind.base:
         spans = F.filter(spans, lambda s: s["score"] >= ACCEPT)
-    return F.when(n > 0, spans).otherwise(empty)
+    return F.coalesce(spans, empty)
 
 
 def find(docs: DataFrame, text: str = "text", key: str = "doc_id", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """doc_id, text and the spans of each document, by start and then by kind in the order listed."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select("*", *(F.regexp_extract_all("text", F.lit(k.pattern), F.lit(0)).alias(f"m_{k.name}") for k in kinds))
-    rows = rows.select(
-        "*",
-        *(
-            F.when(F.size(f"m_{k.name}") > 0, F.split("text", k.pattern, -1)).alias(f"p_{k.name}")
-            for k in kinds
-        ),
-    )
-    spans = [_found(k, i, F.col(f"p_{k.name}"), F.col(f"m_{k.name}")) for i, k in enumerate(kinds)]
+    met = {k.name: F.size(f"m_{k.name}") > 0 for k in kinds}
+    rows = rows.select("*", *(F.when(met[k.name], F.split("text", k.pattern, -1)).alias(f"p_{k.name}") for k in kinds))
+    parts = {k.name: (F.col(f"p_{k.name}"), F.col(f"m_{k.name}")) for k in kinds}
+    rows = rows.select("*", *(F.when(met[k.name], _edges(*parts[k.name])).alias(f"e_{k.name}") for k in kinds))
+    near = {k.name: F.when(met[k.name], _with_near(*parts[k.name], F.col(f"e_{k.name}"))) for k in kinds}
+    spans = [_found(k, i, near[k.name]) for i, k in enumerate(kinds)]
     return rows.select("doc_id", "text", F.array_sort(F.concat(*spans)).alias("spans"))
 
 
@@ -188,7 +220,7 @@ def _replaced(kind: Kind) -> Callable[[Column], Column]:
     def put(row: Column) -> Column:
         ok = valid(kind.name, row["match"])
         if not kind.base:
-            ok = ok & (score(kind, row["before"], row["after"]) >= ACCEPT)
+            ok = ok & (score(kind, row["near"]) >= ACCEPT)
         return F.concat(row["before"], F.when(ok, f"[{kind.name.upper()}]").otherwise(row["match"]))
 
     return put
@@ -214,19 +246,19 @@ def redact(docs: DataFrame, text: str = "text", kinds: tuple[str, ...] = ("email
     """
     names, known = docs.columns, {k.name: k for k in KINDS}
     taken = {n.lower() for n in names}
-    hidden = [next(f"{p}{'_' * i}" for i in range(99) if f"{p}{'_' * i}" not in taken) for p in ("pii_text", "pii_found", "pii_parts")]
-    now, found, parts = hidden
+    hidden = [next(f"{p}{'_' * i}" for i in range(99) if f"{p}{'_' * i}" not in taken) for p in ("pii_text", "pii_found", "pii_parts", "pii_edges")]
+    now, found, parts, edges = hidden
     rows = docs.withColumn(now, F.col(text))
     for name in kinds:
         kind = known[name]
         rows = rows.withColumn(found, F.regexp_extract_all(now, F.lit(kind.pattern), F.lit(0)))
         rows = rows.withColumn(parts, F.when(F.size(found) > 0, F.split(now, kind.pattern, -1)))
-        n = F.size(found)
-        triple = F.arrays_zip(
-            F.slice(parts, F.lit(1), n).alias("before"),
-            F.col(found).alias("match"),
-            F.slice(parts, F.lit(2), n).alias("after"),
-        )
+        n, pieces, matches = F.size(found), F.col(parts), F.col(found)
+        if kind.base:  # counts whatever stands near
+            triple = _rows(pieces, matches)
+        else:
+            rows = rows.withColumn(edges, F.when(n > 0, _edges(pieces, matches)))
+            triple = _with_near(pieces, matches, F.col(edges))
         new = F.concat(F.array_join(F.transform(triple, _replaced(kind)), ""), F.element_at(parts, -1))
         rows = rows.withColumn(now, F.when(n > 0, new).otherwise(F.col(now)))
     rows = rows.withColumn(text, F.col(now))

@@ -363,6 +363,22 @@ def test_account_numbers_before_capitals_and_digits(spark):
         assert clean[i]["text"] == text
 
 
+def test_words_count_as_near_across_other_matches(spark):
+    one, two = "123-45-6789", "987-65-4321"
+    texts = [f"SSN {one}, {two}", f"{one}, {two} SSN", f"release {one}, {two} ssn", f"ssn {'é' * 43} {one}", f"ssn {'é' * 44} {one}"]
+    texts += [f"SSN {one} {two} {one} {two} {one} {two} {one}", f"{one}\n{two}", f"{one} {'😀' * 19} ssn", f"{one} {'x' * 21} ssn"]
+    texts += ["ssn " + f"{one}, " * 3000]
+    want = [2, 2, 0, 1, 0, 4, 0, 1, 0, 4]
+    docs = table(spark, texts)
+    got, clean = by_id(pii.find(docs)), by_id(pii.redact(docs, kinds=("ssn",)))
+    for i, (text, n) in enumerate(zip(texts, want, strict=True)):
+        spans = [(s["start"], s["end"]) for s in got[i]["spans"] if s["kind"] == "ssn"]
+        assert len(spans) == n and all(text[a:b] in (one, two) for a, b in spans), text[:80]
+        for a, b in reversed(spans):
+            text = text[:a] + "[SSN]" + text[b:]
+        assert clean[i]["text"] == text
+
+
 # --- 1
 
 
