@@ -9,7 +9,8 @@ to 64 bits. For each model the ``FEATURES`` ones that tell the category best on
 The fit uses at most ``SAMPLE`` labelled rows per value of the main label (least hash of doc_id first; the bound keeps
 the fit in one task). Everything else covers all rows. No labelled rows, or only one value of a label, give a constant
 probability: 0 without positives, 1 without negatives. Null or empty text has no features and gets the models' bias.
-Labels are per doc_id: repeated rows count once, rows without doc_id or label not at all.
+Labels are per doc_id: repeated rows count once, before the sample is drawn, rows without doc_id or label not at all.
+Where rows of one doc_id differ, any that says low quality or toxic counts, and of the texts the greatest.
 """
 
 from __future__ import annotations
@@ -218,25 +219,32 @@ def fit(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...], folds:
 CATEGORIES = ("low_quality", "toxic", "severe_toxic")
 
 
+def one_text(rows: DataFrame) -> DataFrame:
+    """One row per (doc_id, low, toxic), with the greatest of its texts: null and empty ones come last."""
+    return rows.groupBy("doc_id", "low", "toxic").agg(F.max("text").alias("text"))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     """Fit on a bounded sample of ``labels`` (doc_id, quality, toxic) and the texts of ``docs``.
 
-    The sample (at most twice ``sample`` rows of three numbers) is broadcast to find its texts; the fit is one task.
+    The sample (at most twice ``sample`` doc_ids with two numbers) is broadcast to find its texts; each doc_id's copies
+    shrink to one by partial aggregation before they meet. The fit is one task over one row per doc_id.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic")
     known = known.filter("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").select(
         "doc_id", (F.col("quality") == 0).cast("int").alias("low"), (F.col("toxic") == 1).cast("int").alias("toxic")
     )
-    parts = [known.filter(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id", "low").limit(sample) for v in (0, 1)]
+    known = known.groupBy("doc_id").agg(F.max("low").alias("low"), F.max("toxic").alias("toxic"))
+    parts = [known.filter(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for v in (0, 1)]
     chosen = parts[0].unionAll(parts[1])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = texts.join(F.broadcast(chosen), "doc_id").repartition(1)
+    rows = one_text(texts.join(F.broadcast(chosen), "doc_id")).repartition(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = list(batches)
         if not found:
             return
-        table = pa.Table.from_batches(found).to_pandas().drop_duplicates("doc_id").sort_values("doc_id")
+        table = pa.Table.from_batches(found).to_pandas().sort_values("doc_id")
         folds = (pd.util.hash_array(table["doc_id"].to_numpy()) % FOLDS).astype(np.int64)
         chain = fit(pa.array(table["text"], pa.string()), table[["low", "toxic"]].to_numpy(), CATEGORIES, folds, 1)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(chain)], pa.binary())], ["chain"])

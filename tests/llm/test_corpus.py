@@ -398,6 +398,21 @@ def test_toxicity_without_labels_or_texts(spark, odd, none):
     assert toxicity.scores(none, one).count() == 0
 
 
+def test_toxicity_sample_counts_repeated_rows_once(spark):
+    rng = random.Random(5)
+    fill = [f"w{i}" for i in range(40)]
+    texts = [" ".join([*rng.choices(fill, k=8), *(["vile", "curse"] if i % 2 else ["kind", "thanks"])]) for i in range(120)]
+    ids = spark.range(120).select("id", F.xxhash64("id").alias("h")).orderBy("h").toPandas()["id"]
+    hot = [next(int(i) for i in ids if i % 2 == v) for v in (0, 1)]  # the first that the sample takes of each value
+    rows = [(i, 1, i % 2) for i in range(120)] + [(i, 1, i % 2) for i in hot for _ in range(100)]
+    labels = spark.createDataFrame([*rows, (hot[1], 0, 0)], "doc_id long, quality int, toxic int")
+    docs = table(spark, texts + [texts[i] for i in hot for _ in range(300)], [*range(120), *(i for i in hot for _ in range(300))])
+    p = toxicity.train(docs, labels, sample=40).probabilities(pa.array(texts))[:, 1]
+    assert [bool(x >= toxicity.THRESHOLD) for x in p] == [bool(i % 2) for i in range(120)]
+    joined = docs.select("doc_id", "text", F.lit(0).alias("low"), (F.col("doc_id") % 2).alias("toxic"))
+    assert toxicity.one_text(joined.union(joined.withColumn("text", F.lit(None)))).filter("text > ''").count() == 120
+
+
 # --- 2 and 6
 
 
