@@ -102,19 +102,25 @@ def meet(data: DataFrame, queries: DataFrame, n_queries: int) -> DataFrame:
 
 
 def best(found: DataFrame, k: int, kind: str) -> DataFrame:
-    """The k best of each query over all blocks: highest score first, ties to the smaller id."""
+    """The k best ids of each query over all blocks, each once with its highest score; ties to the smaller id."""
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    ranked = once.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("score").cast(kind))
 
 
 def top(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best, highest score first, ties to the smaller id."""
-    if len(score) > 4 * k:
-        bound = np.partition(score, len(score) - k)[len(score) - k]
-        keep = np.flatnonzero(score >= bound)
-        return keep[np.lexsort((ids[keep], -score[keep]))[:k]]
-    return np.lexsort((ids, -score))[:k]
+    """Places of the k best ids, each where its score is highest, highest score first, ties to the smaller id."""
+    wanted = k
+    while True:
+        keep = np.arange(len(score))
+        if len(score) > 4 * wanted:
+            keep = np.flatnonzero(score >= np.partition(score, len(score) - wanted)[len(score) - wanted])
+        order = keep[np.lexsort((ids[keep], -score[keep]))]
+        first = np.sort(np.unique(ids[order], return_index=True)[1])[:k]
+        if len(first) == k or len(keep) == len(score):
+            return order[first]
+        wanted *= 4  # rows of one id took the places of others
 
 
 def results(parts: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:

@@ -12,6 +12,9 @@ plus a slack for what the code loses; where fewer than k codes are found it is r
 
 Every vector is indexed. Blocks of rows are searched side by side and their best merged. Fewer than k candidates give
 all of them; a vector is no neighbour of itself; ties go to the smaller id. Empty tables give no rows.
+
+Rows that repeat id and vector count once, as queries and as candidates. An id with several vectors asks with each of
+them and is found by each; a query names every neighbour once, with the highest score.
 """
 
 from __future__ import annotations
@@ -120,7 +123,7 @@ def radii(coder: Coder, sample: np.ndarray, queries: np.ndarray, k: int, keep: f
 
 def search(df: DataFrame, every: int, k: int, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """The k nearest found of each row whose id is divisible by ``every``: query_id, rank, vec_id, score."""
-    rows = clean(df, vector, key, zero=False)
+    rows = clean(df, vector, key, zero=False).dropDuplicates(["vec_id", "v"])
     order = [F.xxhash64("vec_id"), "vec_id"]
     drawn = rows.orderBy(*order).limit(SAMPLE).select("v").toPandas()["v"]  # a bounded sample for the driver
     sample = np.array(drawn.tolist(), np.float64)
@@ -138,7 +141,7 @@ def search(df: DataFrame, every: int, k: int, vector: str = "embedding", key: st
                 for q, radius in enumerate(radii(coder, sample, queries, k).tolist()):
                     near = index.within(codes[q], radius)
                     near = near[ids[near] != q_ids[q]]
-                    while len(near) < k and radius < coder.width:
+                    while len(np.unique(ids[near])) < k and radius < coder.width:
                         radius += 4
                         near = index.within(codes[q], radius)
                         near = near[ids[near] != q_ids[q]]

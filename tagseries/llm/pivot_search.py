@@ -11,6 +11,9 @@ looked at, and a block ends when none is left. Rounding is allowed for, so no po
 
 Scores are integer inner products, exact below 2**53. Fewer than k candidates give all of them; a row is no neighbour
 of itself; ties go to the smaller id. Empty tables give no rows.
+
+Rows that repeat id and integer vector count once, as queries and as candidates. An id with several vectors asks with
+each of them and is found by each; a query names every neighbour once, with the highest score.
 """
 
 from __future__ import annotations
@@ -96,9 +99,11 @@ def expand(
 def search(df: DataFrame, every: int, k: int, scale: int = 256, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """The k highest integer inner products of each row whose id is divisible by ``every``."""
     rows = clean(df, vector, key).withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
+    rows = rows.dropDuplicates(["vec_id", "v"])
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     length = np.sqrt(rows.agg(F.max(square)).first()[0] or 0.0)
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()  # a bounded sample for the driver
+    drawn = drawn.drop_duplicates("vec_id")  # as many ids as rows, for the first bound
     sample_ids = drawn["vec_id"].to_numpy(np.int64)
     sample = np.array(drawn["v"].tolist(), np.float64)
     if not len(sample):

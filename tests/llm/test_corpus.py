@@ -473,6 +473,31 @@ def test_hashing_search_odd_rows(spark):
     assert hashing_search.search(df.filter("false"), every=20, k=20).count() == 0
 
 
+@pytest.mark.parametrize(("search", "every", "k"), [(hashing_search.search, 20, 20), (pivot_search.search, 50, 5)])
+def test_searches_count_repeated_rows_once(spark, search, every, k):
+    df, _ = odd_vectors(spark)
+    hot = df.filter("vec_id IN (0, 3, 100)").crossJoin(spark.range(40).select())
+    want = sorted(map(tuple, search(df, every=every, k=k).collect()))
+    got = sorted(map(tuple, search(df.union(df).union(hot), every=every, k=k).collect()))
+    assert got == want and len(got) == len({(q, i) for q, _, i, _ in got}) == len({q for q, *_ in got}) * k
+
+
+def test_ids_with_several_vectors(spark, monkeypatch):
+    df, values = odd_vectors(spark)
+    more = [(i, values[j].tolist(), "", "") for i, j in ((0, 5), (10, 3), (11, 4), (11, 6), (12, 200), (12, 201), (0, 201))]
+    ids = np.array([*range(300), *(r[0] for r in more)])
+    whole = np.floor(256 * np.concatenate([values, [r[1] for r in more]]).astype(np.float64))
+    monkeypatch.setattr(pivot_search, "ROWS", 64)
+    got = defaultdict(list)
+    for r in pivot_search.search(df.union(vectors(spark, more)), every=10, k=5).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    for q in range(0, 300, 10):
+        score = defaultdict(lambda: -np.inf)
+        for i, s in zip(np.tile(ids, (ids == q).sum()), np.concatenate([whole @ v for v in whole[ids == q]]), strict=True):
+            score[int(i)] = max(score[int(i)], s)
+        assert got[q] == sorted(((i, s) for i, s in score.items() if i != q), key=lambda x: (-x[1], x[0]))[:5]
+
+
 def test_pigeonhole_probing_finds_every_code():
     codes = np.random.default_rng(0).integers(0, 1 << 16, (400, 4)).astype(np.uint16)
     index = hashing_search.Index(codes)
