@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by multi-index hashing over learned rotated binary codes.
 
-Codes: ``ROTATIONS`` rotations are learned on a bounded sample (``SAMPLE`` vectors of least hash), each by turning
+Codes: ``ROTATIONS`` rotations are learned on a bounded sample (``SAMPLE`` distinct vectors of least hash), each by turning
 the sample's principal axes until the signs lose least (iterative quantization); a vector's code is the signs of all
 its rotated components. The code is split into 16-bit substrings, each indexed by value.
 
@@ -8,7 +8,8 @@ Search: for a Hamming radius r, pigeonhole says that a code within r has some su
 shares plus one add up to r + 1). All values in that share of the query's substring are probed, the hits' whole codes
 are compared, and what lies within r is reranked by the inner product of the original vectors in double precision.
 The radius of a query is the one at which its own neighbours in the sample, ``KEEP`` of them by inner product, lie,
-plus a slack for what the code loses; where fewer than k codes are found it is raised until there are.
+plus ``SLACK`` for what the code loses; copies of a vector are one neighbour there, so that no group of them sets the
+radius by the code of one vector. Where fewer than k codes are found it is raised until there are.
 
 Every vector is indexed. Blocks of rows are searched side by side and their best merged. Fewer than k candidates give
 all of them; a vector is no neighbour of itself; ties go to the smaller id. Empty tables give no rows.
@@ -33,6 +34,8 @@ ROTATIONS = 2
 TURNS = 25
 #: Share of a query's true neighbours in the sample that its radius must hold.
 KEEP = 0.93
+#: Share of the code's bits that is added to every radius.
+SLACK = 1 / 64
 ROWS, QUERIES = 32_768, 512
 _SUB = 16
 
@@ -105,11 +108,13 @@ class Index:
 
 
 def radii(coder: Coder, sample: np.ndarray, queries: np.ndarray, k: int, keep: float = KEEP) -> np.ndarray:
-    """Hamming radius for each query, from its neighbours in the sample.
+    """Hamming radius for each query, from its neighbours in the sample, whose vectors are distinct.
 
     The fewer rows the sample has of a table, the nearer the table's neighbours are: what holds the sample's k
-    nearest holds them too, up to what the code loses, which the quantile over the sample's neighbours covers.
+    nearest holds them too, up to what the code loses, which the quantile over the sample's neighbours and the slack
+    cover.
     """
+    slack = int(np.ceil(SLACK * coder.width))
     codes, own = coder.codes(sample), coder.codes(queries)
     k = min(k + 1, len(sample))
     out = np.zeros(len(queries), np.int64)
@@ -117,15 +122,14 @@ def radii(coder: Coder, sample: np.ndarray, queries: np.ndarray, k: int, keep: f
         score = queries[a : a + 256] @ sample.T
         near = np.argpartition(-score, k - 1, axis=1)[:, :k]
         far = np.sort(np.bitwise_count(codes[near] ^ own[a : a + 256, None, :]).sum(2), axis=1)
-        out[a : a + 256] = far[:, min(k - 1, int(np.ceil(keep * k)) - 1)]
+        out[a : a + 256] = far[:, min(k - 1, int(np.ceil(keep * k)) - 1)] + slack
     return out
 
 
 def search(df: DataFrame, every: int, k: int, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """The k nearest found of each row whose id is divisible by ``every``: query_id, rank, vec_id, score."""
     rows = clean(df, vector, key, zero=False).dropDuplicates(["vec_id", "v"])
-    order = [F.xxhash64("vec_id"), "vec_id"]
-    drawn = rows.orderBy(*order).limit(SAMPLE).select("v").toPandas()["v"]  # a bounded sample for the driver
+    drawn = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(SAMPLE).toPandas()["v"]  # bounded, for the driver
     sample = np.array(drawn.tolist(), np.float64)
     coder = Coder(sample) if len(sample) else None
     sent = df.sparkSession.sparkContext.broadcast((coder, sample))

@@ -473,6 +473,40 @@ def test_hashing_search_odd_rows(spark):
     assert hashing_search.search(df.filter("false"), every=20, k=20).count() == 0
 
 
+def copied_vectors(queries=8, dims=32, near=15, copies=600, others=1000):
+    """Each query has some near vectors, and a little farther off a large group of copies of one vector."""
+    rng = np.random.default_rng(4)
+
+    def at(v, cosine):
+        side = rng.normal(size=dims)
+        side -= (side @ v) * v
+        return cosine * v + np.sqrt(1 - cosine**2) * side / np.linalg.norm(side)
+
+    asked = rng.normal(size=(queries, dims))
+    asked /= np.linalg.norm(asked, axis=1)[:, None]
+    rest = []
+    for v in asked:
+        rest += [at(v, 0.5) for _ in range(near)] + [at(v, 0.45)] * copies
+    rest += [v / np.linalg.norm(v) for v in rng.normal(size=(others, dims))]
+    ids = [i for i in range(1, 2 * len(rest)) if i % 20][: len(rest)]
+    return np.array([20 * i for i in range(1, queries + 1)] + ids), np.concatenate([asked, rest])
+
+
+def test_hashing_search_recall_among_copies(spark, monkeypatch):
+    ids, x = copied_vectors()
+    df = spark.createDataFrame(list(zip(ids.tolist(), x.tolist(), strict=True)), "vec_id long, embedding array<double>")
+    monkeypatch.setattr(hashing_search, "SAMPLE", 512)
+    got = defaultdict(list)
+    for r in hashing_search.search(df, every=20, k=20).collect():
+        got[r["query_id"]].append(r["score"])
+    hits = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        score = np.sort(np.delete(x @ x[q], q))[::-1]
+        assert len(got[ids[q]]) == 20
+        hits += sum(s >= score[19] - 1e-9 for s in got[ids[q]])
+    assert hits / 160 >= 0.95
+
+
 @pytest.mark.parametrize(("search", "every", "k"), [(hashing_search.search, 20, 20), (pivot_search.search, 50, 5)])
 def test_searches_count_repeated_rows_once(spark, search, every, k):
     df, _ = odd_vectors(spark)
