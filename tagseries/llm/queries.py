@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
-from . import bpe, chat, hashing_search, licenses, packing, pii, pivot_search, shingles, token_files, toxicity
+from . import (
+    alignment,
+    bin_completion,
+    bpe,
+    chat,
+    filter_audit,
+    hashing_search,
+    licenses,
+    packing,
+    pii,
+    pivot_search,
+    shingles,
+    token_files,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,3 +103,23 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in each document."""
     return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
+@register("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers in each document, and how usual the links are."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
+@register("op12_filter_audit", filter_audit.AUDIT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes at every step of every order, per source."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op13_bin_completion")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and offset, in few sequences."""
+    docs = table(spark, sf_dir, "documents")
+    return bin_completion.pack(bin_completion.cut(docs, public_tokenizers.path("word_bpe_49k.json")))
