@@ -227,7 +227,7 @@ def one_text(rows: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     """Fit on a bounded sample of ``labels`` (doc_id, quality, toxic) and the texts of ``docs``.
 
-    The sample (at most twice ``sample`` doc_ids with two numbers) is broadcast to find its texts; each doc_id's copies
+    The sample has at most twice ``sample`` doc_ids with two numbers, which Spark sees and broadcasts to find its texts; each doc_id's copies
     shrink to one by partial aggregation before they meet. The fit is one task over one row per doc_id.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic")
@@ -238,7 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     parts = [known.filter(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for v in (0, 1)]
     chosen = parts[0].unionAll(parts[1])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = one_text(texts.join(F.broadcast(chosen), "doc_id")).repartition(1)
+    rows = one_text(texts.join(chosen, "doc_id")).repartition(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = list(batches)
@@ -260,7 +260,7 @@ def _constant() -> Chain:
 
 def annotate(df: DataFrame, chain: Chain, names: tuple[str, ...], text: str = "text") -> DataFrame:
     """The rows with a probability per category, in new columns ``names``. No shuffle."""
-    if set(names) & set(df.columns):
+    if {n.lower() for n in names} & {c.lower() for c in df.columns}:
         raise ValueError("a column of that name is there already")
     sent = df.sparkSession.sparkContext.broadcast(chain)
     schema = StructType([*df.schema.fields, *(StructField(n, DoubleType()) for n in names)])
@@ -285,10 +285,10 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents without those that a toxic category holds for."""
-    used, names = set(docs.columns), []
+    used, names = {c.lower() for c in docs.columns}, []
     for c in CATEGORIES:
         name = f"p_{c}"
-        while name in used:
+        while name.lower() in used:
             name += "_"
         names.append(name)
     out = annotate(docs, train(docs, labels), tuple(names))
