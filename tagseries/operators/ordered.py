@@ -47,6 +47,14 @@ def dedupe_last_write(
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
+def last_writes(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """One row per key, the greatest by the columns ``by``; where they tie, by the value, so that a
+    repeated task takes the same. Copies are cut to one per map task before the shuffle."""
+    ties = [c for c in ("value_num", "value_bool", "value_str", "quality_code") if c in df.columns]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in (*by, *ties)])
+    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+
+
 def _cells(df: DataFrame, order: str, chunk_ms: int) -> DataFrame:
     """Rows with the start of their cell. It is never NULL: a null check inferred from the join
     with the summary would reach below one input only and keep Spark from sharing its shuffle."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,8 +13,13 @@ from ..functions.time import check_range, part_bounds
 from ..functions.values import GOOD_CODE, datatype_of, has_value, quality_to_status
 from ..schema import POINTS
 from ..session import shared_dir
+from ..sources import live
+from .ordered import last_writes
 from .registry import measurements
 
+#: Columns of the files of a point table.
+STORED = T.StructType([*POINTS.fields, T.StructField("written", T.LongType())])
+
 # Reasons why a point is not stored.
 NULL_VALUE = "null value"
 NO_SERIES = "no series"
@@ -134,35 +141,96 @@ def write_refused(checked: DataFrame, path: str, batch: str) -> None:
 
 
 def write_points(
-    df: DataFrame, registry: DataFrame, path: str, batch: str, grain: str = "day", refused: str | None = None
+    df: DataFrame,
+    registry: DataFrame,
+    path: str,
+    batch: str,
+    grain: str = "day",
+    refused: str | None = None,
+    every_write: bool = False,
 ) -> None:
-    """Append the storable points of ``df`` under ``part=.../batch=.../``, and those refused with
-    their reason to ``refused`` (by default a folder beside the table).
+    """Append the storable points of ``df`` as one batch, and those refused with their reason to
+    ``refused`` (by default a folder beside the table).
 
-    Only the partitions of this batch are replaced, so a repeated batch leaves both as if it had
-    run once.
+    Only this batch is replaced, so a repeated batch leaves both as if it had run once.
     """
     checked = assign_series(df, registry)
-    write_resolved(checked.filter(F.col("reason").isNull()), path, batch, grain)
+    write_resolved(checked.filter(F.col("reason").isNull()), path, batch, grain, every_write)
     write_refused(checked, refused or refused_path(path), batch)
 
 
-def write_resolved(df: DataFrame, path: str, batch: str, grain: str = "day") -> None:
-    laid = lay_out(conform(df), grain).withColumn("batch", F.lit(batch))
-    (
-        laid.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("part", "batch")
-        .parquet(path)
-    )
+# What tells writes of one instant apart: the number of the write, then the arrival and the place in the request.
+INSTANT = ("measurement_uuid", "ts_ms")
+
+
+def write_resolved(
+    df: DataFrame, path: str, batch: str, grain: str = "day", every_write: bool = False
+) -> None:
+    """Write points with their uuid as one batch that counts as a whole once it is complete.
+
+    The batch keeps one value per instant, the one of highest ``seq`` and then of the last ``place`` in
+    its request, if that column is there; ``every_write`` keeps all, for tables that serve as a log.
+    """
+    live.check_grain(live.entries(df.sparkSession, path), grain)
+    if not every_write:
+        df = last_writes(df, INSTANT, [c for c in ("seq", "place") if c in df.columns])
+    live.write(lay_out(conform(df), grain), path, batch, grain)
 
 
-def read_points(spark: SparkSession, path: str, start: int | None = None, end: int | None = None) -> DataFrame:
-    """Stored points; the range prunes partitions of any grain and is pushed into the files."""
+def read_points(
+    spark: SparkSession, path: str, start: int | None = None, end: int | None = None, every_write: bool = False
+) -> DataFrame:
+    """Stored points, one per series and instant: that of the last write, then of the highest ``seq``.
+
+    The range prunes parts of any grain and is pushed into the files. Parts with one batch hold one value
+    per instant already and are read as they are; only parts with several are merged, by one shuffle in
+    which copies shrink on the map side. ``every_write`` returns all rows that were written.
+    """
     check_range(start, end)
-    schema = T.StructType([*POINTS.fields, T.StructField("part", T.DateType()), T.StructField("batch", T.StringType())])
-    df = spark.read.schema(schema).parquet(path)
-    df = df.filter(part_bounds(start, end))
-    if start is not None:
-        df = df.filter(F.col("ts_ms") >= start)
-    return df if end is None else df.filter(F.col("ts_ms") < end)
+    found = live.entries(spark, path, *_part_range(start, end))
+
+    def rows(folders: list) -> DataFrame:
+        df = live.read(spark, path, STORED, folders).filter(part_bounds(start, end))
+        if start is not None:
+            df = df.filter(F.col("ts_ms") >= start)
+        return df if end is None else df.filter(F.col("ts_ms") < end)
+
+    if every_write:
+        return rows(found).drop("written")
+    alone, many = live.several(found)
+    if not many:
+        return rows(alone).drop("written")
+    merged = last_writes(rows(many), ("part", *INSTANT), ("written", "seq"))
+    return (rows(alone).unionByName(merged) if alone else merged).drop("written")
+
+
+def compact_points(spark: SparkSession, path: str, before: str | None = None) -> list[str]:
+    """Merge the batches of every part before a date (all parts, if none is given) into one folder per
+    part with one value per instant; returns the parts. Readers see the old folders or the new one.
+
+    A write that comes later, also one of an earlier batch repeated, is merged on reading as before.
+    """
+
+    def reduce(df: DataFrame) -> DataFrame:
+        kept = last_writes(df, ("part", *INSTANT), ("written", "seq")).drop("batch")
+        order = ["part", *INSTANT]
+        return kept.repartitionByRange(*order).sortWithinPartitions(*order)
+
+    return live.merge(spark, path, STORED, reduce, before)
+
+
+def live_folders(spark: SparkSession, path: str) -> DataFrame:
+    """(part, folders): how many folders hold the points of each part."""
+    rows = [(e.part,) for e in live.entries(spark, path)]
+    parts = spark.createDataFrame(rows, "part string").groupBy(F.col("part").cast("date").alias("part"))
+    return parts.agg(F.count("*").cast("int").alias("folders"))
+
+
+def _part_range(start: int | None, end: int | None) -> tuple[str | None, str | None]:
+    """First and last part, of any grain, that may hold points of a range."""
+    first = None if start is None else f"{_utc(start).year:04d}-01-01"
+    return first, None if end is None else _utc(end).strftime("%Y-%m-%d")
+
+
+def _utc(ms: int) -> datetime:
+    return datetime(1970, 1, 1) + timedelta(milliseconds=ms)

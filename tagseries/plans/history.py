@@ -27,7 +27,7 @@ from ..operators.resolve import (
     with_asset_series,
 )
 from ..operators.shape import check_format, wide
-from ..operators.storage import named_points, path_names, read_points, write_points
+from ..operators.storage import compact_points, named_points, path_names, read_points, write_points
 from ..schema import ASSETS, MEASUREMENTS
 from ..sources.ingest import from_parallel_arrays, from_tag_matrix
 from ..sources.tables import registry_reader, write_registry
@@ -325,8 +325,12 @@ class TagStore:
         schema = "qpath string, properties map<string,string>, seq bigint, batch string"
         return pending_metadata(self.spark.read.schema(schema).parquet(self.metadata), self.collector)
 
+    def compact(self, before: str | None = None) -> list[str]:
+        """Merge the batches of every day before a date; readers go on as if nothing had happened."""
+        return compact_points(self.spark, self.points, before)
+
     def history(self, assets: DataFrame | None = None, props: DataFrame | None = None) -> TagHistory:
-        """Reader of what is stored now."""
+        """Reader of what is stored now, one value per series and instant."""
         things = assets if assets is not None else self.spark.createDataFrame([], ASSETS)
         points = read_points(self.spark, self.points)
         meas = registry_reader(self.spark, self.registry)
@@ -348,13 +352,19 @@ def _typed(value) -> tuple[float | None, bool | None, str | None]:
 
 
 def store_points(
-    points: DataFrame, registry: str, path: str, batch: str, meta: DataFrame | None = None, grain: str = "day"
+    points: DataFrame,
+    registry: str,
+    path: str,
+    batch: str,
+    meta: DataFrame | None = None,
+    grain: str = "day",
+    every_write: bool = False,
 ) -> None:
-    """Create the missing series of named points, then append the points."""
+    """Create the missing series of named points, then append the points, one per instant unless ``every_write``."""
     spark = points.sparkSession
     created = onboard(points, registry_reader(spark, registry, skip_batch=batch), meta)
     write_registry(created, registry, batch)
-    write_points(points, registry_reader(spark, registry), path, batch, grain)
+    write_points(points, registry_reader(spark, registry), path, batch, grain, every_write=every_write)
 
 
 def store_requests(
@@ -366,10 +376,12 @@ def store_requests(
     collector: str,
     meta: DataFrame | None = None,
     grain: str = "day",
+    every_write: bool = False,
 ) -> None:
     """Store a DataFrame of requests (``matrix`` or ``arrays`` form) into the point table.
 
-    New series are created first; pending metadata is applied to them.
+    New series are created first; pending metadata is applied to them. Of the points of one instant the
+    one of the highest ``seq`` stays, in a request the last; ``every_write`` keeps all.
     """
     forms = {"matrix": from_tag_matrix, "arrays": from_parallel_arrays}
     if form not in forms:
@@ -378,7 +390,7 @@ def store_requests(
     points = named_points(rows, collector, path_names(rows, collector)).withColumn(
         "seq", F.col("seq") if "seq" in requests.columns else F.lit(0)
     )
-    store_points(points, registry, path, batch, meta, grain)
+    store_points(points, registry, path, batch, meta, grain, every_write)
 
 
 def pending_metadata(requests: DataFrame, collector: str) -> DataFrame:

@@ -147,8 +147,11 @@ def store_line_requests(spark, sf):
     base = shared_dir(spark)
     registry, path = f"{base}/registry", f"{base}/points"
     tables.write_registry(tb.measurements_view(spark, sf), registry, "base")
-    store_requests(array_requests(spark, sf), "arrays", registry, path, "batch-1", tb.COLLECTOR, grain="year")
-    return storage.read_points(spark, path).select("series_name", "ts_ms", "value_num", "status", "seq")
+    store_requests(
+        array_requests(spark, sf), "arrays", registry, path, "batch-1", tb.COLLECTOR, grain="year", every_write=True
+    )
+    table = storage.read_points(spark, path, every_write=True)
+    return table.select("series_name", "ts_ms", "value_num", "status", "seq")
 
 
 _OPS = f"""o AS (SELECT epoch_us(ts) // 1000 AS ts_ms, CASE event_type WHEN 'view' THEN 'raw' WHEN 'purchase' THEN 'agg' ELSE 'store' END AS op,
@@ -304,9 +307,8 @@ def stream_mixed_requests(spark, sf):
 def stream_only_changes(spark, sf):
     base = shared_dir(spark)
     coded = tb.stream_user_points(spark, sf).withColumn("value_num", F.col("quality_code").cast("double"))
-    kept = changes.stream_only_changes(coded)
-    stream_agg.write_closed(kept, f"{base}/out", f"{base}/checkpoint", "changes", once=True).awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("series_name", "ts_ms", "value_num", "late")
+    changes.stream_only_changes(coded, f"{base}/out", f"{base}/checkpoint", "changes", once=True).awaitTermination()
+    return changes.read_changes(spark, f"{base}/out").select("series_name", "ts_ms", "value_num", "late")
 
 
 @register(
@@ -343,7 +345,8 @@ def stream_two_writers(spark, sf):
         stream_ingest.stream_points(
             tb.stream_user_points(spark, sf), registry, path, f"{base}/checkpoint-{i}", once=True
         ).awaitTermination()
-    return storage.read_points(spark, path).groupBy("series_name", "ts_ms", "seq").agg(F.count("*").alias("writes"))
+    written = storage.read_points(spark, path, every_write=True)
+    return written.groupBy("series_name", "ts_ms", "seq").agg(F.count("*").alias("writes"))
 
 
 @register(
@@ -378,3 +381,123 @@ def stored_range(spark, sf):
     low, high = pts.agg(F.min("ts_ms"), F.max("ts_ms")).first()
     day = 86_400_000
     return raw.time_range(storage.read_points(spark, path), low + day, high - day).select("series_name", "ts_ms", "value_num")
+
+
+@register(
+    "ingest_same_instant",
+    f"""WITH l AS (SELECT {LINE_SEQ} AS seq, concat('Plant/ship/s', l_suppkey) AS base, l_quantity AS q,
+      l_extendedprice AS p, epoch_us(l_shipdate) // 1000 AS t0, l_returnflag = 'R' AS r FROM lineitem),
+    a AS (SELECT concat(base, '/quantity') AS series_name, t0 AS ts_ms, q AS value_num, 'Good' AS status, seq FROM l
+      UNION ALL SELECT concat(base, '/price'), t0, p, CASE WHEN r THEN 'Bad' ELSE 'Good' END, seq FROM l)
+    SELECT series_name, ts_ms, arg_max(value_num, seq) AS value_num, arg_max(status, seq) AS status, max(seq) AS seq
+    FROM a GROUP BY series_name, ts_ms""",
+)
+def ingest_same_instant(spark, sf):
+    """Requests with many values for one instant: the table keeps the last one."""
+    base = shared_dir(spark)
+    registry, path = f"{base}/registry", f"{base}/points"
+    tables.write_registry(tb.measurements_view(spark, sf), registry, "base")
+    store_requests(array_requests(spark, sf), "arrays", registry, path, "batch-1", tb.COLLECTOR, grain="year")
+    return storage.read_points(spark, path).select("series_name", "ts_ms", "value_num", "status", "seq")
+
+
+def rewritten_events(spark, sf):
+    """The events stored in two batches, the second of which gives every instant of an even k another value, and
+    in a third with lower arrival numbers, which drops that of the clicks again; returns the table's folder."""
+    path, meas, pts = shared_dir(spark), tb.measurements_view(spark, sf), tb.points(spark, sf)
+    storage.write_points(pts, meas, path, "batch-1", grain="month")
+    changed = pts.filter(F.element_at("tags", "k10").cast("int") % 2 == 0)
+    storage.write_points(changed.withColumn("value_num", F.col("value_num") + 1000), meas, path, "batch-2", grain="month")
+    clicks = changed.filter(F.element_at("tags", "type") == "click").withColumn("seq", F.lit(0))
+    storage.write_points(clicks.withColumn("value_num", -F.col("value_num")), meas, path, "batch-3", grain="month")
+    return path
+
+
+_REWRITTEN = f"""{POINTS}, {MEASUREMENTS}, stored AS (
+  SELECT series_name, ts_ms, CASE WHEN k // 10 % 2 = 1 THEN value_num WHEN event_type = 'click' THEN -value_num
+    ELSE value_num + 1000 END AS value_num FROM points WHERE series_name IN (SELECT name FROM active))"""
+
+
+@register("store_rewritten_instant", f"WITH {_REWRITTEN} SELECT * FROM stored")
+def store_rewritten_instant(spark, sf):
+    """An instant written three times has the value of the last write, whatever its arrival number."""
+    return storage.read_points(spark, rewritten_events(spark, sf)).select("series_name", "ts_ms", "value_num")
+
+
+@register(
+    "agg_rewritten_instant",
+    f"""WITH {_REWRITTEN} SELECT series_name, CAST(count(*) AS DOUBLE) AS count, round(sum(value_num), 6) AS sum,
+    arg_max(value_num, ts_ms) AS last FROM stored GROUP BY series_name""",
+)
+def agg_rewritten_instant(spark, sf):
+    """Aggregates over rewritten instants count each once."""
+    pts = storage.read_points(spark, rewritten_events(spark, sf))
+    return pts.groupBy("series_name").agg(
+        F.count("*").cast("double").alias("count"),
+        r6(F.sum("value_num")).alias("sum"),
+        F.max_by("value_num", "ts_ms").alias("last"),
+    )
+
+
+@register("compacted_day", f"WITH {_REWRITTEN} SELECT series_name, ts_ms, value_num, 1 AS folders FROM stored")
+def compacted_day(spark, sf):
+    """Parts merged into one folder each and read back, with the number of folders behind each part."""
+    path = rewritten_events(spark, sf)
+    storage.compact_points(spark, path)
+    folders = storage.live_folders(spark, path)
+    rows = storage.read_points(spark, path).join(folders, "part")
+    return rows.select("series_name", "ts_ms", "value_num", "folders")
+
+
+def typed_requests(spark, sf):
+    """Matrix requests whose two tags hold a number and a text, a boolean or a null."""
+    flag = F.col("flag")
+    text = F.when(flag == "R", F.lit("true")).when(flag == "A", F.lit('"a"')).otherwise(F.lit("null"))
+    cell = lambda c: F.parse_json(c)
+    number = F.col("quantity").cast("decimal(12,2)").cast("string")
+    return line_requests(spark, sf).select(
+        "seq",
+        F.array(F.concat("base", F.lit("/quantity")), F.concat("base", F.lit("/flag"))).alias("paths"),
+        F.array(F.array(cell(number)), F.array(cell(text))).alias("values"),
+        F.array("at").alias("timestamps"),
+        F.lit(None).cast("array<int>").alias("qualities"),
+    )
+
+
+@register(
+    "ingest_typed_matrix",
+    f"""WITH l AS (SELECT {LINE_SEQ} AS seq, concat('sys:gw:/prov:ship:/tag:s', l_suppkey) AS base, l_quantity AS q,
+      epoch_us(l_shipdate) // 1000 AS ts_ms, l_returnflag AS f FROM lineitem)
+    SELECT seq, concat(base, '/quantity') AS qpath, ts_ms, CAST(q AS DOUBLE) AS value_num, CAST(NULL AS BOOLEAN) AS value_bool,
+      CAST(NULL AS VARCHAR) AS value_str, 0 AS place FROM l
+    UNION ALL SELECT seq, concat(base, '/flag'), ts_ms, NULL, CASE WHEN f = 'R' THEN true END, CASE WHEN f = 'A' THEN 'a' END, 1 FROM l""",
+)
+def ingest_typed_matrix(spark, sf):
+    """Values of any type in one request, each in the column of its type."""
+    out = ingest.from_tag_matrix(typed_requests(spark, sf))
+    return out.select("seq", "qpath", "ts_ms", "value_num", "value_bool", "value_str", F.col("place").cast("int").alias("place"))
+
+
+@register(
+    "ingest_array_order",
+    """SELECT concat('Plant/ship/s', l_suppkey, '/o', l_orderkey) AS series_name, epoch_us(l_shipdate) // 1000 AS ts_ms,
+      CAST(l_quantity AS DOUBLE) + 2 AS value_num FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_orderkey, l_shipdate ORDER BY l_linenumber DESC) = 1""",
+)
+def ingest_array_order(spark, sf):
+    """Three entries of a request for one instant: the last of the arrays is stored."""
+    base = shared_dir(spark)
+    registry, path = f"{base}/registry", f"{base}/points"
+    tables.write_registry(tb.measurements_view(spark, sf), registry, "base")
+    lines = tb.table(spark, sf, "lineitem")
+    tag = F.concat(F.lit("sys:gw:/prov:ship:/tag:s"), "l_suppkey", F.lit("/o"), "l_orderkey")
+    at = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
+    asked = lines.select(
+        F.col("l_linenumber").cast("bigint").alias("seq"),
+        F.array(tag, tag, tag).alias("paths"),
+        F.array(*[F.col("l_quantity").cast("double") + i for i in range(3)]).alias("values"),
+        F.array(at, at, at).alias("timestamps"),
+        F.lit(None).cast("array<int>").alias("qualities"),
+    )
+    store_requests(asked, "arrays", registry, path, "batch-1", tb.COLLECTOR, grain="year")
+    return storage.read_points(spark, path).select("series_name", "ts_ms", "value_num")

@@ -99,9 +99,9 @@ def stream_count_types(spark, sf):
 def stream_changes_types(spark, sf):
     """Changes of boolean, text and number series of a stream."""
     base = shared_dir(spark)
-    kept = changes.stream_only_changes(tb.typed(tb.event_stream(spark, sf), tb.type_series()))
-    stream_agg.write_closed(kept, f"{base}/out", f"{base}/checkpoint", "typed", once=True).awaitTermination()
-    return spark.read.schema(kept.schema).parquet(f"{base}/out").drop("seq")
+    typed = tb.typed(tb.event_stream(spark, sf), tb.type_series())
+    changes.stream_only_changes(typed, f"{base}/out", f"{base}/checkpoint", "typed", once=True).awaitTermination()
+    return changes.read_changes(spark, f"{base}/out").drop("seq")
 
 
 @register(

@@ -1,78 +1,107 @@
-"""Only-changes on a stream, with the last value of every series as state."""
+"""Only-changes on a stream, with the last value of every series in a written table."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
+
+from ..operators.ordered import CHUNK_MS, changed, last_writes, with_neighbours
+from ..sources.live import exists, remove_folder
 
+VALUES = {"value_num": "double", "value_bool": "boolean", "value_str": "string"}
 OUTPUT = (
     "series_name string, ts_ms bigint, value_num double, value_bool boolean, value_str string, seq bigint, late boolean"
 )
-STATE = "ts_ms bigint, value string"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def value_key() -> Column:
-    """Text that is equal for equal values of one type, and never NULL."""
-    return (
-        F.when(F.col("value_bool").isNotNull(), F.concat(F.lit("b"), F.col("value_bool").cast("string")))
-        .when(F.col("value_num").isNotNull(), F.concat(F.lit("n"), (F.col("value_num") + 0.0).cast("string")))
-        .when(F.col("value_str").isNotNull(), F.concat(F.lit("s"), F.col("value_str")))
-        .otherwise(F.lit(""))
-    )
+STATE = "series_name string, ts_ms bigint, value_num double, value_bool boolean, value_str string, batch bigint"
+#: Batches after which the last values are written anew as a whole.
+FOLD = 20
 
 
-class _KeepChanges(StatefulProcessor):
-    """Emits a point when its value differs from the series' last one."""
+def _folder(state: str, kind: str, batch_id: int) -> str:
+    return f"{state.rstrip('/')}/{kind}={batch_id}"
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # A key's rows of one micro-batch arrive in several frames of any order; the trigger's
-        # size limit bounds them.
-        frame = pd.concat(list(rows), ignore_index=True)
-        frame = frame.sort_values(["ts_ms", "seq"], kind="stable", na_position="first", ignore_index=True)
-        ts, value = frame["ts_ms"].to_numpy("int64"), frame["value_key"].to_numpy(object)
+def last_values(spark: SparkSession, state: str, before: int) -> DataFrame:
+    """The last value of every series as it was before a batch: the newest whole table and what later batches added."""
+    whole = before // FOLD * FOLD - 1
+    folders = [_folder(state, "whole", whole)] if whole >= 0 else []
+    folders += [_folder(state, "added", i) for i in range(whole + 1, before)]
+    folders = [f for f in folders if exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], STATE)
+    return last_writes(spark.read.schema(STATE).parquet(*folders), ["series_name"], ["batch"])
 
-        last = self._last.get() if self._last.exists() else None
-        late = ts < last[0] if last is not None else np.zeros(len(ts), dtype=bool)
-        newest_write = np.append(ts[1:] != ts[:-1], True)
-        fresh = np.flatnonzero(~late & newest_write)
-        known = value[fresh]
-        before = np.append(np.array([None if last is None else last[1]], object), known[:-1])[: len(known)]
-        changed = np.array([a != b for a, b in zip(known, before, strict=True)], dtype=bool)
-        if len(fresh):
-            self._last.update((int(ts[fresh[-1]]), known[-1]))
 
-        kept = np.concatenate([fresh[changed], np.flatnonzero(late)])
-        if len(kept):
-            out = frame.iloc[kept].drop(columns="value_key")
-            yield out.assign(series_name=key[0], late=late[kept])[[c.split()[0] for c in OUTPUT.split(", ")]]
+def changes_of_batch(rows: DataFrame, last: DataFrame, chunk_ms: int = CHUNK_MS) -> tuple[DataFrame, DataFrame]:
+    """(changes of a batch of points, last value of each of its series), given the last values before it.
 
-    def close(self) -> None:
-        pass
-
-
-def stream_only_changes(src: DataFrame) -> DataFrame:
-    """Changes per series of a point stream, for values of any type.
-
-    Points older than the series' last seen instant pass through marked ``late``. Needs the
-    RocksDB state store (``ROCKSDB``).
+    An instant counts with its last write. A point is a change if its value differs from the one before in the batch,
+    or for a series' first from the last value before the batch. Points older than that value pass as ``late``. Time
+    cells split a series that holds the whole batch.
     """
-    spark = src.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    kinds = {"value_num": "double", "value_bool": "boolean", "value_str": "string"}
-    typed = src.withColumns({c: F.lit(None).cast(t) for c, t in kinds.items() if c not in src.columns})
+    held = F.struct(*VALUES).alias("__held")
+    known = last.select("series_name", F.col("ts_ms").alias("__last_ms"), held)
+    late = F.coalesce(F.col("ts_ms") < F.col("__last_ms"), F.lit(False))
+    marked = rows.join(known, "series_name", "left").withColumn("late", late)
+    fresh = marked.filter("NOT late").drop("late", "__last_ms", "__held")
+    linked = with_neighbours(fresh, list(VALUES), chunk_ms=chunk_ms, previous="__previous", seq="seq")
+    linked = linked.join(known.drop("__last_ms"), "series_name", "left")
+    before = F.coalesce("__previous", "__held")
+    differs = before.isNull()
+    for v in VALUES:
+        differs = differs | changed(F.col(v), before[v])
+    kept = linked.filter(differs).withColumn("late", F.lit(False)).select(*_columns(OUTPUT))
+    newest = last_writes(fresh, ["series_name"], ["ts_ms", "seq"])
+    return kept.unionByName(marked.filter("late").select(*_columns(OUTPUT))), newest
+
+
+def _columns(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def stream_only_changes(
+    src: DataFrame, path: str, checkpoint: str, name: str, once: bool = False, chunk_ms: int = CHUNK_MS
+) -> StreamingQuery:
+    """Write the changes of a point stream, for values of any type, as ``batch=<number>`` folders of ``path``.
+
+    The last values lie beside the checkpoint, a folder per batch: a repeated batch reads those before it and replaces
+    its own, so it writes the same again. Every ``FOLD`` batches they are written as a whole and older ones go.
+    """
+    state = f"{checkpoint.rstrip('/')}-last"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        typed = batch.withColumns({c: F.lit(None).cast(t) for c, t in VALUES.items() if c not in batch.columns})
+        rows = typed.select("series_name", "ts_ms", *VALUES, "seq").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            last = last_values(spark, state, batch_id)
+            out, newest = changes_of_batch(rows, last, chunk_ms)
+            out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            added = newest.withColumn("batch", F.lit(batch_id).cast("bigint")).select(*_columns(STATE))
+            added.write.mode("overwrite").parquet(_folder(state, "added", batch_id))
+        finally:
+            rows.unpersist()
+        if (batch_id + 1) % FOLD == 0:
+            own = spark.read.schema(STATE).parquet(_folder(state, "added", batch_id))
+            whole = last_writes(last.unionByName(own), ["series_name"], ["batch"])
+            whole.write.mode("overwrite").parquet(_folder(state, "whole", batch_id))
+            # the generation before the last stays unread, also by a repeated batch
+            remove_folder(spark, _folder(state, "whole", batch_id - 2 * FOLD))
+            for i in range(batch_id - 3 * FOLD + 1, batch_id - 2 * FOLD + 1):
+                remove_folder(spark, _folder(state, "added", i))
+
+    trigger = {"availableNow": True} if once else {"processingTime": "30 seconds"}
     return (
-        typed.select("series_name", "ts_ms", *kinds, "seq", value_key().alias("value_key"))
-        .groupBy("series_name")
-        .transformWithStateInPandas(
-            statefulProcessor=_KeepChanges(), outputStructType=OUTPUT, outputMode="append", timeMode="none"
-        )
+        src.writeStream.queryName(name)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(**trigger)
+        .start()
     )
+
+
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """What ``stream_only_changes`` wrote."""
+    return spark.read.schema(f"{OUTPUT}, batch bigint").parquet(path).drop("batch")
