@@ -13,6 +13,11 @@ from ..functions.values import ACTIVE, BOOLEAN, NUMBER, STRING, datatype_of
 from .assets import asset_closure
 
 
+#: Status of a series that the store rejected; its next point creates it anew.
+EVICTED = "evicted"
+DELETED = "deleted"
+
+
 def _any_of(column: str, values: Iterable | None) -> Column:
     return F.lit(True) if not values else F.col(column).isin(list(values))
 
@@ -125,6 +130,17 @@ def evict(meas: DataFrame, rejected: DataFrame) -> DataFrame:
     return meas.join(rejected.select("uuid").distinct(), "uuid", "left_anti")
 
 
+def retired(meas: DataFrame, rejected: DataFrame, status: str = EVICTED) -> DataFrame:
+    """New versions, with another status, of the active series of the rejected uuids.
+
+    Each is a moment newer than the version it replaces, so it counts wherever both are read.
+    """
+    active = current(meas).filter(is_active()).join(rejected.select("uuid").distinct(), "uuid", "left_semi")
+    later = F.col("updated_at") + F.expr("INTERVAL 1 MICROSECOND")
+    since = F.coalesce(later, F.timestamp_millis(F.lit(0)))
+    return active.select(meas.columns).withColumns({"status": F.lit(status), "updated_at": since})
+
+
 def extend_registry(meas: DataFrame, created: DataFrame) -> DataFrame:
     """Registry with the newly created rows appended."""
     return meas.unionByName(created, allowMissingColumns=True)

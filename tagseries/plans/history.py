@@ -17,7 +17,7 @@ from ..operators.aggregate import aggregate, last_values
 from ..operators.browse import browse
 from ..operators.metadata import merge_metadata
 from ..operators.raw import assume_good, by_uuid, concat_series, first_from, latest, raw_points, restrict
-from ..operators.registry import onboard
+from ..operators.registry import DELETED, EVICTED, onboard
 from ..operators.resolve import (
     lookup_nodes,
     missing_keys,
@@ -28,9 +28,17 @@ from ..operators.resolve import (
 )
 from ..operators.shape import check_format, wide
 from ..operators.storage import compact_points, named_points, path_names, read_points, write_points
-from ..schema import ASSETS, MEASUREMENTS
+from ..schema import ASSETS
 from ..sources.ingest import from_parallel_arrays, from_tag_matrix
-from ..sources.tables import registry_reader, write_registry
+from ..sources.tables import (
+    compact_registry,
+    consume_metadata,
+    metadata_reader,
+    registry_reader,
+    retire_stored,
+    write_metadata,
+    write_registry,
+)
 
 # Gap treatment by fill mode name; DERIVED leaves empty buckets out.
 FILL_MODES = {"DERIVED": "none", "NONE": "none", "NULL": "null", "PREVIOUS": "previous", "LINEAR": "linear"}
@@ -252,8 +260,7 @@ class TagStore:
         self.collector = collector
         self.grain = grain
         self.registry, self.points, self.metadata = (f"{folder}/{x}" for x in ("registry", "points", "metadata"))
-        # creates the folders; rows already there stay
-        write_registry(spark.createDataFrame([], MEASUREMENTS), self.registry, "base")
+        # creates the folder; rows already there stay
         self._append_metadata([], "base")
 
     def store_data_points(
@@ -297,9 +304,7 @@ class TagStore:
         """Points of a DataFrame with ``qpath``, ``ts_ms``, value columns, ``quality_code`` and ``seq``."""
         name = batch or uuid.uuid4().hex
         named = named_points(points, self.collector, path_names(points, self.collector))
-        store_points(
-            named, self.registry, self.points, name, self.pending(), self.grain
-        )
+        store_points(named, self.registry, self.points, name, grain=self.grain, metadata=self.metadata)
 
     def store_metadata(
         self, paths: Sequence[str], properties: dict | Sequence[dict], batch: str | None = None
@@ -313,20 +318,29 @@ class TagStore:
 
     def _append_metadata(self, rows: list, batch: str) -> None:
         df = self.spark.createDataFrame(rows, "qpath string, properties map<string,string>, seq bigint")
-        (
-            df.withColumn("batch", F.lit(batch))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .parquet(self.metadata)
-        )
+        named = named_keys(df, self.collector).withColumn("tag_path", F.col("series_name"))
+        write_metadata(named, self.metadata, batch)
 
     def pending(self) -> DataFrame:
-        schema = "qpath string, properties map<string,string>, seq bigint, batch string"
-        return pending_metadata(self.spark.read.schema(schema).parquet(self.metadata), self.collector)
+        """Property maps that no series has taken yet, by stored name."""
+        return metadata_reader(self.spark, self.metadata)
+
+    def evict(self, uuids: Sequence[str], batch: str | None = None) -> None:
+        """Forget series that the store rejected; their next points create them anew."""
+        self._retire(uuids, EVICTED, batch)
+
+    def delete(self, uuids: Sequence[str], batch: str | None = None) -> None:
+        """Mark series as deleted; their points stay."""
+        self._retire(uuids, DELETED, batch)
+
+    def _retire(self, uuids: Sequence[str], status: str, batch: str | None) -> None:
+        rejected = self.spark.createDataFrame([(u,) for u in uuids], "uuid string")
+        retire_stored(self.spark, self.registry, rejected, batch or uuid.uuid4().hex, status)
 
     def compact(self, before: str | None = None) -> list[str]:
-        """Merge the batches of every day before a date; readers go on as if nothing had happened."""
+        """Merge the batches of every day before a date and those of the registry; readers go on as if
+        nothing had happened."""
+        compact_registry(self.spark, self.registry)
         return compact_points(self.spark, self.points, before)
 
     def history(self, assets: DataFrame | None = None, props: DataFrame | None = None) -> TagHistory:
@@ -359,11 +373,20 @@ def store_points(
     meta: DataFrame | None = None,
     grain: str = "day",
     every_write: bool = False,
+    metadata: str | None = None,
 ) -> None:
-    """Create the missing series of named points, then append the points, one per instant unless ``every_write``."""
+    """Create the missing series of named points, then append the points, one per instant unless ``every_write``.
+
+    New series take the pending properties in ``meta``, or those that wait in the folder ``metadata`` and then
+    no longer do.
+    """
     spark = points.sparkSession
+    if metadata is not None:
+        meta = metadata_reader(spark, metadata, skip_batch=batch)
     created = onboard(points, registry_reader(spark, registry, skip_batch=batch), meta)
     write_registry(created, registry, batch)
+    if metadata is not None:
+        consume_metadata(spark, metadata, registry, batch)
     write_points(points, registry_reader(spark, registry), path, batch, grain, every_write=every_write)
 
 

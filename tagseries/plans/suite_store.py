@@ -16,8 +16,10 @@ from ..sources import testbed as tb
 from ..streaming import aggregate as stream_agg
 from ..streaming import changes
 from ..streaming import ingest as stream_ingest
+from .history import store_points as store_named_points
 from .history import store_requests
 from .registered import K, MEASUREMENTS, ORACLE, POINTS, r6, register
+from .suite_registry import _PENDING, pending
 from .suite_aggregate import mixed_requests
 
 LINE_SEQ = "((l_orderkey * 16 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey"
@@ -501,3 +503,55 @@ def ingest_array_order(spark, sf):
     )
     store_requests(asked, "arrays", registry, path, "batch-1", tb.COLLECTOR, grain="year")
     return storage.read_points(spark, path).select("series_name", "ts_ms", "value_num")
+
+
+@register(
+    "evict_stored",
+    f"""WITH {MEASUREMENTS}, {POINTS}, names AS (SELECT DISTINCT series_name AS name FROM points)
+    SELECT names.name, CASE WHEN m.name IS NULL THEN 1 WHEN lower(m.status) = 'deleted' THEN 2 WHEN m.quality = 'Bad' THEN 3
+      ELSE 1 END AS versions, 1 AS kept, m.name IS NULL OR lower(m.status) = 'deleted' OR m.quality = 'Bad' AS created
+    FROM names LEFT JOIN measurements m ON m.name = names.name""",
+)
+def evict_stored(spark, sf):
+    """Series that the store rejects are forgotten until their next points create them anew; merging the
+    registry keeps the newest version of each."""
+    base = shared_dir(spark)
+    registry, path = f"{base}/registry", f"{base}/points"
+    tables.write_registry(tb.measurements_view(spark, sf), registry, "base")
+    rejected = tables.registry_reader(spark, registry).filter("quality = 'Bad'")
+    tables.retire_stored(spark, registry, rejected, "reject-1")
+    store_named_points(tb.points(spark, sf), registry, path, "batch-1", grain="month")
+    versions = tables.registry_reader(spark, registry).groupBy("name").agg(F.count("*").cast("int").alias("versions"))
+    tables.compact_registry(spark, registry)
+    rows = tables.registry_reader(spark, registry).groupBy("name").agg(F.count("*").cast("int").alias("kept"))
+    active = reg.measurements(tables.registry_reader(spark, registry))
+    made = active.select("name", F.col("database").isNull().alias("created"))
+    return versions.join(rows, "name").join(made, "name")
+
+
+@register(
+    "stream_metadata",
+    f"""WITH {MEASUREMENTS}, {_PENDING} SELECT tag_path AS name, CASE WHEN low > 0 THEN concat('series of ', event_type) END AS description,
+      concat(CASE WHEN high > 0 THEN 'grade=high;' ELSE '' END, 'last_k=', last_k) AS attributes,
+      tag_path IN (SELECT name FROM active) AS waits FROM pending""",
+)
+def stream_metadata(spark, sf):
+    """Properties written for all series before their stream: new series take theirs, those of known series wait on."""
+    base = shared_dir(spark)
+    registry, path, metadata = f"{base}/registry", f"{base}/points", f"{base}/metadata"
+    tables.write_registry(tb.measurements_view(spark, sf), registry, "base")
+    tables.write_metadata(pending(spark, sf), metadata, "metadata-1")
+    stream_ingest.stream_points(
+        tb.stream_user_points(spark, sf), registry, path, f"{base}/checkpoint", once=True, metadata=metadata, grain="month"
+    ).awaitTermination()
+    made = reg.measurements(tables.registry_reader(spark, registry)).filter(F.col("database").isNull())
+    waiting = tables.metadata_reader(spark, metadata)
+    rest = F.map_filter("properties", lambda k, v: k != "description")
+    columns = ["name", "description", map_text("attributes").alias("attributes"), "waits"]
+    left = waiting.select(
+        F.col("tag_path").alias("name"),
+        F.try_element_at("properties", F.lit("description")).alias("description"),
+        rest.alias("attributes"),
+        F.lit(True).alias("waits"),
+    )
+    return made.withColumn("waits", F.lit(False)).select(columns).unionByName(left.select(columns))

@@ -15,7 +15,6 @@ import time
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
-from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +45,11 @@ def manifest_path(path: str) -> str:
 
 def folder_name(batch: str) -> str:
     """Folder of a batch; characters that paths treat specially are escaped as in partition names."""
-    return f"batch={quote(batch, safe='._-')}"
+    return f"batch={_escaped(batch)}"
+
+
+def _escaped(batch: str) -> str:
+    return "".join(c if c.isalnum() or c in "._-" or ord(c) > 0x7F else f"%{ord(c):02X}" for c in batch)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -151,6 +154,10 @@ def write(df: DataFrame, path: str, batch: str, grain: str) -> None:
     _put(df.withColumn("written", F.lit(number).cast("bigint")), path, batch)
     parts = _parts(spark, path, batch)
     own = f"{notes_path(path)}/{folder_name(batch)}"
+    if not parts:
+        remove_folder(spark, own)
+        remove_folder(spark, f"{path}/{folder_name(batch)}")
+        return
     if exists(spark, own):
         noted = spark.read.schema("part string").parquet(own).collect()
         if sorted(r["part"] for r in noted) == parts:
@@ -209,8 +216,8 @@ def merge(spark: SparkSession, path: str, schema: StructType, reduce, before: st
     rows += [(p, name, number[p], many[0].grain, False) for p in done]
     # the notes counted here, and those of older manifests that still lie there
     noted = {n.removeprefix("batch=") for n, _ in _children(spark, notes_path(path)) if n.startswith("batch=")}
-    old = {quote(r["batch"], safe="._-") for r in _manifest(spark, path, version).filter("taken").select("batch").collect()}
-    used = {quote(e.batch, safe="._-"): e.batch for e in live}
+    old = {_escaped(r["batch"]) for r in _manifest(spark, path, version).filter("taken").select("batch").collect()}
+    used = {_escaped(e.batch): e.batch for e in live}
     taken = {used.get(n, n) for n in noted if n in used or n in old}
     rows += [(None, b, 0, None, True) for b in taken]
     fresh = f"{manifest_path(path)}/_new-{uuid.uuid4().hex}"

@@ -8,12 +8,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
-from ..operators.metadata import merge_metadata
 from ..operators.registry import onboard
 from ..operators.storage import assign_series, refused_path, write_refused, write_resolved
 from ..operators.telemetry import append_telemetry
-from ..schema import PENDING_METADATA, POINTS
-from ..sources.tables import registry_reader, write_registry
+from ..schema import POINTS
+from ..sources.tables import consume_metadata, metadata_reader, registry_reader, write_registry
 
 # Micro-batch interval and quarantine replay interval.
 BATCH_INTERVAL = "5 seconds"
@@ -46,6 +45,7 @@ def store_batch(
     auto_onboard: bool = True,
     meta: DataFrame | None = None,
     grain: str = "day",
+    metadata: str | None = None,
 ) -> None:
     """Store one micro-batch.
 
@@ -59,8 +59,12 @@ def store_batch(
     try:
         known = registry_reader(spark, registry, skip_batch=batch)
         if auto_onboard:
+            if metadata is not None:
+                meta = metadata_reader(spark, metadata, skip_batch=batch)
             created = onboard(df, known, meta)
             write_registry(created, registry, batch)
+            if metadata is not None:
+                consume_metadata(spark, metadata, registry, batch)
             known = registry_reader(spark, registry)
         checked = assign_series(df, known)
         write_resolved(checked.filter(F.col("reason").isNull()), path, batch, grain)
@@ -87,14 +91,13 @@ def stream_points(
     The checkpoint keeps what is still to forward over an outage; delivery is at least once and
     each batch is idempotent. No watermark is set: late and back-filled points are stored like
     any other. ``once`` works off what is there and stops. ``metadata`` is a folder of pending
-    property maps, read anew for every batch.
+    property maps, read anew for every batch; the series a batch creates take theirs.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        meta = None
-        if metadata is not None:
-            meta = merge_metadata(df.sparkSession.read.schema(PENDING_METADATA).parquet(metadata))
-        store_batch(df, batch_name(df, name, batch_id), registry, path, quarantine, auto_onboard, meta, grain)
+        store_batch(
+            df, batch_name(df, name, batch_id), registry, path, quarantine, auto_onboard, grain=grain, metadata=metadata
+        )
 
     return (
         src.writeStream.queryName(name)

@@ -192,7 +192,7 @@ def test_stream_applies_pending_metadata(spark, folder):
     tables.write_registry(measurements(spark, [measurement("old")]), registry, "base")
     drop(points(spark, [point("new", BASE, 1)]), src)
     rows = [("new", {"unit": "C", "description": "d1"}, 1), ("new", {"description": "d2"}, 2)]
-    spark.createDataFrame(rows, PENDING_METADATA).write.parquet(meta)
+    tables.write_metadata(spark.createDataFrame(rows, PENDING_METADATA), meta, "m-1")
     streams.stream_points(
         source(spark, src), registry, f"{folder}/points", f"{folder}/check", once=True, metadata=meta
     ).awaitTermination()
