@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,19 +13,34 @@ from pyspark.sql import functions as F
 from ._batch import binary
 
 
+#: Different lengths that a table's vectors may have.
+LENGTHS = 64
+
+
 def clean(df: DataFrame, vector: str, key: str, zero: bool = True) -> DataFrame:
     """(vec_id long, v array<double>) of the vectors that take part.
 
-    Left out: null vectors or ids, null or non-finite components, zero vectors unless ``zero``, and vectors of another
-    length than the most frequent one (the longer of equally frequent ones).
+    Left out: null vectors or ids, empty vectors, null or non-finite components, and zero vectors unless ``zero``.
     """
     rows = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
     odd = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & ~odd)
-    if not zero:
-        rows = rows.filter(F.exists("v", lambda x: x != 0))
-    sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
-    return rows.filter(F.size("v") == F.lit(sizes[0]["n"] if sizes else 0))
+    return rows if zero else rows.filter(F.exists("v", lambda x: x != 0))
+
+
+def per_length(rows: DataFrame, search: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A search run for each length of vectors by itself: an inner product needs two of one length.
+
+    A query of a length few vectors have gets as many neighbours as there are. A table with more than ``LENGTHS``
+    lengths is refused.
+    """
+    sizes = rows.select(F.size("v").alias("n")).distinct().orderBy("n").limit(LENGTHS + 1).collect()
+    if len(sizes) > LENGTHS:
+        raise ValueError(f"vectors of more than {LENGTHS} lengths")
+    if len(sizes) < 2:
+        return search(rows)
+    found = [search(rows.filter(F.size("v") == r["n"])) for r in sizes]
+    return reduce(DataFrame.unionAll, found)
 
 
 def matrix(column: pa.Array) -> np.ndarray:

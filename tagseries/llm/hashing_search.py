@@ -15,7 +15,9 @@ Every vector is indexed. Blocks of rows are searched side by side and their best
 all of them; a vector is no neighbour of itself; ties go to the smaller id. Empty tables give no rows.
 
 Rows that repeat id and vector count once, as queries and as candidates. An id with several vectors asks with each of
-them and is found by each; a query names every neighbour once, with the highest score.
+them and is found by each; a query names every neighbour once, with the highest score. Null ids, null, empty or zero
+vectors and those with null or non-finite components take no part; vectors of different lengths are no neighbours.
+Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._vectors import best, blocks, clean, meet, number_of_blocks, results, top, unpack
+from ._vectors import best, blocks, clean, meet, number_of_blocks, per_length, results, top, unpack
 
 SAMPLE = 8_192
 ROTATIONS = 2
@@ -127,12 +129,19 @@ def radii(coder: Coder, sample: np.ndarray, queries: np.ndarray, k: int, keep: f
 
 
 def search(df: DataFrame, every: int, k: int, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
-    """The k nearest found of each row whose id is divisible by ``every``: query_id, rank, vec_id, score."""
-    rows = clean(df, vector, key, zero=False).dropDuplicates(["vec_id", "v"])
+    """The k nearest found of each row whose id is divisible by ``every``: query_id, rank, vec_id, score.
+
+    A query is searched among the vectors of its own length.
+    """
+    return per_length(clean(df, vector, key, zero=False), lambda rows: _search(rows, every, k))
+
+
+def _search(rows: DataFrame, every: int, k: int) -> DataFrame:
+    rows = rows.dropDuplicates(["vec_id", "v"])
     drawn = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(SAMPLE).toPandas()["v"]  # bounded, for the driver
     sample = np.array(drawn.tolist(), np.float64)
     coder = Coder(sample) if len(sample) else None
-    sent = df.sparkSession.sparkContext.broadcast((coder, sample))
+    sent = rows.sparkSession.sparkContext.broadcast((coder, sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, sample = sent.value

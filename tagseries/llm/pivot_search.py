@@ -13,7 +13,9 @@ Scores are integer inner products, exact below 2**53. Fewer than k candidates gi
 of itself; ties go to the smaller id. Empty tables give no rows.
 
 Rows that repeat id and integer vector count once, as queries and as candidates. An id with several vectors asks with
-each of them and is found by each; a query names every neighbour once, with the highest score.
+each of them and is found by each; a query names every neighbour once, with the highest score. Null ids, null or empty
+vectors and those with null or non-finite components take no part; vectors of different lengths are no neighbours.
+Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -22,16 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._vectors import best, blocks, clean, matrix, meet, number_of_blocks, results, top, unpack
+from ._vectors import best, blocks, clean, matrix, meet, number_of_blocks, per_length, results, top, unpack
 
 PIVOTS, SAMPLE = 32, 4_096
 ROWS, QUERIES = 16_384, 512
 #: Points of a ring that are compared at a time.
 RING = 1_024
 _SLACK = 1e-6
+#: Whole numbers below it are exact in double precision.
+EXACT = 2.0**53
 
 
 def pivots(sample: np.ndarray, n: int = PIVOTS, turns: int = 8) -> np.ndarray:
@@ -97,11 +101,27 @@ def expand(
 
 
 def search(df: DataFrame, every: int, k: int, scale: int = 256, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
-    """The k highest integer inner products of each row whose id is divisible by ``every``."""
-    rows = clean(df, vector, key).withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
+    """The k highest integer inner products of each row whose id is divisible by ``every``.
+
+    A query is searched among the vectors of its own length. A table whose longest vector has a square of 2**53 or
+    more is refused: doubles would not hold all scores exactly.
+    """
+
+    def whole(x: Column) -> Column:
+        scaled = x * scale  # from 2**53 on, doubles are whole numbers
+        return F.when(F.abs(scaled) < EXACT, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    rows = clean(df, vector, key).withColumn("v", F.transform("v", whole))
+    return per_length(rows, lambda some: _search(some, every, k))
+
+
+def _search(rows: DataFrame, every: int, k: int) -> DataFrame:
     rows = rows.dropDuplicates(["vec_id", "v"])
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    length = np.sqrt(rows.agg(F.max(square)).first()[0] or 0.0)
+    most = rows.agg(F.max(square)).first()[0] or 0.0
+    if most >= EXACT:
+        raise ValueError("scores of 2**53 and more are not exact; use a lower scale")
+    length = np.sqrt(most)
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()  # a bounded sample for the driver
     drawn = drawn.drop_duplicates("vec_id")  # as many ids as rows, for the first bound
     sample_ids = drawn["vec_id"].to_numpy(np.int64)
@@ -109,7 +129,7 @@ def search(df: DataFrame, every: int, k: int, scale: int = 256, vector: str = "e
     if not len(sample):
         sample = sample.reshape(0, 1)
     centres = pivots(lifted(sample, length))
-    sent = df.sparkSession.sparkContext.broadcast((sample_ids, sample, centres))
+    sent = rows.sparkSession.sparkContext.broadcast((sample_ids, sample, centres))
 
     def key_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
