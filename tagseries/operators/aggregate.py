@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import FUNCTIONS, MINMAX, aggregate_function, function_expr, functions_of
 from ..functions.time import arrival_order, bucket_start, check_range, period_ms
 from ..functions.values import tag_value
+from ..session import written
 from .fill import fill as fill_gaps
 from .raw import VALUE_COLUMNS, time_range
 
@@ -194,6 +195,24 @@ def aggregate_by_tags(
 PERCENTILE_MARGIN = 0.0005
 
 
+#: A group is large if it holds more than this part of all points; there are fewer large groups than this.
+HOT_SHARE = 10_000
+
+
+def _beside(rows: DataFrame, per_group: DataFrame, group: list[str], large: Column) -> DataFrame:
+    """Rows joined with the one row of their group, no group meeting in one task.
+
+    Large groups, of which there are fewer than ``HOT_SHARE``, become a local table, small enough for Spark to send
+    to all tasks; the others are joined by a shuffle, where each is a small part of all.
+    """
+    few = per_group.filter(large).collect()
+    if not few:
+        return rows.join(per_group, group)
+    local = per_group.sparkSession.createDataFrame(few, per_group.schema)
+    rest = rows.join(local.select(group), group, "left_anti").join(per_group.filter(~large), group)
+    return rows.join(local, group).unionByName(rest)
+
+
 def percentile(
     pts: DataFrame,
     p: float,
@@ -208,8 +227,8 @@ def percentile(
 
     No group is ever gathered. Equal values collapse to counts before the shuffle; a bounded
     sketch brackets the wanted rank, exact counts below, inside and above the bracket tell where
-    the two neighbouring ranks lie, and only that part is sorted. The sketch steers the work
-    only: the counts make the result exact whatever its error.
+    the two neighbouring ranks lie, and only that part, a thousandth of the group, is sorted. The sketch
+    steers the work only: the counts make the result exact whatever its error.
     """
     if not 0 <= p <= 1:
         raise ValueError("a percentile argument lies between 0 and 1")
@@ -227,8 +246,10 @@ def percentile(
     )
     counts = rows.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("n"))
     edges = F.percentile_approx("v", [max(p - margin, 0.0), min(p + margin, 1.0)])
-    brackets = rows.groupBy(*group).agg(edges.alias("edges"))
-    placed = counts.join(brackets, group).withColumn(
+    brackets = written(rows.groupBy(*group).agg(edges.alias("edges"), F.count(F.lit(1)).alias("points")))
+    hot = brackets.agg((F.sum("points") / HOT_SHARE).cast("bigint")).first()[0] or 0
+    large = F.col("points") > hot
+    placed = _beside(counts, brackets, group, large).withColumn(
         "part", F.when(F.col("v") < F.col("edges")[0], 0).when(F.col("v") <= F.col("edges")[1], 1).otherwise(2)
     )
 
@@ -237,8 +258,8 @@ def percentile(
 
     ranks = (
         placed.groupBy(*group)
-        .agg(F.sum("n").alias("total"), size(0).alias("below"), size(1).alias("inside"))
-        .withColumn("at", F.lit(float(p)) * (F.col("total") - 1))
+        .agg(F.sum("n").alias("points"), size(0).alias("below"), size(1).alias("inside"))
+        .withColumn("at", F.lit(float(p)) * (F.col("points") - 1))
         .withColumn("lo", F.floor("at"))
         .withColumn("hi", F.ceil("at"))
     )
@@ -250,8 +271,7 @@ def percentile(
     )
     sorted_part = Window.partitionBy(*group, "part").orderBy("v")
     ranked = (
-        placed.drop("edges")
-        .join(ranks, group)
+        _beside(placed.drop("edges", "points"), written(ranks), group, large)
         .filter(holds_any)
         .withColumn("skip", F.when(part == 0, F.lit(0)).when(part == 1, below).otherwise(upper))
         .withColumn("upto", F.col("skip") + F.sum("n").over(sorted_part))

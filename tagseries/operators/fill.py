@@ -54,7 +54,9 @@ def fill(
     blocks = linked.withColumn("__to", span_to).withColumn(
         "__block", F.explode(F.sequence(span_from.cast("bigint"), span_to - 1, width))
     )
-    rows = blocks.withColumn(
+    # a long gap is one row until here: its blocks are dealt over tasks before they become rows
+    dealt = blocks.repartition(*keys, "__block")
+    rows = dealt.withColumn(
         "__at",
         F.explode(
             F.sequence(

@@ -51,7 +51,8 @@ def last_writes(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFr
     """One row per key, the greatest by the columns ``by``; where they tie, by the value, so that a
     repeated task takes the same. Copies are cut to one per map task before the shuffle."""
     ties = [c for c in ("value_num", "value_bool", "value_str", "quality_code") if c in df.columns]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in (*by, *ties)])
+    order = [F.col(c).desc_nulls_last() for c in (*by, *ties)] or [F.lit(0)]
+    w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import arrival_order, check_range, part_bounds
 from ..functions.values import GOOD, GOOD_CODE, tag_value
-from .ordered import limit_per_series
+from .ordered import last_writes, limit_per_series
 
 VALUE_COLUMNS = ("value_num", "value_bool", "value_str")
 
@@ -164,24 +164,26 @@ def limited(
     return out if limit is None else out.limit(limit)
 
 
-def _edge(df: DataFrame, pick, keys: Sequence[str]) -> DataFrame:
-    """One row per key, chosen by ``pick`` (max_by / min_by) in arrival order.
+def _edge(df: DataFrame, last: bool, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the last or first in arrival order.
 
-    Numeric columns keep a fixed-width aggregation buffer; all columns agree on the row
-    because the arrival order is unique in a series.
+    A fixed-width aggregate finds the edge's instant and arrival of each key, an equi join brings its
+    row back. Only rows that share both are ordered, by their values.
     """
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(*[pick(c, arrival_order()).alias(c) for c in rest])
+    at = arrival_order()
+    edge = df.groupBy(*keys).agg((F.max(at) if last else F.min(at)).alias("__edge"))
+    found = df.withColumn("__edge", at).join(edge, [*keys, "__edge"]).drop("__edge")
+    return last_writes(found, keys, [])
 
 
 def latest(df: DataFrame, before: int | None = None, keys: Sequence[str] = ("series_name",)) -> DataFrame:
     """Last point of each series, optionally before an instant."""
-    return _edge(time_range(df, None, before), F.max_by, keys).select(df.columns)
+    return _edge(time_range(df, None, before), True, keys).select(df.columns)
 
 
 def first_from(df: DataFrame, start: int, keys: Sequence[str] = ("series_name",)) -> DataFrame:
     """First point of each series at or after ``start``."""
-    return _edge(time_range(df, start, None), F.min_by, keys).select(df.columns)
+    return _edge(time_range(df, start, None), False, keys).select(df.columns)
 
 
 def with_bounds(pts: DataFrame, start: int, end: int, keys: Sequence[str] = ("series_name",)) -> DataFrame:

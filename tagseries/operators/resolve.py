@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import node_id
 from ..functions.paths import stored_path
 from ..functions.values import NOT_FOUND, value_type
+from ..session import written
 from .registry import measurements, namespace
 
 
@@ -32,6 +33,12 @@ def resolve_keys(keys: DataFrame, meas: DataFrame, assets: DataFrame, collector:
     return named_keys(keys, collector).join(names, "series_name", "left")
 
 
+def resolved_once(keys: DataFrame, meas: DataFrame, assets: DataFrame, collector: str) -> DataFrame:
+    """``resolve_keys``, worked out once and kept: a request reads its keys several times, and the catalogues,
+    their windows and the path grammar need not run each time."""
+    return written(resolve_keys(keys, meas, assets, collector))
+
+
 def with_asset_series(found: DataFrame, props: DataFrame, meas: DataFrame) -> DataFrame:
     """Resolved keys, those of assets replaced by one per property bound to an active measurement.
 

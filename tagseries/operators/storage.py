@@ -12,9 +12,10 @@ from ..functions.paths import stored_path
 from ..functions.time import check_range, part_bounds
 from ..functions.values import GOOD_CODE, datatype_of, has_value, quality_to_status
 from ..schema import POINTS
-from ..session import shared_dir
+from ..session import written, shared_dir
 from ..sources import live
 from .ordered import last_writes
+from .raw import first_from, latest
 from .registry import measurements
 
 #: Columns of the files of a point table.
@@ -187,8 +188,12 @@ def read_points(
     which copies shrink on the map side. ``every_write`` returns all rows that were written.
     """
     check_range(start, end)
-    found = live.entries(spark, path, *_part_range(start, end))
+    return _read_live(spark, path, _entries(spark, path, start, end), start, end, every_write)
 
+
+def _read_live(
+    spark: SparkSession, path: str, found: list[live.Entry], start: int | None, end: int | None, every_write: bool = False
+) -> DataFrame:
     def rows(folders: list) -> DataFrame:
         df = live.read(spark, path, STORED, folders).filter(part_bounds(start, end))
         if start is not None:
@@ -204,6 +209,54 @@ def read_points(
     return (rows(alone).unionByName(merged) if alone else merged).drop("written")
 
 
+def _edge_stored(spark: SparkSession, path: str, at: int | None, last: bool, ids: DataFrame | None) -> DataFrame:
+    """The last point of each series before an instant, or the first from it on.
+
+    The spans written with each batch tell, per series, the one part that holds it; only the folders of these
+    parts are read, and of them only the series that need them.
+    """
+    bounds = (None, at) if last else (at, None)
+    found = _entries(spark, path, *bounds)
+    spans = live.spans(spark, path, found)
+    if ids is not None:
+        spans = spans.join(ids.select("measurement_uuid").distinct(), "measurement_uuid", "left_semi")
+    if at is not None:
+        spans = spans.filter(F.col("first_ms") < at if last else F.col("last_ms") >= at)
+    pick = F.max("part") if last else F.min("part")
+    wanted = written(spans.groupBy("measurement_uuid").agg(pick.alias("part")))
+    parts = {str(r["part"]) for r in wanted.select("part").distinct().collect()}
+    pts = _read_live(spark, path, [e for e in found if e.part in parts], *bounds)
+    pts = pts.join(wanted, ["measurement_uuid", "part"], "left_semi")
+    keys = ("measurement_uuid",)
+    return latest(pts, at, keys) if last else first_from(pts, at, keys)
+
+
+def latest_stored(
+    spark: SparkSession, path: str, before: int | None = None, ids: DataFrame | None = None
+) -> DataFrame:
+    """Last stored point of each series (of those with a ``measurement_uuid`` in ``ids``), optionally before an
+    instant, without reading the history: see ``_edge_stored``."""
+    return _edge_stored(spark, path, before, True, ids)
+
+
+def bounds_stored(
+    spark: SparkSession, path: str, start: int, end: int, ids: DataFrame | None = None
+) -> DataFrame:
+    """Stored points in a range with, per series, the last one before and the first one from its end.
+
+    Column ``bound`` tells ``lower``, ``inside`` and ``upper`` apart. Only the range itself and one part per series
+    and side are read.
+    """
+    inside = read_points(spark, path, start, end)
+    if ids is not None:
+        inside = inside.join(ids.select("measurement_uuid").distinct(), "measurement_uuid", "left_semi")
+    out = inside.withColumn("bound", F.lit("inside"))
+    for name, at, last in (("lower", start, True), ("upper", end, False)):
+        edge = _edge_stored(spark, path, at, last, ids).withColumn("bound", F.lit(name))
+        out = out.unionByName(edge.select(out.columns))
+    return out
+
+
 def compact_points(spark: SparkSession, path: str, before: str | None = None) -> list[str]:
     """Merge the batches of every part before a date (all parts, if none is given) into one folder per
     part with one value per instant; returns the parts. Readers see the old folders or the new one.
@@ -226,10 +279,13 @@ def live_folders(spark: SparkSession, path: str) -> DataFrame:
     return parts.agg(F.count("*").cast("int").alias("folders"))
 
 
-def _part_range(start: int | None, end: int | None) -> tuple[str | None, str | None]:
-    """First and last part, of any grain, that may hold points of a range."""
-    first = None if start is None else f"{_utc(start).year:04d}-01-01"
-    return first, None if end is None else _utc(end).strftime("%Y-%m-%d")
+def _entries(spark: SparkSession, path: str, start: int | None, end: int | None) -> list[live.Entry]:
+    """Live folders of the parts that may hold points of a range."""
+    if start is None:
+        return live.entries(spark, path, None, None if end is None else f"{_utc(end):%Y-%m-%d}")
+    first = {g: f"{_utc(start):{form}}" for g, form in (("day", "%Y-%m-%d"), ("month", "%Y-%m-01"), ("year", "%Y-01-01"))}
+    found = live.entries(spark, path, first["year"], None if end is None else f"{_utc(end):%Y-%m-%d}")
+    return [e for e in found if e.part >= first[e.grain]]
 
 
 def _utc(ms: int) -> datetime:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import period_for_buckets
 from ..operators import aggregate as agg
-from ..operators.resolve import resolve_keys
+from ..operators.resolve import resolved_once
 from ..operators.shape import wide
 from ..sources import testbed as tb
 from .registered import MEASUREMENTS, POINTS, SHIP, r6, register
@@ -82,7 +82,7 @@ def mixed_requests(spark, sf):
     """Two requests per active series: one by event type (a name nobody knows for errors) and
     a count."""
     keys = tb.measurement_keys(spark, sf)
-    known = resolve_keys(keys, tb.measurements_view(spark, sf), tb.assets_view(spark, sf), tb.COLLECTOR).filter(
+    known = resolved_once(keys, tb.measurements_view(spark, sf), tb.assets_view(spark, sf), tb.COLLECTOR).filter(
         F.col("measurement_uuid").isNotNull()
     )
     kind = F.split("series_name", "/")[2]

@@ -20,7 +20,7 @@ RELATIVE = relative_range(tb.T1, hours=360)
 
 def resolved(spark, sf):
     keys = tb.measurement_keys(spark, sf).unionByName(tb.asset_keys(spark, sf))
-    return resolve.resolve_keys(keys, tb.measurements_view(spark, sf), tb.assets_view(spark, sf), tb.COLLECTOR)
+    return resolve.resolved_once(keys, tb.measurements_view(spark, sf), tb.assets_view(spark, sf), tb.COLLECTOR)
 
 
 def _read(spark, sf, start, end, **options):

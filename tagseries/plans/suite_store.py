@@ -555,3 +555,30 @@ def stream_metadata(spark, sf):
         F.lit(True).alias("waits"),
     )
     return made.withColumn("waits", F.lit(False)).select(columns).unionByName(left.select(columns))
+
+
+_LAST = f"""{_REWRITTEN}, b AS (SELECT min(ts_ms) + 8 * 86400000 AS lo, max(ts_ms) - 8 * 86400000 AS hi FROM points)"""
+
+
+@register(
+    "latest_stored",
+    f"""WITH {_REWRITTEN} SELECT series_name, max(ts_ms) AS ts_ms, arg_max(value_num, ts_ms) AS value_num
+    FROM stored GROUP BY series_name""",
+)
+def latest_stored(spark, sf):
+    """The newest stored point of every series, found through the spans of the batches."""
+    return storage.latest_stored(spark, rewritten_events(spark, sf)).select("series_name", "ts_ms", "value_num")
+
+
+@register(
+    "bounds_stored",
+    f"""WITH {_LAST} SELECT series_name, ts_ms, value_num, 'inside' AS bound FROM stored, b WHERE ts_ms >= lo AND ts_ms < hi
+    UNION ALL SELECT series_name, max(ts_ms), arg_max(value_num, ts_ms), 'lower' FROM stored, b WHERE ts_ms < lo GROUP BY series_name
+    UNION ALL SELECT series_name, min(ts_ms), arg_min(value_num, ts_ms), 'upper' FROM stored, b WHERE ts_ms >= hi GROUP BY series_name""",
+)
+def bounds_stored(spark, sf):
+    """A stored range with the points around it."""
+    path = rewritten_events(spark, sf)
+    low, high = tb.points(spark, sf).agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    span = 8 * 86_400_000
+    return storage.bounds_stored(spark, path, low + span, high - span).select("series_name", "ts_ms", "value_num", "bound")

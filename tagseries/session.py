@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if base is None:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tagseries-")
     if sc.getCheckpointDir() is None:
@@ -52,3 +53,11 @@ def checkpointed(df):
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df):
+    """The rows, written once to the shared folder and read back: their size is known, and a lost executor loses
+    none of the work."""
+    folder = shared_dir(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

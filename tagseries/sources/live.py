@@ -167,7 +167,32 @@ def write(df: DataFrame, path: str, batch: str, grain: str) -> None:
 
 
 def _put(df: DataFrame, path: str, batch: str) -> None:
-    df.write.mode("overwrite").partitionBy("part").parquet(f"{path}/{folder_name(batch)}")
+    folder = f"{path}/{folder_name(batch)}"
+    df.write.mode("overwrite").partitionBy("part").parquet(folder)
+    if {"measurement_uuid", "ts_ms"} <= set(df.columns):
+        rows = df.sparkSession.read.schema("measurement_uuid string, ts_ms bigint, part date").parquet(folder)
+        spans = rows.groupBy("part", "measurement_uuid").agg(
+            F.min("ts_ms").alias("first_ms"), F.max("ts_ms").alias("last_ms"), F.count("*").alias("points")
+        )
+        spans.write.mode("overwrite").parquet(f"{spans_path(path)}/{folder_name(batch)}")
+
+
+def spans_path(path: str) -> str:
+    return f"{path.rstrip('/')}-spans"
+
+
+def spans(spark: SparkSession, path: str, live: Iterable[Entry]) -> DataFrame:
+    """(part, measurement_uuid, first_ms, last_ms, points, batch) of live folders: a row per series, part and batch,
+    written with each batch from its own files."""
+    live = list(live)
+    schema = "part date, measurement_uuid string, first_ms bigint, last_ms bigint, points bigint, batch string"
+    folders = sorted({f"{spans_path(path)}/{folder_name(e.batch)}" for e in live})
+    if not folders:
+        return spark.createDataFrame([], schema)
+    pairs = spark.createDataFrame([(e.part, e.batch) for e in live], "part string, batch string")
+    pairs = pairs.select(F.col("part").cast("date").alias("part"), "batch")
+    rows = spark.read.schema(schema).option("basePath", spans_path(path)).parquet(*folders)
+    return rows.join(pairs, ["part", "batch"], "left_semi")
 
 
 def _parts(spark: SparkSession, path: str, batch: str) -> list[str]:
@@ -242,7 +267,7 @@ def remove_replaced(spark: SparkSession, path: str, keep_ms: int = 24 * HOUR_MS)
         parts = [(p, t) for p, t in _children(spark, f"{path}/{batch}") if p.startswith("part=")]
         if not any(b == batch for b, _ in kept):
             if max([changed, *(t for _, t in parts)]) <= limit:
-                gone.append(f"{path}/{batch}")
+                gone += [f"{path}/{batch}", f"{spans_path(path)}/{batch}"]
             continue
         gone += [f"{path}/{batch}/{p}" for p, t in parts if (batch, p) not in kept and t <= limit]
     for name, changed in _children(spark, manifest_path(path)):

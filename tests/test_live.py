@@ -272,3 +272,28 @@ def test_repeated_batch_of_changes_writes_the_same(spark):
         assert values(newest, "series_name", "ts_ms", "value_num") == [("a", 7, 3.0), ("b", 1, None)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_edges_read_only_the_parts_that_hold_them(spark, folder):
+    rows = [point("a", BASE + i * DAY, i) for i in range(40)] + [point("b", BASE + 3 * DAY, 7)]
+    store(spark, folder, rows, "one")
+    store(spark, folder, [point("a", BASE + 39 * DAY, 100), point("a", BASE + 30 * DAY + 5, 8)], "two")
+    columns = ("series_name", "ts_ms", "value_num")
+    last = storage.latest_stored(spark, folder)
+    assert values(last, *columns) == [("a", BASE + 39 * DAY, 100.0), ("b", BASE + 3 * DAY, 7.0)]
+    points_read = [f for f in last.inputFiles() if f"{folder}/batch=" in f]
+    assert len({f.split("/part=")[1].split("/")[0] for f in points_read}) == 2  # of 40 days
+    earlier = storage.latest_stored(spark, folder, BASE + 30 * DAY + 6)
+    assert values(earlier, *columns) == [("a", BASE + 30 * DAY + 5, 8.0), ("b", BASE + 3 * DAY, 7.0)]
+    ids = spark.createDataFrame([("id-a",)], "measurement_uuid string")
+    assert values(storage.latest_stored(spark, folder, BASE + 2 * DAY, ids), *columns) == [("a", BASE + DAY, 1.0)]
+    for _ in range(2):
+        both = storage.bounds_stored(spark, folder, BASE + 10 * DAY, BASE + 12 * DAY)
+        assert values(both, "series_name", "value_num", "bound") == [
+            ("a", 10.0, "inside"), ("a", 11.0, "inside"), ("a", 12.0, "upper"), ("a", 9.0, "lower"), ("b", 7.0, "lower"),
+        ]
+        assert len({f.split("/part=")[1].split("/")[0] for f in both.inputFiles() if f"{folder}/batch=" in f}) <= 5
+        storage.compact_points(spark, folder)
+    assert storage.latest_stored(spark, f"{folder}/none").count() == 0
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
