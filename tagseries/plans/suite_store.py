@@ -9,13 +9,14 @@ from ..operators import raw
 from ..operators import registry as reg
 from ..operators import storage, telemetry
 from ..operators.aggregate import answer_requests
-from ..session import shared_dir
+from ..session import shared_dir, written
 from ..sources import ingest
 from ..sources import tables
 from ..sources import testbed as tb
 from ..streaming import aggregate as stream_agg
-from ..streaming import changes
+from ..streaming import changes, partials
 from ..streaming import ingest as stream_ingest
+from ..schema import POINTS as POINTS_SCHEMA
 from .history import store_points as store_named_points
 from .history import store_requests
 from .registered import K, MEASUREMENTS, ORACLE, POINTS, r6, register
@@ -329,9 +330,9 @@ def stream_telemetry(spark, sf):
 @register("stream_metrics", f"WITH {_OPS} {_REPORT}")
 def stream_metrics(spark, sf):
     base = shared_dir(spark)
-    intervals = stream_agg.stream_metrics(tb.event_operations(tb.event_stream(spark, sf)))
-    stream_agg.write_snapshots(intervals, f"{base}/out", f"{base}/checkpoint", "metrics", once=True).awaitTermination()
-    return _report(telemetry.metric_report(stream_agg.latest_snapshot(spark, f"{base}/out")))
+    ops = tb.event_operations(tb.event_stream(spark, sf))
+    partials.stream_metrics(ops, f"{base}/out", f"{base}/checkpoint", "metrics", once=True).awaitTermination()
+    return _report(telemetry.metric_report(written(partials.read_metrics(spark, f"{base}/out"))))
 
 
 @register(
@@ -582,3 +583,25 @@ def bounds_stored(spark, sf):
     low, high = tb.points(spark, sf).agg(F.min("ts_ms"), F.max("ts_ms")).first()
     span = 8 * 86_400_000
     return storage.bounds_stored(spark, path, low + span, high - span).select("series_name", "ts_ms", "value_num", "bound")
+
+
+@register(
+    "stream_window_corrected",
+    f"""WITH {POINTS}, b AS (SELECT max(ts_ms) - 600000 AS behind FROM points WHERE k >= 30)
+    SELECT series_name, ts_ms - ts_ms % 86400000 AS ts_ms, round(avg(value_num), 6) AS mean, min(value_num) AS min,
+      max(value_num) AS max, round(sum(value_num), 6) AS sum, CAST(count(*) AS DOUBLE) AS count,
+      arg_max(value_num, ts_ms * 1000000 + seq) AS last, count(*) FILTER (k < 30 AND ts_ms < behind) AS late
+    FROM points, b GROUP BY series_name, ts_ms - ts_ms % 86400000""",
+)
+def stream_window_corrected(spark, sf):
+    """Windows of a stream whose second file holds points of all days: those behind a watermark are counted as late,
+    and the windows are those of all points."""
+    base = shared_dir(spark)
+    pts = tb.points(spark, sf)
+    low = F.expr("CAST(element_at(tags, 'k10') AS INT)") < 3
+    for part in (pts.filter(~low), pts.filter(low)):
+        storage.conform(part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    src = tables.point_stream(spark, f"{base}/in", POINTS_SCHEMA, files_per_trigger=1)
+    partials.stream_windows(src, f"{base}/out", f"{base}/checkpoint", "corrected", "24h", once=True).awaitTermination()
+    out = partials.read_windows(spark, f"{base}/out", ["mean", "min", "max", "sum", "count", "last"])
+    return out.withColumns({"mean": r6("mean"), "sum": r6("sum")})

@@ -69,7 +69,7 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
-def _children(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+def children(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(name, time of change) of what lies in a folder; nothing if there is none."""
     fs, where = _fs(spark, path)
     return [(s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(where)] if fs.exists(where) else []
@@ -87,7 +87,7 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
 
 def _version(spark: SparkSession, path: str) -> int:
     """Number of the newest manifest, 0 if there is none."""
-    names = [re.fullmatch(r"version=(\d+)", n) for n, _ in _children(spark, manifest_path(path))]
+    names = [re.fullmatch(r"version=(\d+)", n) for n, _ in children(spark, manifest_path(path))]
     return max((int(m[1]) for m in names if m), default=0)
 
 
@@ -240,7 +240,7 @@ def merge(spark: SparkSession, path: str, schema: StructType, reduce, before: st
     rows = [(e.part, e.batch, e.written, e.grain, False) for e in live if e not in set(many)]
     rows += [(p, name, number[p], many[0].grain, False) for p in done]
     # the notes counted here, and those of older manifests that still lie there
-    noted = {n.removeprefix("batch=") for n, _ in _children(spark, notes_path(path)) if n.startswith("batch=")}
+    noted = {n.removeprefix("batch=") for n, _ in children(spark, notes_path(path)) if n.startswith("batch=")}
     old = {_escaped(r["batch"]) for r in _manifest(spark, path, version).filter("taken").select("batch").collect()}
     used = {_escaped(e.batch): e.batch for e in live}
     taken = {used.get(n, n) for n in noted if n in used or n in old}
@@ -261,16 +261,16 @@ def remove_replaced(spark: SparkSession, path: str, keep_ms: int = 24 * HOUR_MS)
     live = entries(spark, path)
     kept = {(folder_name(e.batch), f"part={e.part}") for e in live}
     gone = []
-    for batch, changed in _children(spark, path):
+    for batch, changed in children(spark, path):
         if not batch.startswith("batch="):
             continue
-        parts = [(p, t) for p, t in _children(spark, f"{path}/{batch}") if p.startswith("part=")]
+        parts = [(p, t) for p, t in children(spark, f"{path}/{batch}") if p.startswith("part=")]
         if not any(b == batch for b, _ in kept):
             if max([changed, *(t for _, t in parts)]) <= limit:
                 gone += [f"{path}/{batch}", f"{spans_path(path)}/{batch}"]
             continue
         gone += [f"{path}/{batch}/{p}" for p, t in parts if (batch, p) not in kept and t <= limit]
-    for name, changed in _children(spark, manifest_path(path)):
+    for name, changed in children(spark, manifest_path(path)):
         if name != f"version={version}" and changed <= limit:
             gone.append(f"{manifest_path(path)}/{name}")
     for folder in gone:

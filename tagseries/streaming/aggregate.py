@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.aggregates import function_expr
 from ..functions.time import period_ms
 from ..operators.aggregate import any_value
-from ..operators.telemetry import metric_intervals
 
 
 # Snapshots kept at a time: a reader may go on reading one while this many less one are written.
@@ -47,11 +46,6 @@ def stream_aggregate(
     )
 
 
-def stream_metrics(op_log: DataFrame, every: int | str = "30s") -> DataFrame:
-    """Operation sums per interval; ``metric_report`` turns the stored intervals into lines."""
-    return metric_intervals(op_log, every)
-
-
 def write_snapshots(df: DataFrame, path: str, checkpoint: str, name: str, once: bool = False) -> StreamingQuery:
     """Keep the current state of an aggregating stream as a table (complete mode).
 

@@ -55,3 +55,41 @@ def test_latest_is_a_hash_aggregate(spark):
     assert "SortAggregate" not in plan and "HashAggregate" in plan
     assert values(out, "series_name", "value_num", "value_str") == [("a", 3.0, None), ("b", None, None)]
     assert values(raw.first_from(points(spark, rows), BASE), "series_name", "value_num") == [("a", 1.0), ("b", None)]
+
+
+def test_late_points_correct_their_windows(spark, tmp_path, monkeypatch):
+    from tagseries.schema import OP_LOG, POINTS
+    from tagseries.sources import tables
+    from tagseries.streaming import partials
+    from tagseries.operators import telemetry
+
+    monkeypatch.setattr(partials, "FOLD", 2)
+    batches = [
+        [point("a", BASE + i * 60_000, i, seq=i) for i in range(30)],
+        [point("a", BASE + 5, 100, seq=99), point("b", BASE + 29 * 60_000, "x")],
+        [point("a", BASE + 5, -7, seq=100), point("b", BASE, None)],
+        [point("c", BASE, 1)],
+        [point("a", BASE - 3_600_000, 3)],
+    ]
+    rows = []
+    for batch in batches:
+        rows += batch
+        points(spark, batch).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        src = tables.point_stream(spark, f"{tmp_path}/in", POINTS, files_per_trigger=1)
+        partials.stream_windows(src, f"{tmp_path}/out", f"{tmp_path}/check", "w", "10m", once=True).awaitTermination()
+        got = partials.read_windows(spark, f"{tmp_path}/out", ["mean", "min", "max", "sum", "count", "last", "spread"])
+        want = agg.bucketed(points(spark, rows), ["mean", "min", "max", "sum", "count", "last", "spread"], "10m")
+        assert values(got.drop("late"), *want.columns) == values(want, *want.columns)
+    assert got.agg(F.sum("late")).first()[0] == 5
+    with pytest.raises(ValueError):
+        partials.read_windows(spark, f"{tmp_path}/out", ["stddev"])
+
+    ops = [[(t * 30_000 + b, "store", 2, 5, False) for t in range(b, b + 3)] for b in range(5)]
+    for batch in ops:
+        spark.createDataFrame(batch, OP_LOG).coalesce(1).write.mode("append").parquet(f"{tmp_path}/ops")
+        src = tables.point_stream(spark, f"{tmp_path}/ops", OP_LOG, files_per_trigger=1)
+        partials.stream_metrics(src, f"{tmp_path}/m", f"{tmp_path}/check-m", "m", once=True).awaitTermination()
+    whole = telemetry.metric_intervals(spark.createDataFrame([r for b in ops for r in b], OP_LOG))
+    assert values(partials.read_metrics(spark, f"{tmp_path}/m"), *whole.columns) == values(whole, *whole.columns)
+    sizes = {p.name: spark.read.parquet(str(p)).count() for p in (tmp_path / "m").iterdir()}
+    assert all(n == 3 for name, n in sizes.items() if name.startswith("added"))  # only what the batch touched
