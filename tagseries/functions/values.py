@@ -16,6 +16,8 @@ GOOD, UNCERTAIN, BAD = "Good", "Uncertain", "Bad"
 BOOLEAN, NUMBER, STRING = "boolean", "number", "string"
 VALUE_TYPES = {"boolean": "Boolean", "number": "Float8", "string": "String"}
 DEFAULT_VALUE_TYPE = "Float8"
+#: Point column of the datatypes that are no numbers.
+VALUE_COLUMN = {BOOLEAN: "value_bool", STRING: "value_str"}
 NOT_FOUND = "Bad_NotFound"
 ACTIVE = "active"
 

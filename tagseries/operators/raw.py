@@ -143,10 +143,11 @@ def raw_points(
     return found.orderBy("ts_ms", "series_name", "qpath", "seq").limit(return_size)
 
 
-def ordered(df: DataFrame, desc: bool = False) -> DataFrame:
-    """Rows by series, then time ascending or descending, then arrival."""
+def ordered(df: DataFrame, desc: bool = False, keys: Sequence[str] = ("series_name",)) -> DataFrame:
+    """Rows by series (or other keys), then time ascending or descending, then arrival."""
     direction = F.desc if desc else F.asc
-    return df.orderBy("series_name", direction("ts_ms"), direction("seq"))
+    arrival = [direction("seq")] if "seq" in df.columns else []
+    return df.orderBy(*keys, direction("ts_ms"), *arrival)
 
 
 def limited(

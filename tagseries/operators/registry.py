@@ -209,11 +209,16 @@ def find_assets(
     assets: DataFrame,
     keyword: str | None = None,
     path: str | None = None,
-    parents: Iterable[str] | None = None,
+    parents: Iterable[str] | DataFrame | None = None,
     uuids: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Assets by keyword in the name, path prefix, parent and uuid."""
-    kept = assets.filter(_keyword("name", keyword) & _any_of("parent_uuid", parents) & _any_of("uuid", uuids))
+    """Assets by keyword in the name, path prefix, parent (a list or a DataFrame with ``uuid``) and uuid."""
+    kept = assets.filter(_keyword("name", keyword) & _any_of("uuid", uuids))
+    if isinstance(parents, DataFrame):
+        kept = kept.join(parents.select(F.col("uuid").alias("parent_uuid")), "parent_uuid", "left_semi")
+        kept = kept.select(assets.columns)
+    else:
+        kept = kept.filter(_any_of("parent_uuid", parents))
     return kept if not path else kept.filter(F.col("asset_path").startswith(path))
 
 

@@ -90,19 +90,31 @@ def collector_stats(stats: DataFrame, logs: DataFrame, every: int | str = "1h")
     )
 
 
+def refused_telemetry_path(path: str) -> str:
+    """Where a telemetry table keeps the rows it refused."""
+    return f"{path.rstrip('/')}-refused"
+
+
 def append_telemetry(df: DataFrame, kind: str, path: str, batch: str) -> None:
     """Append logs, statistics or health rows under ``day=.../batch=.../``; a repeated batch
-    replaces itself. Log levels outside the contract are refused."""
+    replaces itself. Log entries of a level outside the contract are set aside, with the rest of the
+    batch stored: they lie beside the table. Rows of one instant may be cut over several files."""
     if kind not in TELEMETRY:
         raise ValueError(f"unknown telemetry kind: {kind}")
+    names = [f.name for f in TELEMETRY[kind].fields]
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TELEMETRY[kind].fields])
     if kind == "logs":
-        refused = F.raise_error(F.concat(F.lit("unknown log level: "), F.col("level")))
-        out = out.withColumn("level", F.when(F.col("level").isin(LOG_LEVELS), F.col("level")).otherwise(refused))
+        known = F.coalesce(F.col("level").isin(LOG_LEVELS), F.lit(False))
+        _append(out.filter(~known), refused_telemetry_path(path), batch, names)
+        out = out.filter(known)
+    _append(out, path, batch, names)
+
+
+def _append(out: DataFrame, path: str, batch: str, names: list[str]) -> None:
     (
         out.withColumn("day", F.timestamp_millis("ts_ms").cast("date"))
         .withColumn("batch", F.lit(batch))
-        .repartitionByRange("day", "ts_ms")
+        .repartitionByRange("day", "ts_ms", "collector_uuid", F.xxhash64(*names))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day", "batch")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import supported_aggregates
 from ..functions.paths import folder_prefix
 from ..functions.time import period_for_buckets, relative_range
-from ..functions.values import BOOLEAN, GOOD_CODE, STRING
+from ..functions.values import GOOD_CODE, VALUE_COLUMN
 from ..operators.aggregate import aggregate, last_values
 from ..operators.browse import browse
 from ..operators.metadata import merge_metadata
@@ -43,7 +43,6 @@ from ..sources.tables import (
 # Gap treatment by fill mode name; DERIVED leaves empty buckets out.
 FILL_MODES = {"DERIVED": "none", "NONE": "none", "NULL": "null", "PREVIOUS": "previous", "LINEAR": "linear"}
 DEFAULT_AGGREGATE, LAST_VALUE = "Average", "LastValue"
-VALUE_COLUMN = {BOOLEAN: "value_bool", STRING: "value_str"}
 
 
 def _fill_type(mode: str) -> str:

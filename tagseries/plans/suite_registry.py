@@ -498,8 +498,7 @@ def asset_points(spark, sf):
     AND parent_uuid IN (SELECT concat('n', n_nationkey) FROM nation)""",
 )
 def find_assets(spark, sf):
-    # nations are a table of fixed size
-    parents = [f"n{r.n_nationkey}" for r in tb.table(spark, sf, "nation").select("n_nationkey").collect()]
+    parents = tb.table(spark, sf, "nation").select(F.concat(F.lit("n"), "n_nationkey").alias("uuid"))
     return reg.find_assets(tb.assets_view(spark, sf), keyword="NATION_1", path="A", parents=parents).select(
         "uuid", "name"
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import raw, resolve
-from ..operators.registry import onboard
+from ..operators.registry import extend_registry, onboard
 from ..schema import ASSETS as ASSET_SCHEMA
 from ..schema import MEASUREMENTS as MEASUREMENT_SCHEMA
 from ..session import shared_dir
@@ -12,6 +14,7 @@ from ..streaming import aggregate as stream_agg
 from ..streaming import changes
 from .history import TagHistory
 from .registered import ASSETS, MEASUREMENTS, POINTS, PROPERTIES, register
+from .timeseries import TimeseriesRequest, query_timeseries
 
 _TYPED = f"""{POINTS}, typed AS (
   SELECT concat('histprov:h:/sys:gw:/prov:type:/tag:', event_type) AS qpath, type_series AS series_name, event_type, ts_ms, seq,
@@ -24,7 +27,8 @@ _COLUMN = {"signup": "value_bool", "view": "value_str"}
 def typed_history(spark, sf) -> TagHistory:
     """Reading interface over series of three types, each with the datatype its first value showed."""
     pts = tb.typed_points(spark, sf)
-    meas = onboard(pts, spark.createDataFrame([], MEASUREMENT_SCHEMA))
+    none = spark.createDataFrame([], MEASUREMENT_SCHEMA)
+    meas = extend_registry(none, onboard(pts, none))
     return TagHistory(pts, meas, spark.createDataFrame([], ASSET_SCHEMA), tb.COLLECTOR)
 
 
@@ -40,6 +44,32 @@ def raw_wide_types(spark, sf):
     )
 
 
+@register(
+    "raw_join_types",
+    f"""WITH {_TYPED} SELECT ts_ms,
+    {", ".join(f"arg_max({_COLUMN.get(t, 'value')}, seq) FILTER (event_type = '{t}') AS {t}_value" for t in tb.EVENT_TYPES)}
+    FROM typed GROUP BY ts_ms""",
+)
+def raw_join_types(spark, sf):
+    """A request that joins series of three types on their instants."""
+    history = typed_history(spark, sf)
+    names = [f"{tb.COLLECTOR}/type/{t}" for t in tb.EVENT_TYPES]
+    out = query_timeseries(TimeseriesRequest(join=names), history.points, history.meas)
+    return out.select("ts_ms", *[F.col(f"`{n}`").alias(f"{t}_value") for n, t in zip(names, tb.EVENT_TYPES)])
+
+
+@register(
+    "raw_ordered",
+    f"""WITH {_TYPED} SELECT series_name, ts_ms, seq, value AS value_num, value_bool, value_str FROM typed
+    WHERE ts_ms >= {tb.T0}""",
+)
+def raw_ordered(spark, sf):
+    """A request for all points, newest first, without a limit."""
+    history = typed_history(spark, sf)
+    out = query_timeseries(TimeseriesRequest(start=tb.T0, desc=True), history.points, history.meas)
+    return out.select("series_name", "ts_ms", "seq", "value_num", "value_bool", "value_str")
+
+
 @register("raw_tall_types", f"WITH {_TYPED} SELECT qpath, series_name, ts_ms, value, value_bool, value_str, seq FROM typed")
 def raw_tall_types(spark, sf):
     return typed_history(spark, sf).query_raw_points(tb.type_paths(), return_format="TALL")

@@ -8,10 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import tag_value
+from ..functions.values import VALUE_COLUMN, tag_value
 from ..operators.aggregate import aggregate_series, aggregate_with_arguments
 from ..operators.ordered import only_changes
-from ..operators.raw import by_tags, limited, time_range, value_filter
+from ..operators.raw import by_tags, limited, ordered, time_range, value_filter
 from ..operators.registry import measurements
 from ..operators.shape import align
 
@@ -32,7 +32,7 @@ class TimeseriesRequest:
     """Options of a time-series query; everything left unset does not restrict the answer.
 
     Series are chosen by measurement uuid, by asset property uuid and by (database, name); the
-    selections add up. ``join`` lists the series to align on equal instants.
+    selections add up. ``join`` lists the series to align on equal instants, each with values of its own type.
     """
 
     measurement_uuids: Sequence[str] = ()
@@ -103,7 +103,8 @@ def query_timeseries(
         raise ValueError("grouping by tags needs an aggregation")
 
     if request.join is not None:
-        joined = align(out, request.join, value="value" if "value" in out.columns else "value_num")
+        typed = "value" if "value" in out.columns else _value_columns(request.join, meas)
+        joined = align(out, request.join, value=typed)
         return _page(joined, request)  # one row per instant: limit and offset count instants
     if request.limit is not None or request.offset:
         if request.aggregation is not None:
@@ -112,10 +113,16 @@ def query_timeseries(
         if request.aggregation is not None:
             out = out.select(*keys, "ts_ms", "value")
     if request.desc:
-        return out.orderBy(*keys, F.desc("ts_ms"), *([F.desc("seq")] if "seq" in out.columns else []))
+        return ordered(out, desc=True, keys=keys)
     return out
 
 
+def _value_columns(names: Sequence[str], meas: DataFrame) -> dict[str, str]:
+    """The value column of each series of a request, by its datatype."""
+    known = measurements(meas).filter(F.col("name").isin(list(names))).select("name", "datatype")
+    return {r["name"]: VALUE_COLUMN[r["datatype"]] for r in known.collect() if r["datatype"] in VALUE_COLUMN}
+
+
 def _page(joined: DataFrame, request: TimeseriesRequest) -> DataFrame:
     if request.limit is None and not request.offset and not request.desc:
         return joined

@@ -93,3 +93,16 @@ def test_late_points_correct_their_windows(spark, tmp_path, monkeypatch):
     assert values(partials.read_metrics(spark, f"{tmp_path}/m"), *whole.columns) == values(whole, *whole.columns)
     sizes = {p.name: spark.read.parquet(str(p)).count() for p in (tmp_path / "m").iterdir()}
     assert all(n == 3 for name, n in sizes.items() if name.startswith("added"))  # only what the batch touched
+
+
+def test_a_request_in_order_and_one_of_all_types(spark):
+    from fixtures import measurement, measurements
+    from tagseries.plans.timeseries import TimeseriesRequest, query_timeseries
+
+    meas = measurements(spark, [measurement("n"), measurement("f", datatype="boolean"), measurement("t", datatype="string")])
+    pts = points(spark, [point("n", 1, 5), point("f", 1, True), point("t", 2, "x"), point("n", 2, 6, seq=9), point("n", 2, 7, seq=8)])
+    joined = query_timeseries(TimeseriesRequest(join=["n", "f", "t"]), pts, meas)
+    assert values(joined, "ts_ms", "n", "f", "t") == [(1, 5.0, True, None), (2, 6.0, None, "x")]
+    newest = query_timeseries(TimeseriesRequest(desc=True), pts.filter("series_name = 'n'"), meas)
+    assert values(newest, "value_num", sort=False) == [(6.0,), (7.0,), (5.0,)]
+    assert values(raw.ordered(pts.filter("series_name = 'n'")), "value_num", sort=False) == [(5.0,), (7.0,), (6.0,)]

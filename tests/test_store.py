@@ -153,9 +153,12 @@ def test_telemetry_table(spark, folder):
     assert spark.read.parquet(folder).count() == 1
     with pytest.raises(ValueError):
         telemetry.append_telemetry(logs, "notes", folder, "b")
-    bad = logs.withColumn("level", F.lit("LOUD"))
-    with pytest.raises(Exception, match="unknown log level"):
-        telemetry.append_telemetry(bad, "logs", folder, "c")
+    mixed = logs.unionAll(logs.withColumn("level", F.lit("LOUD"))).unionAll(logs.withColumn("level", F.lit(None)))
+    for _ in range(2):
+        telemetry.append_telemetry(mixed, "logs", folder, "c")
+    assert spark.read.parquet(folder).count() == 2  # the good entry is stored
+    refused = spark.read.parquet(telemetry.refused_telemetry_path(folder))
+    assert values(refused, "level", "message") == [("LOUD", "m"), (None, "m")]
 
 
 def drop(df, folder):
