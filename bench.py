@@ -40,9 +40,19 @@ HEADLINE = [
     "ingest_matrix",
     "op_metrics",
     "stream_ingest",
+    "store_rewritten_instant",
+    "latest_stored",
 ]
 
 
+def counters(spark) -> tuple[int, int]:
+    """(rows read from tables, bytes written to shuffles) by all stages so far."""
+    none = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, none, None)
+    found = [stages.apply(i) for i in range(stages.size())]
+    return sum(x.inputRecords() for x in found), sum(x.shuffleWriteBytes() for x in found)
+
+
 def run(spark, name: str, sf_dir: str) -> float:
     """Seconds until every row of the result has been computed."""
     begin = time.perf_counter()
@@ -56,10 +66,13 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session("bench", cpus=cpus, partitions=int(cpus) if cpus.isdigit() else 8)
-    seconds = {}
+    seconds, details = {}, {}
     for name in names:
         run(spark, name, sf_dir)
+        before = counters(spark)
         seconds[name] = round(statistics.median(run(spark, name, sf_dir) for _ in range(repeats)), 3)
+        rows, shuffled = ((b - a) // repeats for a, b in zip(before, counters(spark), strict=True))
+        details[name] = {"rows": rows, "rows_per_sec": round(rows / seconds[name]), "shuffle_bytes": shuffled}
     spark.stop()
     print(
         json.dumps(
@@ -68,6 +81,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "details": details,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
             }
         )

@@ -85,6 +85,12 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
     context.rename(a, b, spark.sparkContext._gateway.new_array(kind, 0))
 
 
+def empty(spark: SparkSession, schema: str | StructType) -> DataFrame:
+    """No rows of a schema."""
+    fields = schema.fields if isinstance(schema, StructType) else StructType.fromDDL(schema).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def _version(spark: SparkSession, path: str) -> int:
     """Number of the newest manifest, 0 if there is none."""
     names = [re.fullmatch(r"version=(\d+)", n) for n, _ in children(spark, manifest_path(path))]
@@ -93,22 +99,23 @@ def _version(spark: SparkSession, path: str) -> int:
 
 def _manifest(spark: SparkSession, path: str, version: int) -> DataFrame:
     if not version:
-        return spark.createDataFrame([], _MANIFEST)
+        return empty(spark, _MANIFEST)
     return spark.read.schema(_MANIFEST).parquet(f"{manifest_path(path)}/version={version}")
 
 
 def _notes(spark: SparkSession, path: str) -> DataFrame:
     if not exists(spark, notes_path(path)):
-        return spark.createDataFrame([], _NOTE)
+        return empty(spark, _NOTE)
     return spark.read.schema(_NOTE).parquet(notes_path(path))
 
 
 def _listed(spark: SparkSession, path: str, version: int, first: str | None = None, last: str | None = None) -> DataFrame:
     """Entries of parts in ``[first, last]`` (ISO dates) and the notes taken in, of one manifest and what came after."""
-    manifest = _manifest(spark, path, version)
-    taken = manifest.filter("taken").select("batch")
-    notes = _notes(spark, path).join(taken, "batch", "left_anti").withColumn("taken", F.lit(False))
-    both = manifest.filter("NOT taken").unionByName(notes)
+    both = _notes(spark, path).withColumn("taken", F.lit(False))
+    if version:
+        manifest = _manifest(spark, path, version)
+        taken = manifest.filter("taken").select("batch")
+        both = manifest.filter("NOT taken").unionByName(both.join(taken, "batch", "left_anti"))
     if first is not None:
         both = both.filter(F.col("part") >= first)
     return both if last is None else both.filter(F.col("part") <= last)
@@ -125,7 +132,7 @@ def read(spark: SparkSession, path: str, schema: StructType, live: Iterable[Entr
     full = StructType([*schema.fields, StructField("part", DateType()), StructField("batch", StringType())])
     folders = [f"{path}/{folder_name(e.batch)}/part={e.part}" for e in live]
     if not folders:
-        return spark.createDataFrame([], full)
+        return empty(spark, full)
     return spark.read.schema(full).option("basePath", path).parquet(*folders)
 
 
@@ -188,7 +195,7 @@ def spans(spark: SparkSession, path: str, live: Iterable[Entry]) -> DataFrame:
     schema = "part date, measurement_uuid string, first_ms bigint, last_ms bigint, points bigint, batch string"
     folders = sorted({f"{spans_path(path)}/{folder_name(e.batch)}" for e in live})
     if not folders:
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
     pairs = spark.createDataFrame([(e.part, e.batch) for e in live], "part string, batch string")
     pairs = pairs.select(F.col("part").cast("date").alias("part"), "batch")
     rows = spark.read.schema(schema).option("basePath", spans_path(path)).parquet(*folders)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from ..operators.ordered import CHUNK_MS, changed, last_writes, with_neighbours
-from ..sources.live import exists, remove_folder
+from ..sources.live import empty, exists, remove_folder
 
 VALUES = {"value_num": "double", "value_bool": "boolean", "value_str": "string"}
 OUTPUT = (
@@ -30,7 +30,7 @@ def last_values(spark: SparkSession, state: str, before: int) -> DataFrame:
     folders += [_folder(state, "added", i) for i in range(whole + 1, before)]
     folders = [f for f in folders if exists(spark, f)]
     if not folders:
-        return spark.createDataFrame([], STATE)
+        return empty(spark, STATE)
     return last_writes(spark.read.schema(STATE).parquet(*folders), ["series_name"], ["batch"])
 
 

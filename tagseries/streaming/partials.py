@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.time import arrival_order, bucket_start, period_ms
 from ..operators.aggregate import any_value
 from ..operators.telemetry import metric_intervals
-from ..sources.live import children, exists, remove_folder
+from ..sources.live import children, empty, exists, remove_folder
 
 #: Batches after which the parts are merged.
 FOLD = 20
@@ -37,7 +37,7 @@ def parts(spark: SparkSession, path: str, schema: str, before: int | None = None
     whole = [i for i in _complete(spark, path, "whole") if inside(i)][-1:]
     added = [i for i in _complete(spark, path, "added") if inside(i) and (not whole or i > whole[0])]
     folders = [f"{path}/whole={i}" for i in whole] + [f"{path}/added={i}" for i in added]
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders) if folders else empty(spark, schema)
 
 
 def keep_parts(
