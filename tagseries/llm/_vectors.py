@@ -7,11 +7,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._batch import binary
-
 
 #: Different lengths that a table's vectors may have.
 LENGTHS = 64
@@ -49,72 +47,64 @@ def matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1)
 
 
-BLOB = "block long, ids binary, vectors binary"
-
-
-def number_of_blocks(rows: DataFrame, per_block: int) -> int:
-    return max(1, -(-rows.count() // per_block))
+def first_blocks(rows: DataFrame, cells: int, per_block: int) -> np.ndarray:
+    """Number of the first block of each cell of ``rows`` (column ``cell``), and the number of all blocks.
 
-
-def blocks(rows: DataFrame, per_block: int, order: list[str | Column] | None = None, n: int = 0) -> DataFrame:
-    """The vectors packed into rows of about ``per_block``: ids int64 and vectors float64, in bytes.
-
-    Without an order, rows are dealt into numbered blocks by hash. With one, they are dealt by ranges of it and packed
-    in that order, at most ``per_block`` at a time; the block is then named by its first id.
+    A cell has as many blocks as its rows need, so the answer has ``cells`` + 1 numbers at any size.
     """
-    if order is None:
-        n = n or number_of_blocks(rows, per_block)
-        dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)))
-        dealt = dealt.repartition("block").sortWithinPartitions("block", "vec_id")
-    else:
-        dealt = rows.withColumn("block", F.lit(0).cast("long"))
-        dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order)
-    by_range = order is not None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        block, count = -1, 0
-
-        def packed() -> pa.RecordBatch:
-            ids = np.concatenate([b.column("vec_id").to_numpy() for b in held])
-            v = np.concatenate([matrix(b.column("v")) for b in held])
-            name = [pa.array([int(ids[0]) if by_range else block], pa.int64())]
-            row = [*name, *(binary(x.tobytes(), np.array([0, x.nbytes])) for x in (ids, v))]
-            return pa.RecordBatch.from_arrays(row, ["block", "ids", "vectors"])
+    count = np.zeros(cells, np.int64)
+    for row in rows.groupBy("cell").count().collect():  # one row per cell
+        count[row["cell"]] = row["count"]
+    return np.concatenate(([0], np.cumsum(-(-count // per_block))))
 
-        for batch in batches:
-            while batch.num_rows:
-                own = batch.column("block")[0].as_py()
-                if held and (own != block or by_range and count == per_block):
-                    yield packed()
-                    held, count = [], 0
-                block = own
-                same = int(np.searchsorted(batch.column("block").to_numpy(), own, side="right"))
-                take = batch.slice(0, min(same, per_block - count) if by_range else same)
-                batch = batch.slice(take.num_rows)
-                held.append(take)
-                count += take.num_rows
-        if held:
-            yield packed()
 
-    return dealt.select("vec_id", "v", "block").mapInArrow(run, BLOB)
+_SENT = ["block", "asks", "pivot", "far", "vec_id", "v"]
+SENT = "block long, pivot long, far double, vec_id long, v array<double>"
 
 
-def unpack(batch: pa.RecordBatch, i: int, prefix: str = "") -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(batch.column(f"{prefix}ids")[i].as_py(), np.int64)
-    return ids, np.frombuffer(batch.column(f"{prefix}vectors")[i].as_py(), np.float64).reshape(len(ids), -1)
+def dealt(rows: DataFrame, first: np.ndarray) -> DataFrame:
+    """``rows`` with their block: each cell's rows are dealt over its blocks by a hash of id and vector."""
+    of = F.array(*[F.lit(int(x)) for x in first])
+    begin, end = F.element_at(of, F.col("cell") + 1), F.element_at(of, F.col("cell") + 2)
+    return rows.withColumn("block", begin + F.pmod(F.xxhash64("vec_id", "v"), end - begin))
 
 
-def meet(data: DataFrame, queries: DataFrame, n_queries: int) -> DataFrame:
-    """Every block of queries beside every block of data, dealt over the cluster.
+def meet(data: DataFrame, asked: DataFrame, n: int, build: Callable, answer: Callable) -> DataFrame:
+    """(query_id, vec_id, score) of queries that each visit the blocks they name.
 
-    A stated query set against all rows, in blocks: as many rows as pairs of blocks, each of bounded size.
+    ``data`` and ``asked`` have the columns of ``SENT``, a query one row per block it visits. Data are shuffled once
+    and never copied; a block's rows come first, by (pivot, far), and are built to ``build(table)``; its queries stream
+    past that, some at a time, as ``answer(built, batch)``. So a task holds one block, however many queries there are.
     """
-    named = queries.select(
-        F.col("block").alias("q"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")
-    )
-    spread = data.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_queries - 1).cast("long"))))
-    return spread.join(named, "q").repartition("q", "block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, built = None, [], None
+        for batch in batches:
+            at, asks = batch.column("block").to_numpy(), batch.column("asks").to_numpy()
+            edge = np.flatnonzero((np.diff(at) != 0) | (np.diff(asks) != 0)) + 1
+            for a, b in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows], strict=True):
+                if a == b:
+                    continue
+                if at[a] != block:
+                    block, held, built = at[a], [], None
+                if not asks[a]:
+                    held.append(batch.slice(a, b - a))
+                elif held or built is not None:
+                    if built is None:
+                        built, held = build(pa.Table.from_batches(held)), []
+                    yield answer(built, batch.slice(a, b - a))
+
+    marked = [df.withColumn("asks", F.lit(i)).select(_SENT) for i, df in enumerate((data, asked))]
+    tasks = min(max(n, 1), 10_000)
+    both = marked[0].unionAll(marked[1]).repartitionById(tasks, F.pmod("block", F.lit(tasks)).cast("int"))
+    sent = both.sortWithinPartitions("block", "asks", "pivot", "far", "vec_id")
+    return sent.mapInArrow(run, "query_id long, vec_id long, score double")
+
+
+def vectors(rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, matrix) of rows with vec_id and v."""
+    v = rows.column("v")
+    return rows.column("vec_id").to_numpy(), matrix(v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v)
 
 
 def best(found: DataFrame, k: int, kind: str) -> DataFrame:

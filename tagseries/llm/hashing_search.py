@@ -11,8 +11,10 @@ The radius of a query is the one at which its own neighbours in the sample, ``KE
 plus ``SLACK`` for what the code loses; copies of a vector are one neighbour there, so that no group of them sets the
 radius by the code of one vector. Where fewer than k codes are found it is raised until there are.
 
-Every vector is indexed. Blocks of rows are searched side by side and their best merged. Fewer than k candidates give
-all of them; a vector is no neighbour of itself; ties go to the smaller id. Empty tables give no rows.
+Every vector is indexed, in blocks of about ``ROWS``; a block's index is built once, and every query, sent with its
+radius, passes by. Of a substring's values the probes are enumerated, or where the block has fewer distinct values than
+there are probes, those values are. The best of all blocks are merged. Fewer than k candidates give all of them; a
+vector is no neighbour of itself; ties go to the smaller id. Empty tables give no rows.
 
 Rows that repeat id and vector count once, as queries and as candidates. An id with several vectors asks with each of
 them and is found by each; a query names every neighbour once, with the highest score. Null ids, null, empty or zero
@@ -29,7 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._vectors import best, blocks, clean, meet, number_of_blocks, per_length, results, top, unpack
+from ._batch import ragged
+from ._tables import stored
+from ._vectors import best, clean, dealt, first_blocks, matrix, meet, per_length, results, top, vectors
 
 SAMPLE = 8_192
 ROTATIONS = 2
@@ -38,7 +42,8 @@ TURNS = 25
 KEEP = 0.93
 #: Share of the code's bits that is added to every radius.
 SLACK = 1 / 64
-ROWS, QUERIES = 32_768, 512
+#: Rows of a block, about.
+ROWS = 8_192
 _SUB = 16
 
 
@@ -81,31 +86,49 @@ class Index:
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
-        self.rows, self.begin = [], []
-        for s in range(codes.shape[1]):
-            self.rows.append(np.argsort(codes[:, s], kind="stable"))
-            self.begin.append(np.concatenate(([0], np.cumsum(np.bincount(codes[:, s], minlength=1 << _SUB)))))
+        self.whole = self._packed(codes)
+        self.values, self.begin, self.rows, self.value_of = [], [], [], []
+        for part in codes.T:
+            values, number = np.unique(part, return_inverse=True)
+            self.values.append(values)
+            self.value_of.append(number)
+            self.rows.append(np.argsort(number, kind="stable"))
+            self.begin.append(np.concatenate(([0], np.cumsum(np.bincount(number, minlength=len(values))))))
+
+    @staticmethod
+    def _packed(codes: np.ndarray) -> np.ndarray:
+        wide = np.zeros((len(codes), -(-codes.shape[1] // 4) * 4), np.uint16)
+        wide[:, : codes.shape[1]] = codes
+        return wide.view(np.uint64)
+
+    def _probed(self, s: int, value: np.uint16, share: int) -> np.ndarray:
+        """Places, in the values of substring s, of all within the share of one value."""
+        values, probes = self.values[s], _WITHIN[min(share, _SUB)]
+        if len(values) <= len(probes):
+            return np.flatnonzero(np.bitwise_count(values ^ value) <= share)
+        probes = np.sort(probes ^ value)
+        at = np.minimum(np.searchsorted(values, probes), len(values) - 1)
+        return at[values[at] == probes]
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """Rows whose code lies within the radius, all of them."""
-        n, hit = len(self.codes), np.zeros(len(self.codes), bool)
+        n = len(self.codes)
         if radius >= self.codes.shape[1] * _SUB:
             return np.arange(n)
+        hit = np.zeros(n, bool)
         for s, share in enumerate(shares(radius, self.codes.shape[1])):
             if share < 0:
                 continue
-            values = _WITHIN[min(share, _SUB)] ^ code[s]
-            at, end = self.begin[s][values], self.begin[s][values.astype(np.int64) + 1]
-            size = end - at
-            full = size > 0
-            at, size = at[full], size[full]
-            if len(at):
-                step = np.ones(size.sum(), np.int64)  # places at..end of every value, one after another
-                edge = np.cumsum(size)[:-1]
-                step[0], step[edge] = at[0], at[1:] - at[:-1] - size[:-1] + 1
-                hit[self.rows[s][np.cumsum(step)]] = True
+            found = self._probed(s, code[s], share)
+            size = self.begin[s][found + 1] - self.begin[s][found]
+            if size.sum() * 8 < n:
+                hit[self.rows[s][np.repeat(self.begin[s][found], size) + ragged(size)]] = True
+            else:
+                chosen = np.zeros(len(self.values[s]), bool)
+                chosen[found] = True
+                hit |= chosen[self.value_of[s]]
         rows = np.flatnonzero(hit)
-        far = np.bitwise_count(self.codes[rows] ^ code).sum(1)
+        far = np.bitwise_count(self.whole[rows] ^ self._packed(code[None])).sum(1)
         return rows[far <= radius]
 
 
@@ -137,33 +160,44 @@ def search(df: DataFrame, every: int, k: int, vector: str = "embedding", key: st
 
 
 def _search(rows: DataFrame, every: int, k: int) -> DataFrame:
-    rows = rows.dropDuplicates(["vec_id", "v"])
+    rows = stored(rows.dropDuplicates(["vec_id", "v"]).withColumn("cell", F.lit(0)))
     drawn = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(SAMPLE).toPandas()["v"]  # bounded, for the driver
     sample = np.array(drawn.tolist(), np.float64)
     coder = Coder(sample) if len(sample) else None
     sent = rows.sparkSession.sparkContext.broadcast((coder, sample))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, sample = sent.value
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                ids, vectors = unpack(batch, i)
-                q_ids, queries = unpack(batch, i, "q_")
-                index, codes = Index(coder.codes(vectors)), coder.codes(queries)
-                found = []
-                for q, radius in enumerate(radii(coder, sample, queries, k).tolist()):
-                    near = index.within(codes[q], radius)
-                    near = near[ids[near] != q_ids[q]]
-                    while len(np.unique(ids[near])) < k and radius < coder.width:
-                        radius += 4
-                        near = index.within(codes[q], radius)
-                        near = near[ids[near] != q_ids[q]]
-                    score = (vectors[near] * queries[q]).sum(1)
-                    order = top(ids[near], score, k)
-                    found.append((int(q_ids[q]), ids[near][order], score[order]))
-                yield results(found)
-
-    asked = rows.filter(F.col("vec_id") % every == 0)
-    n = number_of_blocks(asked, QUERIES)
-    pairs = meet(blocks(rows, ROWS), blocks(asked, QUERIES, n=n), n)
-    return best(pairs.mapInArrow(run, "query_id long, vec_id long, score double"), k, "double")
+            if batch.num_rows:
+                radius = radii(*sent.value, matrix(batch.column("v")), k).astype(np.float64)
+                columns = [*batch.select(["vec_id", "v"]).columns, pa.array(radius)]
+                yield pa.RecordBatch.from_arrays(columns, ["vec_id", "v", "far"])
+
+    def build(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, Index]:
+        ids, v = vectors(rows)
+        return ids, v, Index(sent.value[0].codes(v))
+
+    def answer(block: tuple[np.ndarray, np.ndarray, Index], asked: pa.RecordBatch) -> pa.RecordBatch:
+        (ids, v, index), (q_ids, queries) = block, vectors(asked)
+        coder, found = sent.value[0], []
+        codes = coder.codes(queries)
+        for q, radius in enumerate(asked.column("far").to_numpy().astype(np.int64).tolist()):
+            near = index.within(codes[q], radius)
+            near = near[ids[near] != q_ids[q]]
+            while len(near) < len(ids) and len(np.unique(ids[near])) < k and radius < coder.width:
+                radius += 4
+                near = index.within(codes[q], radius)
+                near = near[ids[near] != q_ids[q]]
+            score = (v[near] * queries[q]).sum(1)
+            order = top(ids[near], score, k)
+            found.append((int(q_ids[q]), ids[near][order], score[order]))
+        return results(found)
+
+    first = first_blocks(rows, 1, ROWS)
+    n = int(first[-1])
+    none = [F.lit(0).cast("long").alias("pivot"), F.lit(0.0).alias("far")]
+    data = dealt(rows, first).select("block", *none, "vec_id", "v")
+    asked = rows.filter(F.col("vec_id") % every == 0).mapInArrow(ask, "vec_id long, v array<double>, far double")
+    visits = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n, 1) - 1).cast("long"))).alias("block")
+    asked = asked.select(visits, none[0], "far", "vec_id", "v")
+    return best(meet(data, asked, n, build, answer), k, "double")
