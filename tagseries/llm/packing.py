@@ -5,10 +5,13 @@ the rests, longest first, each go to the open window with the least room that st
 The tree has a leaf per remaining capacity and answers "least capacity of at least r" by one walk up and one down.
 
 Documents are dealt into groups by a hash of the row; a group is packed by one task with one integer pair per open
-window, so its size is bounded by ``GROUP`` rows on average and a corpus of any size is packed in parallel. Each
-group leaves a few windows with room. Numbers of sequences are unique: the group's number times 2**32 plus a count.
+window, so its size is bounded by ``GROUP`` rows on average and a corpus of any size is packed in parallel. Equal rows
+are numbered within their task, whatever their order, and every ``RUN`` of them go to another group, so a row that is
+repeated however often is no skew. Each group leaves a few windows with room. Numbers of sequences are unique: the
+group's number times 2**32 plus a count.
 
-Null text is empty: one piece with the end id. Repeated rows are packed each. Ties go by doc_id, then checksum.
+Null text is empty: one piece with the end id. Repeated rows are packed each. Ties go by doc_id, then checksum. No
+documents: no rows. Other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -21,11 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._batch import mix
 from ._subwords import library_ids, with_end
 
 CAPACITY = 1024
 #: Mean number of documents that are packed together.
 GROUP = 20_000
+#: Equal rows of one task that go to the same group.
+RUN = 64
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, pack_group long"
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -83,6 +89,14 @@ def best_fit(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, in
     return out
 
 
+def group_of(row_hash: np.ndarray, copies: dict[int, int], groups: int) -> np.ndarray:
+    """Group of each row; ``copies`` counts the equal rows met so far."""
+    nth = np.empty(len(row_hash), np.uint64)
+    for i, h in enumerate(row_hash.tolist()):
+        nth[i] = copies[h] = copies.get(h, -1) + 1
+    return (mix(row_hash.view(np.uint64) ^ mix(nth // np.uint64(RUN))) % np.uint64(groups)).astype(np.int64)
+
+
 def cut(
     docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
@@ -91,10 +105,12 @@ def cut(
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
     groups = max(1, -(-docs.count() // GROUP))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)))
+    rows = rows.withColumn("row_hash", F.xxhash64("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        copies: dict[int, int] = {}
         for batch, ids, at in library_ids(batches, "text", sent.value):
+            group = pa.array(group_of(batch.column("row_hash").to_numpy(), copies, groups))
             ids, at = with_end(ids, at, end_id)
             total = np.diff(at)
             number = -(-total // capacity)
@@ -111,7 +127,7 @@ def cut(
                     pa.array(length),
                     pa.array(crc, pa.int64()),
                     pa.array(total[row]),
-                    batch.column("pack_group").take(take),
+                    group.take(take),
                 ],
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "pack_group"],
             )

@@ -208,9 +208,10 @@ def write_tokens(
             yield image()
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]  # an id of many texts is dealt over tasks
     (
-        rows.repartitionByRange(F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order, "text")
         .mapInArrow(run, _STORED)
         .write.mode("overwrite")
         .parquet(path)
