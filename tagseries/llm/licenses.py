@@ -1,8 +1,9 @@
 """License scan: exact containment join of text blocks with license templates.
 
-Words are runs of digits, letters a-z (A-Z in lower case) and characters beyond ASCII. A text block is a window of
-``2 w`` words, one beginning every ``w`` words, w being the longest template's length: any ``w`` words in a row lie in
-some block. A block meets a template if it holds at least the share ``CONTAINED`` of the template's distinct words.
+Words are runs of digits, letters a-z (A-Z in lower case) and characters beyond ASCII. Text blocks follow the length of a
+template, w words: windows of w words and a quarter, one beginning every quarter of w, so any w words in a row lie in
+some block and little else does. A block meets a template of its length if it holds at least the share ``CONTAINED``
+of the template's distinct words.
 
 The words of all templates are ordered by the number of documents of the whole corpus that hold them, rarest first.
 With o = ceil(CONTAINED * |T|), a block that meets T must hold one of T's first |T| - o + 1 words (prefix filter), at
@@ -10,9 +11,13 @@ least o words of any template (length filter), and behind the first word it shar
 (positional filter). What passes is compared word by word, so the result is exact. Templates are a bounded parameter
 and are sent to every task with their order; documents are read twice (order, then join) and never shuffled.
 
+``blocks`` returns the join: one row per document, block and template met. ``scan`` sums it up by document.
+
 Base places are where the words of a base phrase stand consecutively. The labels of a document are those of its base
 places and of the templates met. Score: the largest containment of any template met, at least ``PHRASE`` if there is
-a base place, else 0. Null text is empty: no words, no labels, score 0. Repeated rows are scanned each.
+a base place, else 0. Null text is empty: no words, no labels, score 0. Repeated rows are scanned each. Words equally
+frequent go by their hash, which changes no result. No documents: no rows. Other columns, whatever their names, are not
+looked at.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,17 +78,24 @@ class Template:
     label: str
     words: tuple[int, ...]  # ranks in the global order, rarest first
     need: int
+    length: int  # of the whole text, in words
+
+
+def window(length: int) -> tuple[int, int]:
+    """(words from block to block, words of a block) for templates of a length."""
+    step = max(1, length // 4)
+    return step, length + step
 
 
 class Templates:
     """Words of all templates, and the templates once the order of the words is known."""
 
     def __init__(self, templates=TEMPLATES, phrases=PHRASES, contained: float = CONTAINED):
-        self.sets = [(label, sorted(set(_text_words(text)))) for label, text in templates]
-        self.longest = max((len(_text_words(t)) for _, t in templates), default=1)
+        self.texts = tuple(templates)
+        self.sets = [(label, sorted(set(_text_words(text))), len(_text_words(text))) for label, text in templates]
         self.contained = contained
         self.phrases = [(_text_words(text), label) for text, label in phrases]
-        every = {w for _, words in self.sets for w in words} | {w for words, _ in self.phrases for w in words}
+        every = {w for _, words, _ in self.sets for w in words} | {w for words, _ in self.phrases for w in words}
         self.words = np.array(sorted(every), np.uint64)
         self.maybe = np.zeros(1 << 16, bool)
         self.maybe[(self.words >> np.uint64(48)).astype(np.int64)] = True
@@ -100,22 +113,25 @@ class Templates:
         self.rank = np.zeros(len(by), np.int64)
         self.rank[by] = np.arange(len(by))
         number = {int(w): i for i, w in enumerate(self.words)}
-        self.templates, self.postings = [], {}
-        for label, words in self.sets:
+        self.templates = []
+        self.postings: dict[int, dict[int, list[tuple[int, int]]]] = {}  # by length of template, then by word
+        for label, words, length in self.sets:
             ranks = tuple(sorted(int(self.rank[number[w]]) for w in words))
             need = max(1, math.ceil(self.contained * len(ranks) - 1e-9))
+            postings = self.postings.setdefault(length, {})
             for place, word in enumerate(ranks[: len(ranks) - need + 1]):
-                self.postings.setdefault(word, []).append((len(self.templates), place))
-            self.templates.append(Template(label, ranks, need))
-        self.prefix = np.zeros(len(by) + 1, bool)
-        self.prefix[list(self.postings)] = True
-
-    def met(self, block: np.ndarray) -> dict[int, float]:
-        """Templates a block meets and their containment. ``block``: its distinct ranks, rarest first."""
-        out, held = {}, set(block.tolist())
+                postings.setdefault(word, []).append((len(self.templates), place))
+            self.templates.append(Template(label, ranks, need, length))
+        self.prefix = {length: np.zeros(len(by) + 1, bool) for length in self.postings}
+        for length, postings in self.postings.items():
+            self.prefix[length][list(postings)] = True
+
+    def met(self, block: np.ndarray, length: int) -> list[tuple[int, float]]:
+        """Templates of a length that a block meets, and their containment. ``block``: its distinct ranks, rarest first."""
+        out, held = [], set(block.tolist())
         tried: set[int] = set()
         for j, word in enumerate(block.tolist()):
-            for t, i in self.postings.get(word, ()):
+            for t, i in self.postings[length].get(word, ()):
                 template = self.templates[t]
                 if t in tried:
                     continue
@@ -125,7 +141,27 @@ class Templates:
                     continue
                 share = sum(w in held for w in template.words)
                 if share >= template.need:
-                    out[t] = share / n
+                    out.append((t, share / n))
+        return out
+
+    def join(self, words: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, float]]:
+        """(text, first word and end of the block in it, template, containment) of all blocks that meet a template."""
+        at, number = self.places(words)
+        rank = self.rank[number]
+        doc = np.searchsorted(first, at, side="right") - 1
+        out = []
+        for length in self.postings:
+            step, size = window(length)
+            hit = self.prefix[length][rank]
+            last = (at[hit] - first[doc[hit]]) // step  # the last block a word lies in; those before reach it too
+            back = np.arange(-(-size // step))
+            pairs = np.stack([np.repeat(doc[hit], len(back)), (last[:, None] - back).ravel()], 1)
+            pairs = np.unique(pairs[pairs[:, 1] >= 0], axis=0)
+            low = first[pairs[:, 0]] + pairs[:, 1] * step
+            high = np.minimum(low + size, first[pairs[:, 0] + 1])
+            for d, a, b, i, j in zip(pairs[:, 0].tolist(), low.tolist(), high.tolist(), *np.searchsorted(at, [low, high]).tolist(), strict=True):
+                found = self.met(np.unique(rank[i:j]), length)
+                out += [(d, a - int(first[d]), b - int(first[d]), t, share) for t, share in found]
         return out
 
 
@@ -145,14 +181,42 @@ def word_frequencies(docs: DataFrame, templates: Templates) -> dict[int, int]:
     return {row["word"]: row["n"] for row in counts.collect()}  # one row per template word
 
 
+def _prepared(
+    docs: DataFrame, templates: Templates | None, text: str, key: str
+) -> tuple[DataFrame, Broadcast[Templates]]:
+    """(doc_id and text, the templates in the corpus's order of words, sent to all tasks)."""
+    templates = templates or Templates()
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    templates.order(word_frequencies(rows, templates))
+    return rows, docs.sparkSession.sparkContext.broadcast(templates)
+
+
+def blocks(
+    docs: DataFrame, templates: Templates | None = None, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """doc_id, begin_word, end_word (exclusive), label, template (its text) and containment of every block and template
+    that meet."""
+    rows, sent = _prepared(docs, templates, text, key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            found = sent.value.join(*_spans(batch.column("text")))
+            d, begin, end, t, share = zip(*found, strict=True) if found else ([],) * 5
+            texts = [sent.value.texts[i] for i in t]
+            columns = [batch.column("doc_id").take(pa.array(d, pa.int64())), pa.array(begin, pa.int64())]
+            columns += [pa.array(end, pa.int64()), *(pa.array([x[i] for x in texts], pa.string()) for i in (0, 1))]
+            names = ["doc_id", "begin_word", "end_word", "label", "template", "containment"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(share, pa.float64())], names)
+
+    schema = "doc_id long, begin_word long, end_word long, label string, template string, containment double"
+    return rows.mapInArrow(run, schema)
+
+
 def scan(
     docs: DataFrame, templates: Templates | None = None, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
     """Base places, labels and score of every document."""
-    templates = templates or Templates()
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    templates.order(word_frequencies(rows, templates))
-    sent = docs.sparkSession.sparkContext.broadcast(templates)
+    rows, sent = _prepared(docs, templates, text, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -175,20 +239,8 @@ def _scan(batch: pa.RecordBatch, templates: Templates) -> pa.RecordBatch:
         for d, a in zip(doc[inside].tolist(), (at - first[doc])[inside].tolist(), strict=True):
             base[d].append((a, label))
     met: list[dict[int, float]] = [{} for _ in range(docs)]
-    at, number = templates.places(words)
-    rank = templates.rank[number]
-    doc = np.searchsorted(first, at, side="right") - 1
-    step = (at - first[doc]) // templates.longest  # a word lies in the block of its step and in the one before
-    blocks = np.unique(np.stack([doc, step], 1)[templates.prefix[rank]], axis=0)
-    for d, s in blocks.tolist():
-        for b in (s - 1, s):
-            if b < 0:
-                continue
-            low = first[d] + b * templates.longest
-            high = min(low + 2 * templates.longest, first[d + 1])
-            i, j = np.searchsorted(at, [low, high])
-            for t, share in templates.met(np.unique(rank[i:j])).items():
-                met[d][t] = max(share, met[d].get(t, 0.0))
+    for d, _, _, t, share in templates.join(words, first):
+        met[d][t] = max(share, met[d].get(t, 0.0))
     label = lambda names: ",".join(sorted(set(names)))
     own = [label(x for _, x in b) for b in base]
     every = [label([x for _, x in b] + [templates.templates[t].label for t in m]) for b, m in zip(base, met, strict=True)]
