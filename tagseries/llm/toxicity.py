@@ -10,7 +10,8 @@ The fit uses at most ``SAMPLE`` labelled rows per value of the main label (least
 the fit in one task). Everything else covers all rows. No labelled rows, or only one value of a label, give a constant
 probability: 0 without positives, 1 without negatives. Null or empty text has no features and gets the models' bias.
 Labels are per doc_id: repeated rows count once, before the sample is drawn, rows without doc_id or label not at all.
-Where rows of one doc_id differ, any that says low quality or toxic counts, and of the texts the greatest.
+Where rows of one doc_id differ, any that says low quality or toxic counts, and of the texts the greatest. No documents:
+no rows. A document column named like a new one is no obstacle to ``accepted``, in whatever case; ``annotate`` refuses it.
 """
 
 from __future__ import annotations
@@ -163,9 +164,8 @@ def fit_link(
     return chosen, w[:m] * scale, float(w[m]), w[m + 1 :]
 
 
-def fit(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...], folds: np.ndarray, severe: int) -> Chain:
-    """The chain for (rows, label columns). The last category is the upper half of the positives of label ``severe``,
-    by out-of-fold log odds: the strongly toxic ones among the toxic."""
+def fit(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...], folds: np.ndarray) -> Chain:
+    """The chain for (rows, label columns), a category for each column and in their order."""
     batch = pa.RecordBatch.from_arrays([texts], ["text"])
 
     def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -193,12 +193,7 @@ def fit(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...], folds:
     del rows, codes
     odds, links = np.zeros((n, 0)), []
     for c in range(len(categories)):
-        if c < labels.shape[1]:
-            y = labels[:, c].astype(float)
-        else:
-            toxic = labels[:, severe] == 1
-            middle = np.median(odds[toxic, severe]) if toxic.any() else 0.0
-            y = (toxic & (odds[:, severe] >= middle)).astype(float)
+        y = labels[:, c].astype(float)
         out = np.zeros(n)
         for k in [*range(FOLDS), -1]:  # the last is fitted on all rows and kept
             chosen, weights, bias, other = fit_link(row, feature, len(names), y, odds, folds != k)
@@ -216,7 +211,8 @@ def fit(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...], folds:
     return Chain(categories, links)
 
 
-CATEGORIES = ("low_quality", "toxic", "severe_toxic")
+#: The chain follows the columns of ``labels``; what is rejected is toxic.
+CATEGORIES = ("low_quality", "toxic")
 
 
 def one_text(rows: DataFrame) -> DataFrame:
@@ -246,7 +242,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
             return
         table = pa.Table.from_batches(found).to_pandas().sort_values("doc_id")
         folds = (pd.util.hash_array(table["doc_id"].to_numpy()) % FOLDS).astype(np.int64)
-        chain = fit(pa.array(table["text"], pa.string()), table[["low", "toxic"]].to_numpy(), CATEGORIES, folds, 1)
+        chain = fit(pa.array(table["text"], pa.string()), table[["low", "toxic"]].to_numpy(), CATEGORIES, folds)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(chain)], pa.binary())], ["chain"])
 
     found = rows.mapInArrow(run, "chain binary").collect()
@@ -275,7 +271,7 @@ def annotate(df: DataFrame, chain: Chain, names: tuple[str, ...], text: str = "t
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, the probability of each category, the toxic categories that hold, and whether to reject."""
+    """doc_id, the probability of each category, ``categories`` ("toxic" or empty), and whether to reject."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     names = tuple(f"p_{c}" for c in CATEGORIES)
     out = annotate(rows, train(docs, labels), names).drop("text")
@@ -284,7 +280,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents without those that a toxic category holds for."""
+    """The documents without those that are toxic."""
     used, names = {c.lower() for c in docs.columns}, []
     for c in CATEGORIES:
         name = f"p_{c}"
@@ -292,4 +288,4 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
             name += "_"
         names.append(name)
     out = annotate(docs, train(docs, labels), tuple(names))
-    return out.filter((F.col(names[1]) < THRESHOLD) & (F.col(names[2]) < THRESHOLD)).select(docs.columns)
+    return out.filter(F.col(names[1]) < THRESHOLD).select(docs.columns)
