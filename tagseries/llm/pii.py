@@ -3,7 +3,9 @@
 Regular expressions propose spans; validators confirm them (Luhn for cards, mod 97 for account numbers, number ranges
 for addresses, digit counts for phones); words nearby raise or lower the score. Proposals of the base kinds that pass
 their validator always count. The added kinds count from a score of ``ACCEPT`` on: account numbers (``iban``), and
-social security numbers (``ssn``), which have no checksum and need a word nearby that speaks for them.
+social security numbers (``ssn``), which have no checksum and need a word nearby that speaks for them, and card numbers
+in their issuers' own lengths and groups (``pan``), which the base kind loses when digits stand beside them: two cards
+with a space between are one match of too many digits to it. Where a base card was found, ``pan`` adds nothing.
 
 Matches are the leftmost, longest and not overlapping within a kind. Starts and ends count code points, the end is
 exclusive. A failed match is dropped and not tried again from a later place. Null text is empty and has no spans.
@@ -75,6 +77,14 @@ KINDS = (
     Kind("card", r"[0-9](?:[\x20-]?[0-9]){11,}+", 0.7, "card|visa|credit|payment|paid"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.6, "phone|call|tel|mobile|fax|reach"),
     Kind("iban", _iban(), 0.8, "iban|account|bank", False),
+    Kind(
+        "pan",
+        r"(?<![0-9])(?:[3-6][0-9]{3}(?:[0-9]{12}|\x20[0-9]{4}\x20[0-9]{4}\x20[0-9]{4}|-[0-9]{4}-[0-9]{4}-[0-9]{4})"
+        r"|3[47][0-9]{2}(?:[0-9]{11}|\x20[0-9]{6}\x20[0-9]{5}|-[0-9]{6}-[0-9]{5}))(?![0-9])",
+        0.7,
+        "card|visa|credit|payment|paid",
+        False,
+    ),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.3, "ssn|social|security", False),
 )
 AGAINST = "version|isbn|release|order|sample|example"
@@ -114,6 +124,8 @@ def valid(kind: str, match: Column) -> Column:
     if kind == "card":
         digits = _digits(match)
         return F.when(F.length(digits).between(12, 19), luhn(digits)).otherwise(F.lit(False))
+    if kind == "pan":
+        return luhn(_digits(match))
     if kind == "phone":
         return F.length(_digits(match)).between(9, 15)
     if kind == "iban":
@@ -201,7 +213,13 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id", kinds: tuple[
     rows = rows.select("*", *(F.when(met[k.name], _edges(*parts[k.name])).alias(f"e_{k.name}") for k in kinds))
     near = {k.name: F.when(met[k.name], _with_near(*parts[k.name], F.col(f"e_{k.name}"))) for k in kinds}
     spans = [_found(k, i, near[k.name]) for i, k in enumerate(kinds)]
-    return rows.select("doc_id", "text", F.array_sort(F.concat(*spans)).alias("spans"))
+    of = {k.name: s for k, s in zip(kinds, spans, strict=True)}
+    if {"pan", "card"} <= of.keys():  # a card of both kinds is one of the base kind
+        rows = rows.select("doc_id", "text", *(s.alias(f"s_{n}") for n, s in of.items()))
+        of = {n: F.col(f"s_{n}") for n in of}
+        starts = F.transform("s_card", lambda s: s["start"])
+        of["pan"] = F.filter("s_pan", lambda s: ~F.array_contains(starts, s["start"]))
+    return rows.select("doc_id", "text", F.array_sort(F.concat(*of.values())).alias("spans"))
 
 
 def _listed(spans: Column) -> Column:
@@ -239,7 +257,9 @@ def digests(found: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, text: str = "text", kinds: tuple[str, ...] = ("email", "phone", "card", "iban", "ip", "ssn")) -> DataFrame:
+def redact(
+    docs: DataFrame, text: str = "text", kinds: tuple[str, ...] = ("email", "phone", "card", "pan", "iban", "ip", "ssn")
+) -> DataFrame:
     """The documents with every span replaced by its kind in brackets, kind after kind; null stays null.
 
     A column ``n_chars`` follows the new text. All other columns and rows stay. No shuffle.
