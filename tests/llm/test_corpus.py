@@ -1,6 +1,7 @@
 """Corpus operators against plain versions, libraries and round trips, on small odd tables and on the test tables."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -202,14 +203,30 @@ def test_license_blocks_against_plain_containment(spark, sf_dir):
     templates = licenses.Templates()
     got = by_id(licenses.scan(docs, templates))
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    known = [(label, set(word.findall(t.lower()))) for label, t in licenses.TEMPLATES]
+    split = [(label, word.findall(t.lower())) for label, t in licenses.TEMPLATES]
+    known, want = [(label, set(t), len(t)) for label, t in split], []
     for r in docs.collect():
         words = word.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in r["text"] or ""))
         met = {x for _, x in plain_places(r["text"])[1]}
-        for b in range(0, max(len(words), 1), templates.longest):
-            block = set(words[b : b + 2 * templates.longest])
-            met |= {label for label, t in known if len(t & block) >= np.ceil(licenses.CONTAINED * len(t) - 1e-9)}
+        for label, t, n in known:
+            step = max(1, n // 4)
+            for b in range(0, len(words), step):
+                share = len(t & set(words[b : b + n + step]))
+                if share >= np.ceil(licenses.CONTAINED * len(t) - 1e-9):
+                    met.add(label)
+                    want.append((r["doc_id"], b, min(b + n + step, len(words)), label, share / len(t)))
         assert got[r["doc_id"]]["labels"] == ",".join(sorted(met))
+    found = licenses.blocks(docs, templates).drop("template").collect()
+    assert sorted(map(tuple, found)) == sorted(want) and want
+
+
+def test_scattered_words_are_no_license(spark, none):
+    texts = ["the report was released today under pressure while noise and other license fees at mit rose"]
+    texts += ["no commercial use. all rights reserved. no part of this work may be reproduced, they said", None, ""]
+    texts += ["released today under protest: the license that mit gave up"]
+    found = licenses.blocks(table(spark, texts)).collect()
+    assert {(r["doc_id"], r["label"]) for r in found} == {(1, "proprietary")} and max(r["containment"] for r in found) == 1
+    assert licenses.blocks(none).count() == 0
 
 
 # --- 8
@@ -344,6 +361,16 @@ def test_added_kinds_and_redaction(spark):
     assert clean[5]["n_chars"] == len(clean[5]["text"]) and pii.redact(docs).columns == docs.columns
 
 
+def test_cards_beside_each_other(spark):
+    texts = ["4111-1111-1111-1111 5500000000000004", "5500 0000 0000 0004 12", "378282246310005 371449635398431"]
+    texts += ["4111 1111 1111 1111", "4111-1111-1111-1112 5500000000000005", "order 4111111111111111 5500000000000004"]
+    docs = table(spark, texts)
+    spans = [r["spans"] for r in pii.digests(pii.find(docs)).orderBy("doc_id").collect()]
+    assert spans == ["pan:0:19,pan:20:36", "pan:0:19", "pan:0:15,pan:16:31", "card:0:19", "", ""]
+    clean = [r["text"] for r in pii.redact(docs).orderBy("doc_id").collect()]
+    assert clean[:4] == ["[PAN] [PAN]", "[PAN] 12", "[PAN] [PAN]", "[CARD]"] and clean[4:] == texts[4:]
+
+
 def test_account_numbers_before_capitals_and_digits(spark):
     plain, grouped = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
     british, french = "GB29 NWBK 6016 1331 9268 19", "FR1420041010050500013M02606"
@@ -561,6 +588,24 @@ def test_chat_odd_rows(spark):
     assert chat.format_chats(df.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_viterbi_against_all_paths(seed):
+    rng = np.random.default_rng(seed)
+    n, roles = 6, len(chat.ROLES)
+    scores, step, entry = rng.normal(size=(n, roles)), rng.normal(size=(roles, roles)), rng.normal(size=roles)
+    begins = (rng.random(n) < 0.6).astype(np.int64)
+    last = None if seed % 2 else int(rng.integers(roles))
+
+    def worth(path):
+        ways = [entry[path[0]] if not begins[0] else max(entry[r] + step[r, path[0]] for r in range(roles))]
+        ways += [step[a, b] if own else 0.0 if a == b else -np.inf for a, b, own in zip(path, path[1:], begins[1:])]
+        return sum(ways) + sum(scores[i, r] for i, r in enumerate(path))
+
+    paths = [p for p in itertools.product(range(roles), repeat=n) if last in (None, p[-1])]
+    got = tuple(chat.viterbi(scores, begins, step, entry, last).tolist())
+    assert got in paths and worth(got) == pytest.approx(max(map(worth, paths)))
+
+
 def test_long_conversation_is_cut_without_a_trace(spark):
     rows = [(1, i, "user" if i % 2 else None, f"sure, {i}\nAssistant: and {i}") for i in range(600)]
     marked = chat.lines(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))

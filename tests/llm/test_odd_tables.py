@@ -3,9 +3,11 @@
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
-from tagseries.llm import hashing_search, pivot_search, shingles, toxicity
+from tagseries.llm import hashing_search, packing, pivot_search, shingles, token_files, toxicity
 
 X, Y, Z = ("one two three four five six seven", "a b c d e f g h", "red green blue white black pink grey")
 
@@ -70,3 +72,38 @@ def test_column_names_clash_whatever_their_case(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string, P_TOXIC double")
     labels = spark.createDataFrame([(0, 1, 0), (1, 0, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.accepted(table, labels).columns == table.columns
+
+
+def test_a_row_with_most_copies_is_packed_in_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 100)
+    rows = docs(spark, [(7, "a b c")]).crossJoin(spark.range(3000).select()).unionAll(docs(spark, [(i, "x y") for i in range(200)]))
+    pieces = packing.cut(rows.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    sizes = [r["count"] for r in pieces.groupBy("pack_group").count().collect()]
+    assert sum(sizes) == 3200 and max(sizes) < 800
+    packed = packing.pack(pieces).toPandas()
+    assert len(packed) == 3200 and packed.groupby("sequence_id")["length"].sum().max() <= 1024
+
+
+def test_an_id_of_most_rows_is_written_by_many_tasks(spark, tmp_path):
+    rows = docs(spark, [(7, f"text {i}") for i in range(2000)] + [(i, "x y") for i in range(200)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as many tasks as a large table has
+    try:
+        token_files.write_tokens(rows, str(tmp_path / "t"), public_tokenizers.path("byte_bpe_50k.json"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    written = spark.read.parquet(str(tmp_path / "t")).groupBy("part").agg(F.sum("n_ids").alias("n")).toPandas()
+    assert written["n"].max() < 0.6 * written["n"].sum()
+    back = token_files.read_tokens(spark, str(tmp_path / "t")).toPandas().sort_values("start")
+    assert len(back) == 2200 and (back["doc_id"].diff().dropna() >= 0).all()
+    assert (back["start"].diff().dropna().to_numpy() == back["ids"].map(len).to_numpy()[:-1] // 4).all()
+
+
+def test_equal_signatures_shrink_before_the_shuffle(spark, monkeypatch):
+    base = [f"w{i}" for i in range(400)]
+    near = [(i, " ".join(base[:200] + [f"x{i}"] + base[201:])) for i in range(300)]
+    far = [(1000 + i, " ".join(f"y{i}z{j}" for j in range(30))) for i in range(20)]
+    for held, slot in ((shingles.HELD, shingles.SLOT), (500, 1000)):
+        monkeypatch.setattr(shingles, "HELD", held)
+        monkeypatch.setattr(shingles, "SLOT", slot)
+        got = shingles.near_groups(docs(spark, near + far), 4, 85, 100).toPandas().set_index("doc_id")["component_id"]
+        assert (got[got.index < 1000] == 0).all() and all(got[i] == i for i, _ in far)
