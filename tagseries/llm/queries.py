@@ -63,7 +63,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.cut(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
-@register("op8_ngram_jaccard")
+@register("op8_ngram_jaccard", shingles.GROUPS_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and near-duplicate group of each document."""
     return shingles.near_groups(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
@@ -87,7 +87,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-@register("op6_pivot_top_k")
+@register("op6_pivot_top_k", pivot_search.TOP_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest integer inner products of every vector whose id is divisible by 50."""
     return pivot_search.search(table(spark, sf_dir, "embeddings"), every=50, k=5)

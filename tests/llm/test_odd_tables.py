@@ -2,12 +2,13 @@
 
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tagseries.llm import hashing_search, packing, pivot_search, shingles, token_files, toxicity
+from tagseries.llm import hashing_search, packing, pivot_search, queries, shingles, token_files, toxicity
 
 X, Y, Z = ("one two three four five six seven", "a b c d e f g h", "red green blue white black pink grey")
 
@@ -107,3 +108,13 @@ def test_equal_signatures_shrink_before_the_shuffle(spark, monkeypatch):
         monkeypatch.setattr(shingles, "SLOT", slot)
         got = shingles.near_groups(docs(spark, near + far), 4, 85, 100).toPandas().set_index("doc_id")["component_id"]
         assert (got[got.index < 1000] == 0).all() and all(got[i] == i for i, _ in far)
+
+
+@pytest.mark.parametrize("name", ["op6_pivot_top_k", "op8_ngram_jaccard"])
+def test_queries_against_duckdb(spark, sf_dir, name):
+    duck = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    want = duck.execute(queries.ORACLE[name])
+    names = [c[0] for c in want.description]
+    assert sorted(map(tuple, queries.QUERIES[name](spark, sf_dir).select(names).collect())) == sorted(want.fetchall())
