@@ -1,6 +1,6 @@
 """Token-id files of patched frame-of-reference blocks.
 
-Ids are written in ascending document order (null ids first, equal ones by text), an end id after each document, as a
+Ids are written in ascending document order (null ids first, equal ones by a hash of the text), an end id after each document, as a
 sequence of shards. A shard is a self-contained file image of whole documents::
 
     magic "PFOR", version, documents, ids, blocks                                  5 x uint32
