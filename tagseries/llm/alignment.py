@@ -143,10 +143,16 @@ def overlaps(start_a, end_a, doc_a, start_b, end_b, doc_b) -> tuple[np.ndarray,
     return i[once], j[once]
 
 
-def _joined(names: pa.Array, ids: np.ndarray, group: np.ndarray, groups: int) -> pa.Array:
+def _edges(tokens: int, closing: np.ndarray) -> np.ndarray:
+    """First token of each group, and their number, given the tokens that close a group (in any order, repeated)."""
+    closes = np.zeros(tokens, bool)
+    closes[closing] = True
+    return np.concatenate(([0], np.flatnonzero(closes) + 1))
+
+
+def _joined(names: pa.Array, ids: np.ndarray, edges: np.ndarray) -> pa.Array:
     """Decimal ids of each group, comma-joined."""
-    edges = np.searchsorted(group, np.arange(groups + 1)).astype(np.int32)
-    return pc.binary_join(pa.ListArray.from_arrays(pa.array(edges), names.take(pa.array(ids))), ",")
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), names.take(pa.array(ids))), ",")
 
 
 class Block:
@@ -177,29 +183,26 @@ class Block:
         ids_a, doc_a, start_a, end_a, n_a = side(a, ids_a, first_a)
         ids_b, doc_b, start_b, end_b, n_b = side(b, ids_b, first_b)
         i, j = overlaps(start_a, end_a, doc_a, start_b, end_b, doc_b)
-        common = np.unique(end_a[i[end_a[i] == end_b[j]]])
-        group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
-        groups = len(common)
-        text_of = pc.binary_join_element_wise(
-            _joined(a.names, ids_a, group_a, groups), _joined(b.names, ids_b, group_b, groups), "|"
-        )
-        last_b = np.searchsorted(group_b, np.arange(groups + 1))
-        doc_of = doc_b[last_b[:-1]]
+        both = end_a[i] == end_b[j]
+        edges_a, edges_b = _edges(len(ids_a), i[both]), _edges(len(ids_b), j[both])
+        text_of = pc.binary_join_element_wise(_joined(a.names, ids_a, edges_a), _joined(b.names, ids_b, edges_b), "|")
+        doc_of = doc_b[edges_b[:-1]]
         n_groups = np.bincount(doc_of, minlength=n)
         edges = np.concatenate(([0], np.cumsum(n_groups[row]))).astype(np.int32)
         whole = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges), text_of), ";")
         sha = [""] * n
         for r, s in zip(row.tolist(), whole.to_pylist(), strict=True):
             sha[r] = hashlib.sha256(s.encode()).hexdigest()
-        partners = np.diff(last_b)[group_a]
+        own = np.diff(edges_a)
+        partners, first_of = np.repeat(np.diff(edges_b), own), np.repeat(edges_b[:-1], own)
         n_links = np.bincount(doc_a, weights=partners, minlength=n).astype(np.int64)
         n_overlaps = np.bincount(doc_a[i], minlength=n)
         self.rows.append((batch.column("doc_id"), n_a, n_b, n_groups, n_links, n_overlaps, sha))
-        self._links(doc_a + self.number, ids_a * b.size, partners, last_b[group_a], ids_b)
+        self._links(doc_a + self.number, ids_a * b.size, partners, first_of, ids_b, a.size * b.size)
         self.bytes += int(at[-1])
         self.number += n
 
-    def _links(self, doc, ids_a, partners, first_b, ids_b) -> None:
+    def _links(self, doc, ids_a, partners, first_b, ids_b, pairs: int) -> None:
         """Distinct (document, pair) of all links with their number, a slice of A tokens at a time."""
         done, total = 0, np.concatenate(([0], np.cumsum(partners)))
         while done < len(doc):
@@ -207,7 +210,7 @@ class Block:
             part = slice(done, stop)
             own = np.repeat(np.arange(done, stop), partners[part])
             pair = ids_a[own] + ids_b[first_b[own] + ragged(partners[part])]
-            self.parts.append((*_counted(doc[own], pair),))
+            self.parts.append(_counted(doc[own], pair, pairs))
             done = stop
 
     def row(self, name: int) -> pa.RecordBatch:
@@ -246,12 +249,12 @@ _RESULT = (
 )
 
 
-def _counted(doc: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (document, pair), ascending, with their numbers."""
-    order = np.lexsort((pair, doc))
-    doc, pair = doc[order], pair[order]
-    at = np.flatnonzero(np.concatenate(([True], (np.diff(doc) != 0) | (np.diff(pair) != 0))))
-    return doc[at], pair[at], np.diff(np.append(at, len(doc)))
+def _counted(doc: np.ndarray, pair: np.ndarray, pairs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (document, pair), ascending, with their numbers; a pair is a number below ``pairs``."""
+    key = np.sort(doc * pairs + pair)  # a block's documents times two vocabularies stay far below 2**63
+    at = np.flatnonzero(np.append(True, np.diff(key) != 0)[: len(key)])
+    doc, pair = np.divmod(key[at], pairs)
+    return doc, pair, np.diff(np.append(at, len(key)))
 
 
 def _squeezed(x: np.ndarray) -> bytes:
