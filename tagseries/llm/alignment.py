@@ -42,7 +42,7 @@ BLOCK = 8 << 20
 #: Links that are spread out at once.
 SLICE = 2_000_000
 #: Distinct strings a worker remembers per tokenizer.
-MEMO = 300_000
+MEMO = 600_000
 
 
 class Side:
