@@ -11,9 +11,10 @@ link when |A and B| / |A or B| >= ``similarity`` (a fraction of integers, compar
    in. A subset without features says nothing and is no signature. ``SPARE`` more parts than needed make up for it: of
    a similar pair's parts, at least that many and one more hold at most one difference. A set in which more parts than
    that have a subset without features also emits the signatures of another cutting of the domain.
-2. *Candidates.* Sets that share a signature are tied to the least of them, not paired with each other. The groups
-   these ties form hold all candidates. Where chance ties chain many sets to a large group, the sets tied to one set
-   are a group each instead. Most documents share no signature and take no further part.
+2. *Candidates.* Sets that share a signature are tied to the least of all that have it, not paired with each other. The
+   groups these ties form hold all candidates. Where chance ties chain many sets to a large group, the sets tied to one
+   set are a group each instead: any two that share a signature are tied to the same set by it, so these groups hold
+   all candidates too, and either form finds all links. Most documents share no signature and take no further part.
 3. *Links.* Inside a group the sets are compared exactly. Features of one set alone bound what it can share; what is
    linked to the most common set needs no comparison with each other. A large group is cut into segments, each pair of
    which is compared by one task, so memory is bounded whatever the group's size. Only links that join something are
@@ -34,6 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -184,6 +186,14 @@ def _fingerprint(sets: list[np.ndarray], size: np.ndarray, salt: np.uint64) -> n
     return mix((total[end] - total[end - size]) ^ size.astype(_U))
 
 
+def _distinct(signatures: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows without repeated ones, by signature."""
+    order = np.lexsort((owners, signatures))
+    sig, own = signatures[order], owners[order]
+    new = np.append(True, (sig[1:] != sig[:-1]) | (own[1:] != own[:-1]))[: len(sig)]
+    return sig[new], own[new]
+
+
 def least_of(signatures: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(rows of signature and its least owner, by signature; distinct rows of another owner and that least one)."""
     order = np.argsort(signatures)
@@ -201,29 +211,34 @@ def least_of(signatures: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np
 def ties(
     docs: DataFrame, words: int, num: int, den: int, features: int, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """(a, b): sets, by h1, that share a signature, tied to the least set of that signature.
+    """(a, b): sets, by h1, that share a signature, each tied to the least set of all that have that signature.
 
     Signatures travel as packed numbers, one blob per slot and some megabytes of input, and a task handles one slot
     at a time. There are as many slots as the ``features`` of all documents need, each a range of signatures. Of the sets
-    of one signature a blob holds the least only: the others are tied to it before the shuffle, so a signature that a
-    third of all sets share has one entry per blob.
+    of one signature a blob holds the least only, so a signature that a third of all sets share has one entry per blob.
+    Its other sets wait under the number of their ``source``, the input that blob comes from, until the slot has told
+    that source the least set of all: no two sets of a signature are ever tied to different ones.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slots = max(4 * parts, -(-features // SLOT))
+    tasks = max(parts, -(-slots // SLOTS))
+    several = _U(1)  # lowest bit of a signature in a slot: its source has more sets of it
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer, seen, signatures, owners, held = Signatures(num, den), set(), [], [], 0
+        source = TaskContext.get().partitionId() << 32
 
         def blobs() -> pa.RecordBatch:
-            pairs, found = least_of(np.concatenate(signatures), np.concatenate(owners))
-            slot = ((pairs[:, 0] >> _U(32)) * _U(slots) >> _U(32)).astype(np.int64)  # in ascending order
+            least, waiting = shared(np.concatenate(signatures) & ~several, np.concatenate(owners))
+            slot = ((least[:, 0] >> _U(32)) * _U(slots) >> _U(32)).astype(np.int64)  # in ascending order
             some, first = np.unique(slot, return_index=True)
-            if len(found):  # ties need no further meeting: they lie in slots of their own
-                some = np.append(some, slots + int(found[0, 0] % _U(slots)))
-                first = np.append(first, len(pairs))
-            at = np.append(first, len(pairs) + len(found)) * 16
+            if len(waiting):
+                some = np.append(some, slots + source % slots)
+                first = np.append(first, len(least))
+            at = np.append(first, len(least) + len(waiting)) * 16
+            data = binary(np.concatenate([least, waiting]).view(np.uint8), at)
             return pa.RecordBatch.from_arrays(
-                [pa.array(some), binary(np.concatenate([pairs, found]).view(np.uint8), at)], ["slot", "data"]
+                [pa.array(some), pa.array(np.full(len(some), source)), data], ["slot", "source", "data"]
             )
 
         for batch in pieces(batches, "text"):
@@ -241,31 +256,79 @@ def ties(
             if held > HELD:
                 yield blobs()
                 signatures, owners, held = [], [], 0
+                source += 1
         if held:
             yield blobs()
 
+    def shared(sig: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(signature, marked if several sets have it, and its least set; all rows of the signatures of several)."""
+        least, _ = least_of(sig, own)
+        sig, own = _distinct(sig, own)
+        many = np.diff(np.append(np.searchsorted(sig, least[:, 0]), len(sig))) > 1
+        rows = np.stack([sig, own], 1)[many[np.searchsorted(least[:, 0], sig)]]
+        least[many, 0] |= several
+        return least, rows
+
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slot, held = None, []
+        slot, held, origin = None, [], []
+
+        def packed(source: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+            """One row per source, given in ascending order."""
+            some, first = np.unique(source, return_index=True)
+            data = binary(np.ascontiguousarray(rows).view(np.uint8), np.append(first, len(rows)) * 16)
+            return pa.RecordBatch.from_arrays([pa.array(some), data], ["source", "data"])
+
+        def tied() -> Iterator[pa.RecordBatch]:
+            rows = np.frombuffer(b"".join(held), _U).reshape(-1, 2)
+            source = np.repeat(np.array(origin, np.int64), [len(h) // 16 for h in held])
+            mark, sig = (rows[:, 0] & several).astype(bool), rows[:, 0] & ~several
+            least, pairs = least_of(sig, rows[:, 1])
+            if len(pairs):
+                yield packed(np.full(len(pairs), -1 - slot), pairs)
+            of = least[np.searchsorted(least[:, 0], sig), 1]
+            told = np.flatnonzero(mark & (of != rows[:, 1]))
+            told = told[np.argsort(source[told], kind="stable")]
+            if len(told):
+                yield packed(source[told], np.stack([sig[told], of[told]], 1))
+
+        for batch in batches:  # sorted by slot
+            for i, (s, source) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("slot", "source")), strict=True)):
+                if s != slot and held:
+                    yield from tied()
+                    held, origin = [], []
+                if s < slots:
+                    held.append(batch.column("data")[i].as_py())
+                    origin.append(source)
+                else:
+                    one = batch.slice(i, 1)
+                    yield pa.RecordBatch.from_arrays([one.column("source"), one.column("data")], ["source", "data"])
+                slot = s
+        if held:
+            yield from tied()
+
+    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source, held = None, []
 
         def tied() -> pa.RecordBatch:
             pairs = np.frombuffer(b"".join(held), _U).reshape(-1, 2)
-            if slot < slots:
+            if source >= 0:  # signatures and sets of one source, and the least sets it was told
                 _, pairs = least_of(pairs[:, 0], pairs[:, 1])
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, i].astype(np.int64)) for i in (0, 1)], ["a", "b"])
 
-        for batch in batches:  # sorted by slot
-            for i, s in enumerate(batch.column("slot").to_pylist()):
-                if held and s != slot:
+        for batch in batches:  # sorted by source
+            for i, s in enumerate(batch.column("source").to_pylist()):
+                if held and s != source:
                     yield tied()
                     held = []
-                slot = s
+                source = s
                 held.append(batch.column("data")[i].as_py())
         if held:
             yield tied()
 
-    blobs = _input(docs, text, key).filter("doc_id IS NOT NULL").mapInArrow(emit, "slot long, data binary")
-    blobs = blobs.repartition(max(parts, -(-slots // SLOTS)), "slot")
-    return blobs.sortWithinPartitions("slot").mapInArrow(tie, "a long, b long")
+    blobs = _input(docs, text, key).filter("doc_id IS NOT NULL").mapInArrow(emit, "slot long, source long, data binary")
+    blobs = blobs.repartition(tasks, "slot").sortWithinPartitions("slot")
+    told = blobs.mapInArrow(tie, "source long, data binary").repartition(tasks, "source")
+    return told.sortWithinPartitions("source").mapInArrow(resolve, "a long, b long")
 
 
 class Forest:
@@ -398,7 +461,9 @@ def links(docs: DataFrame, words: int, num: int, den: int, groups: DataFrame) ->
 def candidate_groups(classes: DataFrame, tied: DataFrame, found: DataFrame) -> DataFrame:
     """doc_id, n_shingles, cluster: one document per distinct set and candidate group.
 
-    A group is what ties connect, or where that has more features than a task should hold, each set's own ties.
+    A group is what ties connect, or where that has more features than a task should hold, the sets tied to each set.
+    All sets of a signature are tied to one of them, so both forms bring any two sets that share a signature together
+    and lead to the same links; the second only spares comparing what ties connect by way of others.
     """
     own = classes.join(found, classes["h1"] == found["node"])
     own = own.select(F.col("first").alias("doc_id"), "n_shingles", "node", "root")

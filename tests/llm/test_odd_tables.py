@@ -1,5 +1,6 @@
 """Repeated ids, odd vectors and clashing names in the corpus operators."""
 
+import random
 from collections import defaultdict
 
 import duckdb
@@ -118,3 +119,33 @@ def test_queries_against_duckdb(spark, sf_dir, name):
     want = duck.execute(queries.ORACLE[name])
     names = [c[0] for c in want.description]
     assert sorted(map(tuple, queries.QUERIES[name](spark, sf_dir).select(names).collect())) == sorted(want.fetchall())
+
+
+def test_links_do_not_depend_on_how_sets_are_dealt(spark, monkeypatch):
+    """Sets of one signature meet, whichever parts of the input they lie in and however large their group is."""
+    rng, words = random.Random(8), [f"w{i}" for i in range(120)]
+
+    def edited(text, edits):
+        at = rng.sample(range(4, len(text) - 4, 4), edits)
+        return [f"x{rng.randrange(10**9)}" if i in at else w for i, w in enumerate(text)]
+
+    texts = [edited(words, 2) for _ in range(500)]  # alike, but few are linked
+    texts += [edited(t, 1) for t in texts[::10]]  # linked with one of them
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [{tuple(t[i : i + 4]) for i in range(len(t) - 3)} for t in texts]
+    want = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= 85 * len(a | b) and want[i] != want[j]:
+                old, new = max(want[i], want[j]), min(want[i], want[j])
+                want = [new if r == old else r for r in want]
+    assert 200 < len(set(want)) <= 500
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for segment, parts in ((shingles.SEGMENT, 2), (20_000, 2)):
+            monkeypatch.setattr(shingles, "SEGMENT", segment)
+            got = shingles.near_groups(docs(spark, rows).repartition(parts, "doc_id"), 4, 85, 100).toPandas()
+            assert got.set_index("doc_id")["component_id"].sort_index().tolist() == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
