@@ -101,8 +101,23 @@ def onboard(points: DataFrame, meas: DataFrame, meta: DataFrame | None = None) -
     the name, so running twice creates nothing twice. A series that had been deleted gets its id
     back with a later update than the deletion, so the new row is the one that counts.
     """
-    known = measurements(meas).select(F.col("name").alias("series_name"))
-    fresh = infer_datatype(points).filter(F.col("series_name") != "").join(known, "series_name", "left_anti")
+    return created_series(met_series(infer_datatype(points), meas), meta)
+
+
+def met_series(inferred: DataFrame, meas: DataFrame) -> DataFrame:
+    """The series of ``infer_datatype`` with what the registry knows of each: ``known`` (whether it is active), ``uuid``
+    and ``known_type``, ``gone`` (last update of any version). The registry comes to the series' own shuffle."""
+    known = measurements(meas).select(
+        F.col("name").alias("series_name"), "uuid", F.col("datatype").alias("known_type"), F.lit(True).alias("known")
+    )
+    gone = meas.groupBy(F.col("name").alias("series_name")).agg(F.max("updated_at").alias("gone"))
+    met = inferred.filter(F.col("series_name") != "")
+    return met.join(known, "series_name", "left").join(gone, "series_name", "left")
+
+
+def created_series(met: DataFrame, meta: DataFrame | None = None) -> DataFrame:
+    """Registry rows of the series of ``met_series`` that are not active."""
+    fresh = met.filter("known IS NULL").select("series_name", "datatype", "first_ms", F.col("gone").alias("__gone"))
     text_map = "map<string,string>"
     if meta is not None:
         pending = meta.select(F.col("tag_path").alias("series_name"), F.col("properties").alias("__meta"))
@@ -111,8 +126,6 @@ def onboard(points: DataFrame, meas: DataFrame, meta: DataFrame | None = None) -
         fresh = fresh.withColumn("__meta", F.lit(None).cast(text_map))
     rest = F.map_filter("__meta", lambda k, v: k != "description")
     first = F.timestamp_millis("first_ms")
-    gone = meas.groupBy(F.col("name").alias("series_name")).agg(F.max("updated_at").alias("__gone"))
-    fresh = fresh.join(gone, "series_name", "left")
     return fresh.select(
         name_uuid("series_name").alias("uuid"),
         F.col("series_name").alias("name"),

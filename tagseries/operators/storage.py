@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.ids import name_uuid
 from ..functions.paths import stored_path
 from ..functions.time import check_range, part_bounds
 from ..functions.values import GOOD_CODE, datatype_of, has_value, quality_to_status
@@ -160,8 +161,82 @@ def write_points(
     write_refused(checked, refused or refused_path(path), batch)
 
 
+def write_requested(df: DataFrame, known: DataFrame, path: str, batch: str, grain: str, every_write: bool) -> None:
+    """``write_points`` for ``named_points`` whose values have one datatype and whose series are all in the registry:
+    those in ``known`` (series_name, uuid, known_type) as it says, all others just created from these points.
+
+    The id of a created series follows from its name and its datatype is that of its values, so the points meet only
+    the known series among their own, however long the registry is, and an id is worked out behind the shuffles
+    instead of travelling through them.
+    """
+    listed = known.select("series_name", F.col("uuid").alias("__uuid"), "known_type", F.lit(True).alias("__listed"))
+    rows = _carried(df).join(listed, "series_name", "left")
+    lost = F.when(F.col("__listed"), F.col("__uuid").isNull()).otherwise(F.col("series_name") == "")
+    checked = rows.withColumn("reason", _refusal(lost)).drop("known_type")
+    if every_write:  # cut by range, which reads its input twice
+        checked = written(checked)
+    new = F.when(F.col("__listed").isNull() & (F.col("series_name") != ""), name_uuid("series_name"))
+    uuid = F.coalesce(F.when(F.col("__listed"), F.col("__uuid")), new)
+    full = {"measurement_uuid": uuid, "status": quality_to_status("quality_code")}
+    live.check_grain(live.entries(df.sparkSession, path), grain)
+    stored = checked.filter(F.col("reason").isNull()).drop("reason", "attempt")
+    if not every_write:
+        stored = stored.withColumn("__hash", F.xxhash64("series_name"))  # names begin alike, which sorts slowly
+        stored = last_writes(stored, ("__hash", "series_name", "ts_ms"), [c for c in ("seq", "place") if c in df.columns])
+        stored = stored.drop("__hash")
+    part = _part(F.col("ts_ms"), grain)
+    laid = stored.drop("place").repartitionByRange(part, uuid, "ts_ms", "seq").withColumns({**full, "part": part})
+    laid = conform(laid, F.col("part")).sortWithinPartitions("part", *INSTANT, "seq")
+    live.write(laid, path, batch, grain)
+    write_refused(checked.filter(F.col("reason").isNotNull()).withColumns(full), refused_path(path), batch)
+
+
+def write_by_path(
+    df: DataFrame, paths: DataFrame, path: str, batch: str, grain: str, every_write: bool, largest: int, some_refused: bool
+) -> None:
+    """``write_points`` for points with a ``qpath`` whose values have one datatype; ``paths`` (qpath, series_name, uuid,
+    known_type) holds all of their paths and fits a broadcast table.
+
+    No series has more points than ``largest``; if those fit one task, the shuffle that lays the points out also brings
+    the writes of an instant together. ``some_refused`` is false if no point is refused.
+    """
+    listed = paths.withColumnRenamed("uuid", "measurement_uuid").withColumnRenamed("qpath", "__path")
+    checked = _carried(df, "qpath").join(F.broadcast(listed), F.col("qpath").eqNullSafe(F.col("__path")), "left")
+    checked = checked.withColumn("reason", _refusal(F.col("measurement_uuid").isNull())).drop("qpath", "__path", "known_type")
+    stored = checked.filter(F.col("reason").isNull()).drop("reason", "attempt")
+    by = [c for c in ("seq", "place") if c in df.columns]
+    live.check_grain(live.entries(df.sparkSession, path), grain)
+    order = ["part", *INSTANT, "seq"]
+    if not every_write and largest > ONE_TASK:
+        stored = last_writes(stored, INSTANT, by)
+    laid = stored.withColumn("part", _part(F.col("ts_ms"), grain))
+    if every_write or largest > ONE_TASK:
+        laid = laid.drop("place").repartitionByRange(*order)
+    else:
+        order = order[:-1]  # as the window sorts
+        laid = last_writes(laid.repartitionByRange(*order), order, by)
+    laid = laid.withColumn("status", quality_to_status("quality_code"))
+    live.write(conform(laid, F.col("part")).sortWithinPartitions(*order), path, batch, grain)
+    refused = checked.filter(F.col("reason").isNotNull()).withColumn("status", quality_to_status("quality_code"))
+    write_refused(refused if some_refused else refused.limit(0), refused_path(path), batch)
+
+
+def _carried(df: DataFrame, *more: str) -> DataFrame:
+    """The points with a value, in the columns from which the stored ones follow."""
+    derived = ("measurement_uuid", "status", *(["series_name"] if more else []))
+    kept = [c for c in df.columns if c in (*POINTS.names, "place", "attempt") and c not in derived]
+    return df.filter(has_value()).select(*kept, *more)
+
+
+def _refusal(lost: Column) -> Column:
+    reason = F.when(F.col("ts_ms").isNull(), NO_TIMESTAMP).when(lost, NO_SERIES)
+    return reason.when(datatype_of() != F.col("known_type"), WRONG_TYPE)
+
+
 # What tells writes of one instant apart: the number of the write, then the arrival and the place in the request.
 INSTANT = ("measurement_uuid", "ts_ms")
+#: Points of one series that a task may meet at once.
+ONE_TASK = 2_000_000
 
 
 def write_resolved(

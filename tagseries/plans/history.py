@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import supported_aggregates
-from ..functions.paths import folder_prefix
+from ..functions.ids import name_uuid
+from ..functions.paths import folder_prefix, stored_path
 from ..functions.time import period_for_buckets, relative_range
-from ..functions.values import GOOD_CODE, VALUE_COLUMN
+from ..functions.values import BOOLEAN, GOOD_CODE, NUMBER, STRING, VALUE_COLUMN, has_value
 from ..operators.aggregate import aggregate, last_values
 from ..operators.browse import browse
 from ..operators.metadata import merge_metadata
 from ..operators.raw import assume_good, by_uuid, concat_series, first_from, latest, raw_points, restrict
-from ..operators.registry import DELETED, EVICTED, onboard
+from ..operators.registry import DELETED, EVICTED, created_series, infer_datatype, met_series, onboard
 from ..operators.resolve import (
     lookup_nodes,
     missing_keys,
@@ -27,8 +28,17 @@ from ..operators.resolve import (
     with_asset_series,
 )
 from ..operators.shape import check_format, wide
-from ..operators.storage import compact_points, named_points, path_names, read_points, write_points
+from ..operators.storage import (
+    compact_points,
+    named_points,
+    path_names,
+    read_points,
+    write_by_path,
+    write_points,
+    write_requested,
+)
 from ..schema import ASSETS
+from ..session import written
 from ..sources.ingest import from_parallel_arrays, from_tag_matrix
 from ..sources.tables import (
     compact_registry,
@@ -42,6 +52,8 @@ from ..sources.tables import (
 
 # Gap treatment by fill mode name; DERIVED leaves empty buckets out.
 FILL_MODES = {"DERIVED": "none", "NONE": "none", "NULL": "null", "PREVIOUS": "previous", "LINEAR": "linear"}
+#: Paths of a batch up to which their names and series are broadcast, some 150 MB.
+FEW_PATHS = 1_000_000
 DEFAULT_AGGREGATE, LAST_VALUE = "Average", "LastValue"
 
 
@@ -389,6 +401,13 @@ def store_points(
     write_points(points, registry_reader(spark, registry), path, batch, grain, every_write=every_write)
 
 
+def _ids_taken(met: DataFrame, before: DataFrame) -> bool:
+    """Whether a new series gets the id that a series of another name has."""
+    others = before.filter(F.col("uuid") != F.coalesce(name_uuid("name"), F.lit(""))).select("uuid").distinct()
+    new = met.filter("known IS NULL").select(name_uuid("series_name").alias("uuid"))
+    return not others.isEmpty() and not new.join(others, "uuid", "left_semi").isEmpty()
+
+
 def store_requests(
     requests: DataFrame,
     form: str,
@@ -409,10 +428,52 @@ def store_requests(
     if form not in forms:
         raise ValueError(f"unknown request form: {form}")
     rows = forms[form](requests)
-    points = named_points(rows, collector, path_names(rows, collector)).withColumn(
-        "seq", F.col("seq") if "seq" in requests.columns else F.lit(0)
+    rows = rows.withColumn("seq", F.col("seq") if "seq" in requests.columns else F.lit(0))
+    if "variant" in requests.schema["values"].dataType.simpleString():  # a series may get values of several types
+        points = named_points(rows, collector, path_names(rows, collector))
+        return store_points(points, registry, path, batch, meta, grain, every_write)
+    spark, rows = requests.sparkSession, rows.filter(has_value())  # nothing else is stored or refused
+    before = registry_reader(spark, registry, skip_batch=batch)
+    paths, few = None, rows.agg(F.approx_count_distinct("qpath")).first()[0] <= FEW_PATHS
+    if few:  # requests are taken apart once, and what depends on a path is worked out once per path
+        rows = written(rows)
+        paths = written(_paths(rows, collector))
+        of = paths.groupBy("series_name")
+        inferred = of.agg(F.max("datatype").alias("datatype"), F.min("first_ms").alias("first_ms"))
+    else:  # a table of paths would be as long as the points
+        inferred = infer_datatype(named_points(rows, collector))
+    met = written(met_series(inferred, before))
+    write_registry(created_series(met, meta), registry, batch)
+    if _ids_taken(met, before):
+        points = named_points(rows, collector)
+        write_points(points, registry_reader(spark, registry), path, batch, grain, every_write=every_write)
+    elif few:
+        ids = F.when(F.col("known"), F.col("uuid")).otherwise(name_uuid("series_name")).alias("uuid")
+        listed = paths.join(met.select("series_name", ids, "known_type"), "series_name", "left")
+        odd = F.col("uuid").isNull() | (F.col("points") > F.col("timed")) | (F.col("kind") != F.col("known_type"))
+        refused = not listed.filter(odd).isEmpty()
+        largest = paths.groupBy("series_name").agg(F.sum("points").alias("n")).agg(F.max("n")).first()[0] or 0
+        listed = listed.select("qpath", "series_name", "uuid", "known_type")
+        write_by_path(rows, listed, path, batch, grain, every_write, largest, refused)
+    else:
+        known = written(met.filter("known").select("series_name", "uuid", "known_type"))
+        write_requested(named_points(rows, collector), known, path, batch, grain, every_write)
+
+
+def _paths(rows: DataFrame, collector: str) -> DataFrame:
+    """The paths of points of one datatype: ``series_name``, numbers of all ``points`` and of those ``timed``, their
+    ``kind`` and, as ``infer_datatype`` has them, ``datatype`` and ``first_ms``."""
+    found = rows.groupBy("qpath").agg(
+        F.count("*").alias("points"),
+        F.count("ts_ms").alias("timed"),
+        F.min("ts_ms").alias("first_ms"),
+        F.count("value_bool").alias("__bool"),
+        F.count("value_num").alias("__num"),
     )
-    store_points(points, registry, path, batch, meta, grain, every_write)
+    kind = F.when(F.col("__bool") > 0, BOOLEAN).when(F.col("__num") > 0, NUMBER).otherwise(STRING)
+    name = F.coalesce(stored_path("qpath", collector), F.lit("")).alias("series_name")
+    datatype = F.when(F.col("timed") > 0, kind).alias("datatype")
+    return found.select("qpath", name, "points", "timed", kind.alias("kind"), datatype, "first_ms")
 
 
 def pending_metadata(requests: DataFrame, collector: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tagseries.operators import storage, telemetry
 from tagseries.operators.ordered import dedupe_last_write, only_changes
 from tagseries.operators.raw import time_range
+from tagseries.plans import history
 from tagseries.plans.history import pending_metadata, store_requests
 from tagseries.schema import OP_LOG, POINTS
 from tagseries.sources import ingest, tables
@@ -293,3 +294,45 @@ def test_replays_do_not_pile_up(spark, folder):
     for _ in range(4):
         streams.replay_quarantine(spark, q, registry, f"{folder}/p", f"{folder}/replay", once=True).awaitTermination()
     assert 3 <= spark.read.parquet(q).count() <= 9
+
+
+@pytest.mark.parametrize("every_write", [False, True])
+def test_requests_meet_only_the_known_series_among_them(spark, folder, monkeypatch, every_write):
+    """Few paths and many lead to the same rows, and the registry is not shuffled beside the points of either."""
+    q, meas = "sys:gw:/prov:default:/tag:", [measurement("Plant/default/old"), measurement("Plant/default/text", datatype="string")]
+    rows = []
+    for i, (name, at) in enumerate([("old", 0), ("new", 0), ("text", 0), ("new", 1), ("new", None), ("late", None)]):
+        base = None if at is None else BASE + at
+        rows += [([q + name, q + name, None], [float(i), i + 0.5, 1.0], [base, base, base], None, i // 2 if i else None)]
+    rows += [([q + "empty"], [None], [BASE], [192], 9), ([q + "new"] * 2, [7.0, None], [BASE, BASE], [64, 0], 1)]
+    asked = spark.createDataFrame(
+        rows, "paths array<string>, values array<double>, timestamps array<bigint>, qualities array<int>, seq bigint"
+    )
+    plans, write = [], storage.live.write
+
+    def kept(df, path, *args):
+        if path.endswith("points"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, path, *args)
+
+    monkeypatch.setattr(storage.live, "write", kept)
+    found = []
+    for few, one in ((10**6, 10**6), (10**6, 0), (0, 0)):
+        monkeypatch.setattr(history, "FEW_PATHS", few, raising=False)
+        monkeypatch.setattr(storage, "ONE_TASK", one, raising=False)
+        base = f"{folder}/{few}-{one}"
+        tables.write_registry(measurements(spark, meas), f"{base}/registry", "base")
+        store_requests(asked, "arrays", f"{base}/registry", f"{base}/points", "b", "Plant", grain="year", every_write=every_write)
+        stored = storage.read_points(spark, f"{base}/points", every_write=every_write)
+        names = ["series_name", "measurement_uuid", "ts_ms", "value_num", "quality_code", "status", "seq"]
+        refused = spark.read.parquet(storage.refused_path(f"{base}/points"))
+        series = tables.registry_reader(spark, f"{base}/registry")
+        found.append([values(stored, *names), values(refused, *names, "reason"), values(series, "name", "uuid", "datatype")])
+    assert found[0] == found[1] == found[2]
+    points, refused, series = found[0]
+    if not every_write:
+        assert {(r[0][14:], r[2] - BASE, r[3]) for r in points} == {("old", 0, 0.5), ("new", 0, 7.0), ("new", 1, 3.5)}
+    assert len(points) == (7 if every_write else 3)
+    assert sorted(r[-1] for r in refused) == ["datatype mismatch"] * 2 + ["no series"] * 4 + ["no timestamp"] * 6
+    assert {r[0][14:]: r[2] for r in series} == {"old": "number", "text": "string", "new": "number", "late": None}
+    assert all(p.count("Exchange ") + p.count("Exchange(") <= (2 if not every_write else 1) + p.count("BroadcastExchange") for p in plans)
