@@ -594,14 +594,14 @@ def bounds_stored(spark, sf):
     FROM points, b GROUP BY series_name, ts_ms - ts_ms % 86400000""",
 )
 def stream_window_corrected(spark, sf):
-    """Windows of a stream whose second file holds points of all days: those behind a watermark are counted as late,
+    """Windows of a stream whose second batch holds points of all days: those behind a watermark are counted as late,
     and the windows are those of all points."""
     base = shared_dir(spark)
     pts = tb.points(spark, sf)
     low = F.expr("CAST(element_at(tags, 'k10') AS INT)") < 3
-    for part in (pts.filter(~low), pts.filter(low)):
-        storage.conform(part).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    src = tables.point_stream(spark, f"{base}/in", POINTS_SCHEMA, files_per_trigger=1)
-    partials.stream_windows(src, f"{base}/out", f"{base}/checkpoint", "corrected", "24h", once=True).awaitTermination()
+    for part in (pts.filter(~low), pts.filter(low)):  # one batch each, of as many files as there are tasks
+        storage.conform(part).write.mode("append").parquet(f"{base}/in")
+        src = tables.point_stream(spark, f"{base}/in", POINTS_SCHEMA)
+        partials.stream_windows(src, f"{base}/out", f"{base}/checkpoint", "corrected", "24h", once=True).awaitTermination()
     out = partials.read_windows(spark, f"{base}/out", ["mean", "min", "max", "sum", "count", "last"])
     return out.withColumns({"mean": r6("mean"), "sum": r6("sum")})

@@ -336,3 +336,31 @@ def test_requests_meet_only_the_known_series_among_them(spark, folder, monkeypat
     assert sorted(r[-1] for r in refused) == ["datatype mismatch"] * 2 + ["no series"] * 4 + ["no timestamp"] * 6
     assert {r[0][14:]: r[2] for r in series} == {"old": "number", "text": "string", "new": "number", "late": None}
     assert all(p.count("Exchange ") + p.count("Exchange(") <= (2 if not every_write else 1) + p.count("BroadcastExchange") for p in plans)
+
+
+def test_each_batch_of_the_corrected_windows_has_many_files(spark, folder, monkeypatch):
+    """No task writes or reads a whole batch, and there are two batches all the same."""
+    from tagseries.plans import suite_store
+
+    rows = spark.range(0, 400, 1, 4).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod(F.col("id") * 37, F.lit(400)) * 3600).cast("timestamp_ntz").alias("ts"),
+        F.pmod("id", F.lit(3)).alias("user_id"),
+        F.lit("view").alias("event_type"),
+        F.col("id").cast("double").alias("value"),
+        F.format_string('{"k": %d}', F.pmod("id", F.lit(100))).alias("props"),
+    )
+    rows.write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(suite_store, "shared_dir", lambda _: f"{folder}/base")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # a task per file, as with large ones
+    try:
+        got = suite_store.stream_window_corrected(spark, folder).collect()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    points = [(i * 37 % 400, i % 100) for i in range(400)]
+    newest = max(h for h, k in points if k >= 30)
+    assert sum(r["late"] for r in got) == sum(k < 30 and h < newest for h, k in points)
+    assert sum(r["sum"] for r in got) == sum(range(400)) and sum(r["count"] for r in got) == 400
+    assert len(spark.read.schema(POINTS).parquet(f"{folder}/base/in").inputFiles()) == 8
+    assert sorted(n for n, _ in storage.live.children(spark, f"{folder}/base/out")) == ["added=0", "added=1"]
