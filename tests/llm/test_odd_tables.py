@@ -147,5 +147,7 @@ def test_links_do_not_depend_on_how_sets_are_dealt(spark, monkeypatch):
             monkeypatch.setattr(shingles, "SEGMENT", segment)
             got = shingles.near_groups(docs(spark, rows).repartition(parts, "doc_id"), 4, 85, 100).toPandas()
             assert got.set_index("doc_id")["component_id"].sort_index().tolist() == want
+        left = shingles.first_of_group(docs(spark, rows).repartition(2, "doc_id"), 4, 85, 100).collect()  # of the pipeline
+        assert sorted(r["doc_id"] for r in left) == sorted(set(want))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
