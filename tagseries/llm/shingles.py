@@ -11,10 +11,10 @@ link when |A and B| / |A or B| >= ``similarity`` (a fraction of integers, compar
    in. A subset without features says nothing and is no signature. ``SPARE`` more parts than needed make up for it: of
    a similar pair's parts, at least that many and one more hold at most one difference. A set in which more parts than
    that have a subset without features also emits the signatures of another cutting of the domain.
-2. *Candidates.* Sets that share a signature are tied to the least of all that have it, not paired with each other. The
-   groups these ties form hold all candidates. Where chance ties chain many sets to a large group, the sets tied to one
-   set are a group each instead: any two that share a signature are tied to the same set by it, so these groups hold
-   all candidates too, and either form finds all links. Most documents share no signature and take no further part.
+2. *Candidates.* Sets that share a signature are tied to the least of all that have it, not paired with each other. That
+   set and the sets tied to it are a group: any two that share a signature are tied to the same set by it, or one to the
+   other, so the groups hold all candidates. Ties are not followed further, so chance ties chain no groups, and groups
+   are formed alike in tables of any size. Most documents share no signature and take no further part.
 3. *Links.* Inside a group the sets are compared exactly. Features of one set alone bound what it can share; what is
    linked to the most common set needs no comparison with each other. A large group is cut into segments, each pair of
    which is compared by one task, so memory is bounded whatever the group's size. Only links that join something are
@@ -458,21 +458,15 @@ def links(docs: DataFrame, words: int, num: int, den: int, groups: DataFrame) ->
     return texts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
-def candidate_groups(classes: DataFrame, tied: DataFrame, found: DataFrame) -> DataFrame:
+def candidate_groups(classes: DataFrame, tied: DataFrame) -> DataFrame:
     """doc_id, n_shingles, cluster: one document per distinct set and candidate group.
 
-    A group is what ties connect, or where that has more features than a task should hold, the sets tied to each set.
-    All sets of a signature are tied to one of them, so both forms bring any two sets that share a signature together
-    and lead to the same links; the second only spares comparing what ties connect by way of others.
+    A group is a set that others are tied to, and those, whatever its size. All sets of a signature are tied to one of
+    them, so any two sets that share a signature are in a group together.
     """
-    own = classes.join(found, classes["h1"] == found["node"])
-    own = own.select(F.col("first").alias("doc_id"), "n_shingles", "node", "root")
-    large = own.groupBy("root").agg(F.sum("n_shingles").alias("features")).filter(F.col("features") > SEGMENT)
-    whole = own.join(large, "root", "left_anti").withColumn("cluster", F.col("root"))
     star = tied.unionAll(tied.select("b", "b").distinct()).toDF("node", "cluster")
-    split = own.join(large, "root", "left_semi").join(star, "node")
-    columns = ["doc_id", "n_shingles", "cluster"]
-    return whole.select(columns).unionAll(split.select(columns))
+    own = classes.join(star, classes["h1"] == star["node"])
+    return own.select(F.col("first").alias("doc_id"), "n_shingles", "cluster")
 
 
 def shared_ids(sets: DataFrame, classes: DataFrame) -> DataFrame:
@@ -495,8 +489,8 @@ def near_groups(
     classes = sets.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.min("n_shingles").alias("n_shingles"))
     features = sets.agg(F.sum("n_shingles")).first()[0] or 0
     tied = stored(ties(rows, words, num, den, features).distinct())
-    groups = candidate_groups(classes, tied, components(tied))
-    found = links(rows, words, num, den, stored(groups)).select("a", "b")
+    groups = stored(candidate_groups(classes, tied))
+    found = links(rows, words, num, den, groups).select("a", "b")
     joined = components(found.unionAll(shared_ids(sets, classes)))
     roots = classes.join(joined, classes["first"] == joined["node"], "left")
     roots = roots.select("h1", "h2", F.coalesce("root", "first").alias("component_id"))

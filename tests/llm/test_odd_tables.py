@@ -151,3 +151,26 @@ def test_links_do_not_depend_on_how_sets_are_dealt(spark, monkeypatch):
         assert sorted(r["doc_id"] for r in left) == sorted(set(want))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_candidate_groups_are_formed_alike_at_every_size(spark, monkeypatch):
+    """Which sets are compared in one group depends on their ties alone, not on how much a task may hold."""
+    rng, words = random.Random(3), [f"w{i}" for i in range(60)]
+    texts = [[w if rng.random() > 0.06 else f"x{rng.randrange(10**9)}" for w in words] for _ in range(120)]
+    rows = docs(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    links, seen = shingles.links, []
+
+    def recorded(*args):
+        groups = defaultdict(set)
+        for r in args[-1].collect():
+            groups[r["cluster"]].add(r["doc_id"])
+        seen.append(groups)
+        return links(*args)
+
+    monkeypatch.setattr(shingles, "links", recorded)
+    left = []
+    for segment in (shingles.SEGMENT, 500):  # all 120 sets hold some thousand features
+        monkeypatch.setattr(shingles, "SEGMENT", segment)
+        left.append(sorted(r["doc_id"] for r in shingles.first_of_group(rows, words=5, num=80, den=100).collect()))
+    assert seen[0] == seen[1] and max(map(len, seen[0].values())) > 20
+    assert left[0] == left[1]
